@@ -17,7 +17,7 @@ into k pieces under the same rule, and segment and piece together form the key.
 The number of hot segments is at most 4 N / hot; ``hot`` is raised with N so
 that the set broadcast to the probes never exceeds ``HOT_LIMIT`` entries.
 
-Candidates carry 32 bits that say which characters a text contains; an edit
+Candidates carry a bit for each of 38 characters, set if the text contains it; an edit
 changes at most two of them, so pairs that differ in more than six are dropped
 before the texts are fetched and verified by a banded edit distance.
 
@@ -32,6 +32,8 @@ entry; an empty batch or history gives no case; further columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,28 +48,14 @@ def record_text(columns: tuple[str, ...] = ("domain", "username", "password")) -
     return F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
 
 
+#: Characters whose presence the signature tells, one bit each.
+SIGNED = "abcdefghijklmnopqrstuvwxyz0123456789@_"
+
+
 def signature(text: Column) -> Column:
-    """32 bits: which classes of characters occur in the text."""
-    bits = F.lit(0)
-    singles = "abcdefghijklmnopqrstuvwxyz012345"
-    for i, c in enumerate(singles):
-        also = {"0": "6", "1": "7", "2": "8", "3": "9", "4": "@", "5": "_"}.get(c, "")
-        here = F.contains(text, F.lit(c))
-        bits = bits.bitwiseOR(F.when(here | F.contains(text, F.lit(also)) if also else here, F.lit((1 << i) if i < 31 else -(1 << 31))).otherwise(F.lit(0)))
-    return bits
-
-
-def _bounds(length: Column) -> list[tuple[Column, Column]]:
-    """(start, length) of each segment of a text of that length; the first begins at 0."""
-    head = F.floor(length * HEAD).cast("int")
-    tail = length - head
-    base, more = F.floor(tail / (TAU + 1)).cast("int"), tail % (TAU + 1)
-    out, start = [], head
-    for j in range(TAU + 1):
-        size = base + F.when(more >= TAU + 1 - j, 1).otherwise(0)
-        out.append((F.lit(0) if j == 0 else start, size + head if j == 0 else size))
-        start = start + size
-    return out
+    """A bit for each of the SIGNED characters that occurs in the text."""
+    bits = [F.when(F.contains(text, F.lit(c)), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, c in enumerate(SIGNED)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
 def _shifts(pieces: int, j: int, delta: int) -> list[int]:
@@ -75,71 +63,61 @@ def _shifts(pieces: int, j: int, delta: int) -> list[int]:
     return [s for s in range(-(j - 1), j) if abs(delta - s) <= pieces - j]
 
 
-def _key(*parts: Column) -> Column:
-    return F.xxhash64(*parts)
+def _table(rows: list[tuple[int, ...]], *names: str) -> Column:
+    """A literal array of structs, to be exploded."""
+    return F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows])
 
 
 def _cut(text: Column, start: Column, length: Column) -> Column:
     return F.substring(text, start + 1, length)
 
 
-def _entries(length: Column, probe: bool) -> Column:
-    """Structs (key, j, size, shift, delta): the segments of a text, or what it looks up."""
-    text, out = F.col("text"), []
-    for delta in range(TAU + 1) if probe else (0,):
-        size = length - delta
-        for j, (start, n) in enumerate(_bounds(size), 1):
-            for s in _shifts(TAU + 1, j, delta) if probe else (0,):
-                at = start + s
-                inside = (size >= 0) & (at >= 0) & (at + n <= length)
-                entry = F.struct(_key(F.lit(j), size, _cut(text, at, n)).alias("key"), F.lit(j).alias("j"), size.alias("size"), F.lit(s).alias("shift"), F.lit(delta).alias("delta"))
-                out.append(F.when(inside, entry) if probe else entry)
-    # the same substring is looked up once
-    return F.array_compact(F.array(*out)) if probe else F.array(*out)
-
-
-def _finer(probe: bool) -> Column:
-    """For a hot entry: its key joined with each piece of the rest of the text."""
-    text, length = F.col("text"), F.length("text")
-    bounds = _bounds(F.col("size"))
-    options = None
-    for j, (start, n) in enumerate(bounds, 1):
-        right = j <= TAU
-        pieces = TAU + 2 - j if right else TAU + 1
-        region_start = start + n if right else F.lit(0)
-        region = F.col("size") - region_start if right else start
-        keys = []
-        for delta in range(TAU + 1) if probe else (0,):
-            for s in _shifts(TAU + 1, j, delta) if probe else (0,):
-                mine = (F.col("delta") == delta) & (F.col("shift") == s)
-                # how much longer the region is in the other text
-                change = (delta - s) if right else s
-                origin = region_start + (s if right else 0)
-                for i in range(1, pieces + 1):
-                    p_start = F.floor(region * (i - 1) / pieces).cast("int")
-                    p_end = F.floor(region * i / pieces).cast("int")
-                    for t in _shifts(pieces, i, change):
-                        at = origin + p_start + t
-                        inside = mine & (at >= 0) & (at + (p_end - p_start) <= length)
-                        keys.append(F.when(inside, _key(F.col("key"), F.lit(i), _cut(text, at, p_end - p_start))))
-        made = F.array_compact(F.array(*keys))
-        options = F.when(F.col("j") == j, made) if options is None else options.when(F.col("j") == j, made)
-    return options
+def _entries(texts: DataFrame, probe: bool) -> DataFrame:
+    """One row for each segment of a text, or for each substring it looks up.
+
+    ``size`` is the length of the indexed text, ``delta`` how much longer the
+    probing one is, ``s`` the shift; segment j lies at ``start`` of the text.
+    """
+    ways = [(j, delta, s) for delta in range(TAU + 1) for j in range(1, TAU + 2) for s in _shifts(TAU + 1, j, delta)] if probe else [(j, 0, 0) for j in range(1, TAU + 2)]
+    n = TAU + 1
+    wide = texts.select("*", F.length("text").alias("len"), F.explode(_table(ways, "j", "delta", "s")).alias("w")).select("*", "w.*").drop("w")
+    wide = wide.withColumn("size", F.col("len") - F.col("delta")).withColumn("head", F.floor(F.col("size") * HEAD).cast("int"))
+    wide = wide.withColumns({"base": F.expr(f"(size - head) div {n}").cast("int"), "more": (F.col("size") - F.col("head")) % n})
+    own = F.col("base") + F.when(F.col("j") + F.col("more") > n, 1).otherwise(0)
+    first = F.col("j") == 1
+    begin = F.col("head") + (F.col("j") - 1) * F.col("base") + F.greatest(F.lit(0), F.col("j") - 1 - n + F.col("more"))
+    wide = wide.withColumns({"start": F.when(first, F.lit(0)).otherwise(begin), "n": F.when(first, F.col("head") + own).otherwise(own)})
+    at = F.col("start") + F.col("s")
+    inside = wide.filter((F.col("size") >= 0) & (at >= 0) & (at + F.col("n") <= F.col("len")))
+    return inside.withColumn("key", F.xxhash64("j", "size", _cut(F.col("text"), at, F.col("n"))))
 
 
 def _spread(texts: DataFrame, hot: DataFrame, probe: bool) -> DataFrame:
-    """(key, tid, sig) rows of texts (tid, text, sig): coarse keys, finer where hot."""
-    wide = texts.select("tid", "sig", "text", F.explode(_entries(F.length("text"), probe)).alias("e")).select("tid", "sig", "text", "e.*")
-    marked = wide.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "key", "left")
-    keys = F.when(F.col("is_hot"), _finer(probe)).otherwise(F.array("key"))
-    return marked.select(F.explode(keys).alias("key"), "tid", "sig")
+    """(key, tid, sig) rows of texts (tid, text, sig): a segment, or if hot each of its finer keys."""
+    most = TAU + 1
+    pieces = [(i, t) for i in range(1, most + 1) for t in (range(-(i - 1), i) if probe else (0,))]
+    wide = _entries(texts.select("tid", "sig", "text"), probe).join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "key", "left")
+    finer = F.when(F.col("is_hot"), _table(pieces, "i", "t")).otherwise(_table([(0, 0)], "i", "t"))
+    wide = wide.select("*", F.explode(finer).alias("f")).select("*", "f.*")
+    # the last segment is open to its left, the others to their right
+    right = F.col("j") <= TAU
+    count = F.when(right, TAU + 2 - F.col("j")).otherwise(most)
+    begin = F.when(right, F.col("start") + F.col("n")).otherwise(0)
+    region = F.when(right, F.col("size") - F.col("start") - F.col("n")).otherwise(F.col("start"))
+    change = F.when(right, F.col("delta") - F.col("s")).otherwise(F.col("s"))
+    shift = F.when(right, F.col("s")).otherwise(0)
+    wide = wide.withColumns({"count": count, "region": region, "change": change, "origin": begin + shift})
+    p_start, p_end = F.expr("(region * (i - 1)) div count").cast("int"), F.expr("(region * i) div count").cast("int")
+    wide = wide.withColumns({"at": F.col("origin") + p_start + F.col("t"), "p_n": p_end - p_start})
+    fits = (F.col("i") <= F.col("count")) & (F.abs(F.col("change") - F.col("t")) <= F.col("count") - F.col("i")) & (F.col("at") >= 0) & (F.col("at") + F.col("p_n") <= F.col("len"))
+    key = F.when(F.col("i") == 0, F.col("key")).otherwise(F.xxhash64("key", "i", _cut(F.col("text"), F.col("at"), F.col("p_n"))))
+    return wide.filter((F.col("i") == 0) | fits).select(key.alias("key"), "tid", "sig")
 
 
 def hot_segments(texts: DataFrame, n: int, least: int = HOT_LEAST) -> DataFrame:
     """Keys of segments in more than ``hot`` texts, at most HOT_LIMIT of them by construction."""
     hot = max(least, -(-(TAU + 1) * n // HOT_LIMIT))
-    keys = texts.select(F.explode(_entries(F.length("text"), False)).alias("e")).select("e.key")
-    return keys.groupBy("key").count().filter(F.col("count") > hot).select("key")
+    return _entries(texts.select("text"), False).groupBy("key").count().filter(F.col("count") > hot).select("key")
 
 
 def distinct_texts(rows: DataFrame) -> DataFrame:

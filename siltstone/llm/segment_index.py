@@ -41,20 +41,20 @@ from siltstone.session import materialise, remove, workspace
 
 TAU = 3
 HEAD = 0.4
-HOT_LEAST, HOT_LIMIT = 200, 500_000
+HOT_LEAST, HOT_LIMIT = 32, 500_000
 
 
 def record_text(columns: tuple[str, ...] = ("domain", "username", "password")) -> Column:
     return F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
 
 
-#: Characters whose presence the signature tells, one bit each.
+#: Characters whose count the signature tells as odd or even, one bit each.
 SIGNED = "abcdefghijklmnopqrstuvwxyz0123456789@_"
 
 
 def signature(text: Column) -> Column:
-    """A bit for each of the SIGNED characters that occurs in the text."""
-    bits = [F.when(F.contains(text, F.lit(c)), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, c in enumerate(SIGNED)]
+    """A bit for each of the SIGNED characters that occurs an odd number of times."""
+    bits = [F.shiftleft((F.length(F.replace(text, F.lit(c), F.lit(""))) - F.length(text)).bitwiseAND(F.lit(1)).cast("long"), i) for i, c in enumerate(SIGNED)]
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 

@@ -16,16 +16,13 @@ query = registry.query
 
 
 @query(r"""WITH b AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(regexp_replace(replace(text, chr(13) || chr(10), chr(10)), '(?m)^(?:[ \t]*|---+[ \t]*|===+[ \t]*|_{3,}[ \t]*)$', chr(1), 'g'), chr(1)), lambda x: trim(x, chr(10))), lambda x: x <> '')) AS block FROM documents WHERE doc_kind = 'system_sheet' AND text NOT LIKE '%' || chr(13) || '%')
-SELECT doc_id, nullif(trim(regexp_extract(block, '(?m)^Machine\s*=\s*(\S.*)$', 1)), '') AS hostname, nullif(trim(regexp_extract(block, '(?m)^Build\s*=\s*(\S.*)$', 1)), '') AS build FROM b WHERE regexp_matches(block, '(?m)^Machine\s*=\s*\S')""")
+SELECT doc_id, nullif(trim(regexp_extract(block, '(?m)^Machine\s*[:=]\s*(\S.*)$', 1)), '') AS hostname, nullif(trim(regexp_extract(block, '(?m)^Build\s*[:=]\s*(\S.*)$', 1)), '') AS build FROM b WHERE regexp_matches(block, '(?m)^Machine\s*[:=]\s*\S')""")
 def parse_sheet(t: Tables) -> DataFrame:
     """Labelled sheets, one for each block of a text."""
     d = t.documents.filter("doc_kind = 'system_sheet' and not contains(text, '\r')")
     return records.sheets(d, "doc_id", "text").filter("hostname is not null").select("doc_id", "hostname", "build")
 
 
-DELIM = "https?://[^\\s|]+"
-
-
 @query(r"SELECT id, regexp_extract(x, '^(https?://[^\s|]+)\|([^|]+)\|(.+)$', 1) AS url, regexp_extract(x, '^(https?://[^\s|]+)\|([^|]+)\|(.+)$', 2) AS username, length(regexp_extract(x, '^(https?://[^\s|]+)\|([^|]+)\|(.+)$', 3)) AS last_length FROM (SELECT id, 'https://' || domain || '/a|' || application || '|' || source_file || '|' || line_number AS x FROM parsed_credentials WHERE domain IS NOT NULL AND application IS NOT NULL AND source_file IS NOT NULL)")
 def parse_delimited(t: Tables) -> DataFrame:
     """Three fields, the last of which holds the delimiter."""
@@ -46,7 +43,7 @@ def group_parts(t: Tables) -> DataFrame:
     return grouping.group_parts(t.file_attachments)
 
 
-@query("SELECT id, row_number() OVER (PARTITION BY conversation_id, message_id ORDER BY filename, id) AS part_no FROM file_attachments")
+@query("SELECT id, row_number() OVER (PARTITION BY conversation_id, message_id ORDER BY filename NULLS FIRST, id) AS part_no FROM file_attachments")
 def number_parts(t: Tables) -> DataFrame:
     a = t.file_attachments.withColumns({"g": F.to_json(F.struct("conversation_id", "message_id")), "o": F.struct("filename", "id")})
     return grouping.numbered(a, "g", "o").select("id", "part_no")

@@ -18,8 +18,12 @@ from siltstone.session import hadoop_path, workspace
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, per_trigger: int = 1) -> DataFrame:
-    """New parquet files of a folder, so many a trigger."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(folder)
+    """New parquet files of a folder, so many a trigger; a single file is a feed of one."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger)
+    fs, p = hadoop_path(spark, folder)
+    if fs.getFileStatus(p).isFile():
+        return reader.option("pathGlobFilter", p.getName()).parquet(str(p.getParent().toString()))
+    return reader.parquet(folder)
 
 
 def run(stream: DataFrame, write: Callable[[DataFrame, int], None], label: str, mode: str = "append", checkpoint: str | None = None) -> None:

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -108,6 +109,11 @@ def _reader(encoding: str) -> dict[str, int]:
     return out
 
 
+def _written(c: str) -> bool:
+    """Whether a character is assigned and no control, so that a text may hold it."""
+    return unicodedata.category(c) not in ("Cn", "Co", "Cs", "Cc")
+
+
 def _undo_utf8(run: str, read: str) -> str | None:
     """Valid multi-byte sequences decoded where they stand; None if there is none."""
     table, out, i, any_ = _reader(read), [], 0, False
@@ -118,9 +124,11 @@ def _undo_utf8(run: str, read: str) -> str | None:
         tail = data[i + 1 : i + n] if n else []
         if n and len(tail) == n - 1 and all(0x80 <= x < 0xC0 for x in tail):
             try:
-                out.append(bytes([b, *tail]).decode("utf-8"))
-                i, any_ = i + n, True
-                continue
+                c = bytes([b, *tail]).decode("utf-8")
+                if _written(c):
+                    out.append(c)
+                    i, any_ = i + n, True
+                    continue
             except UnicodeDecodeError:
                 pass
         out.append(run[i])
@@ -144,7 +152,7 @@ def candidates(run: str) -> tuple[tuple[int, str], ...]:
                 text = bytes(table[c] for c in run).decode(written)
             except (KeyError, UnicodeDecodeError):
                 text = None
-        if text is not None and text != run:
+        if text is not None and text != run and (written.startswith("utf-8") or all(map(_written, text))):
             out.append((k, text))
     return tuple(out)
 

@@ -21,7 +21,7 @@ then the latest delivered_at, then the highest delivery_id; ties beyond that
 are equal in all three and either row may stay.  A row with a null in the
 identifier has no identity: it is kept as it is, in the partition "unkeyed".
 Empty batches leave the state as it was.  Columns beyond those named travel
-with the winner; names beginning with "_s_" are reserved.
+with the winner; an input column named "copies" comes out as "copies_in".
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.columns import make_room
 from siltstone.session import hadoop_path, workspace
 
 UNKEYED = "unkeyed"
@@ -74,6 +75,7 @@ class DeliveryStore:
 
     def merge(self, batch: DataFrame) -> list[str]:
         """Take in one batch; returns the partitions that were overwritten."""
+        batch = make_room(batch, ("_s_copies", "_s_part", "_s_old", "_s_at", "copies"))
         version, state = self._manifest()
         named = batch.withColumns({"_s_copies": F.lit(1).cast("long"), "_s_part": F.date_format(self.day, "yyyyMMdd")}).fillna({"_s_part": "undated"})
         keyed = F.lit(True)

@@ -14,7 +14,8 @@ for each different shape that a worker meets.
 Defined cases: a null text is rejected as "null text"; an empty text or one
 with fewer fields is rejected with the delimiters it lacks; very long texts are
 parsed whole; repeated rows come out as often as they came in; an empty table
-gives an empty result; further columns of the input are passed through.
+gives an empty result; further columns of the input are passed through, those with
+a name of the result's own ending in "_in".
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from siltstone.columns import make_room
+
 FIELDS = ("url", "username", "password", "application", "profile", "extraction_job_id", "created_at")
 DIGEST_KEY = b"siltstone-record-digest"
 START, BARE, QUOTED, ENDED = range(4)
@@ -155,6 +158,8 @@ def parse_records(lines: DataFrame, text: str = "raw_text") -> DataFrame:
 
     The password leaves the parse as a keyed digest only.
     """
+    own = ("status", "reason", "cost", "password_digest", "_parsed", "_reason", *FIELDS)
+    lines = make_room(lines, own, keep=(text,))
     rows = lines.withColumn("_parsed", _parse(F.col(text)))
     p = F.col("_parsed")
     bad = F.concat_ws(
@@ -164,7 +169,7 @@ def parse_records(lines: DataFrame, text: str = "raw_text") -> DataFrame:
         F.when(~_instant(p["created_at"]), F.lit("created_at is not an instant")),
     )
     reason = F.when(F.col(text).isNull(), "null text").when(p["cost"] > 0, p["edits"]).when(bad != "", bad)
-    keep = [c for c in lines.columns if c not in (text, "status", "reason", "cost", *FIELDS, "password_digest")]
+    keep = [c for c in lines.columns if c != text]
     fields = [f if f != "password" else "password_digest" for f in FIELDS]
     return rows.withColumn("_reason", reason).select(
         *keep,

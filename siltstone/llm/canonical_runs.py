@@ -15,7 +15,7 @@ the notes, a table as long as twice the number of partitions, settles them.
 A word is a maximal run of letters and digits in lower case; nulls are empty
 texts.  Defined cases: texts without any word equal each other if the passwords
 do; very long texts are compared whole; repeated rows count as copies; of equal
-ids either row may come first; an empty table gives an empty result.
+ids either row may come first; rows without an id are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -122,7 +122,7 @@ def scan_runs(table: DataFrame, columns: tuple[str, ...], exact: str, id_column:
     text = F.coalesce
     # as stored: each value with its length, so that no two pairs of values look alike
     variant = F.concat(*[text(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("null,")) for c in columns])
-    rows = table.select(canonical(columns, exact).alias("canon"), F.col(id_column).cast("long").alias("id"), variant.alias("variant"))
+    rows = table.filter(F.col(id_column).isNotNull()).select(canonical(columns, exact).alias("canon"), F.col(id_column).cast("long").alias("id"), variant.alias("variant"))
     width = max(2, shuffle_width(table.sparkSession))
     ordered = rows.repartitionByRange(width, "canon", "id").sortWithinPartitions("canon", "id")
     scanned = ordered.mapInArrow(lambda batches: _scan(batches, runs), _DDL)

@@ -24,8 +24,8 @@ before the texts are fetched and verified by a banded edit distance.
 Pairs are looked up between distinct texts, the shorter one being the indexed
 one, and only minima flow back to rows, so copies are never paired.
 
-Defined cases: nulls in the text columns count as empty; rows with a null hash
-are neither cases nor history; texts of any length are handled whole (segments
+Defined cases: nulls in the text columns count as empty; rows with a null hash,
+id or batch are neither cases nor history; texts of any length are handled whole (segments
 of very short texts are empty and still match); equal texts share one index
 entry; an empty batch or history gives no case; further columns are ignored.
 """
@@ -141,7 +141,8 @@ def close_pairs(index: DataFrame, probes: DataFrame, texts: DataFrame, other: Da
 
 
 def _prepared(rows: DataFrame, columns: tuple[str, ...], hash_column: str, id_column: str, batch_column: str) -> DataFrame:
-    return rows.filter(F.col(hash_column).isNotNull()).select(F.col(id_column).alias("id"), F.col(batch_column).alias("batch"), F.col(hash_column).alias("hash"), record_text(columns).alias("text"))
+    known = F.col(hash_column).isNotNull() & F.col(id_column).isNotNull() & F.col(batch_column).isNotNull()
+    return rows.filter(known).select(F.col(id_column).alias("id"), F.col(batch_column).alias("batch"), F.col(hash_column).alias("hash"), record_text(columns).alias("text"))
 
 
 def repeats(table: DataFrame, columns: tuple[str, ...] = ("domain", "username", "password"), hash_column: str = "credential_hash", id_column: str = "id", batch_column: str = "batch_id") -> DataFrame:

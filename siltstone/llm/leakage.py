@@ -158,7 +158,8 @@ def without_leaks(docs: DataFrame, items: DataFrame, n: int = N, doc_id: str = "
                     kept, end = [], 0
                     for w, m in enumerate(WORD.finditer(texts[t])):
                         if w in hit:
-                            kept.append(texts[t][end : m.start()])
+                            if w - 1 not in hit:
+                                kept.append(texts[t][end : m.start()])
                             end = m.end()
                     texts[t] = "".join(kept) + texts[t][end:]
                     removed[t] += len(hit)

@@ -91,8 +91,8 @@ def page(df: DataFrame, order: Sequence[Column], size: int, number: int) -> Data
 def bm25(docs: DataFrame, key: str, text: str, terms: Sequence[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(key, score) of the documents that hold any of the terms.
 
-    Statistics are of the whole table.  Only the rows of the query's terms are
-    shuffled; lengths are sums over the table.
+    Statistics are of the whole table and enter as scalar subqueries; nothing
+    but partial sums is shuffled.
     """
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
@@ -100,13 +100,13 @@ def bm25(docs: DataFrame, key: str, text: str, terms: Sequence[str], k1: float =
         return F.size(F.filter("w", lambda x: x == F.lit(term)))
 
     counted = docs.select(key, words.alias("w")).select(key, F.size("w").alias("len"), *[times(t).alias(f"tf{i}") for i, t in enumerate(terms)])
-    # one row of statistics
     stats = counted.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
-    both = counted.filter(reduce(lambda a, c: a | c, [F.col(f"tf{i}") > 0 for i in range(len(terms))])).join(F.broadcast(stats))
-    score = F.lit(0.0)
+    both = counted.filter(reduce(lambda a, c: a | c, [F.col(f"tf{i}") > 0 for i in range(len(terms))]))
+    n, mean, score = stats.select("n").scalar(), stats.select("mean").scalar(), F.lit(0.0)
     for i in range(len(terms)):
-        idf = F.log(1 + (F.col("n") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
-        score = score + idf * F.col(f"tf{i}") * (k1 + 1) / (F.col(f"tf{i}") + k1 * (1 - b + b * F.col("len") / F.col("mean")))
+        df = stats.select(f"df{i}").scalar()
+        idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
+        score = score + idf * F.col(f"tf{i}") * (k1 + 1) / (F.col(f"tf{i}") + k1 * (1 - b + b * F.col("len") / mean))
     return both.select(key, F.round(score, 6).alias("score"))
 
 

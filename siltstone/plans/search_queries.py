@@ -354,10 +354,10 @@ SELECT id, way FROM (SELECT *, row_number() OVER (ORDER BY way, id DESC) AS r FR
 def related(t: Tables) -> DataFrame:
     """Up to ten others: of the same domain first, then of the same archive."""
     p = t.parsed_credentials.select("id", "domain", "source_archive")
-    # one row
-    me = p.filter("domain is not null and source_archive is not null").orderBy("id").limit(1).select(F.col("id").alias("i"), F.col("domain").alias("d"), F.col("source_archive").alias("a"))
-    way = F.when(F.col("domain") == F.col("d"), 0).when(F.col("source_archive") == F.col("a"), 1)
-    return p.join(F.broadcast(me), (F.col("id") != F.col("i")) & ((F.col("domain") == F.col("d")) | (F.col("source_archive") == F.col("a")))).select("id", way.alias("way")).orderBy("way", F.desc("id")).limit(10)
+    me = p.filter("domain is not null and source_archive is not null").orderBy("id").limit(1)
+    own, domain, archive = (me.select(c).scalar() for c in ("id", "domain", "source_archive"))
+    way = F.when(F.col("domain") == domain, 0).when(F.col("source_archive") == archive, 1)
+    return p.filter(F.col("id") != own).select("id", way.alias("way")).filter("way is not null").orderBy("way", F.desc("id")).limit(10)
 
 
 @query("SELECT p_partkey FROM part ORDER BY p_size DESC NULLS LAST, p_retailprice, p_partkey LIMIT 30 OFFSET 30")

@@ -261,9 +261,8 @@ def queue_by_status(t: Tables) -> DataFrame:
 @query("SELECT count(*) AS n, max(created_at) AS latest FROM parsed_credentials WHERE created_at >= (SELECT max(created_at) FROM parsed_credentials) - INTERVAL 10 MINUTE")
 def last_10m(t: Tables) -> DataFrame:
     p = t.parsed_credentials.select("created_at")
-    # one row
-    latest = p.agg(F.max("created_at").alias("at"))
-    return p.join(F.broadcast(latest), F.col("created_at") >= F.col("at") - F.expr("interval 10 minutes")).agg(n_rows().alias("n"), F.max("created_at").alias("latest"))
+    latest = t.parsed_credentials.agg(F.max("created_at")).scalar()
+    return p.filter(F.col("created_at") >= latest - F.expr("interval 10 minutes")).agg(n_rows().alias("n"), F.max("created_at").alias("latest"))
 
 
 @query("SELECT s_suppkey, CAST(CASE WHEN greatest(coalesce(s_acctbal, 0), coalesce(s_nationkey, 0)) > 0 THEN greatest(coalesce(s_acctbal, 0), coalesce(s_nationkey, 0)) ELSE 0 END AS BIGINT) AS estimate FROM (SELECT s_suppkey, floor(s_acctbal) AS s_acctbal, s_nationkey FROM supplier)")

@@ -43,6 +43,8 @@ from siltstone.session import materialise, shuffle_width
 
 LEAST, GRAM = 320, 160
 SHARD_CHARS = 400_000
+#: Characters hashed at a time; bounds the memory of a task whatever its texts are.
+PIECE_CHARS = 500_000
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -113,12 +115,32 @@ def anchors(flat: np.ndarray, bounds: np.ndarray, least: int = LEAST, gram: int
     return text, h[at[begin]], at[begin] - bounds[text], at[end] - bounds[text]
 
 
+def _pieces(texts: list[str], overlap: int) -> Iterator[list[tuple[int, int, str]]]:
+    """(text, offset, piece) in lots of at most about PIECE_CHARS characters.
+
+    A longer text is cut into pieces that overlap by ``overlap`` characters, so
+    every window of one more lies whole in one of them.
+    """
+    lot, size = [], 0
+    for k, text in enumerate(texts):
+        for at in range(0, max(1, len(text) - overlap), PIECE_CHARS - overlap):
+            piece = text[at : at + PIECE_CHARS]
+            if lot and size + len(piece) > PIECE_CHARS:
+                yield lot
+                lot, size = [], 0
+            lot.append((k, at, piece))
+            size += len(piece)
+    if lot:
+        yield lot
+
+
 def _anchor_batches(batches: Iterator[pa.RecordBatch], least: int, gram: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-        flat, bounds = code_points(texts)
-        text, h, first, last = anchors(flat, bounds, least, gram)
-        yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[text].astype(np.int64)), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32))], names=["h", "doc", "first", "last"])
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        for lot in _pieces(batch.column(1).to_pylist(), least - 1):
+            text, h, first, last = anchors(*code_points([p for _, _, p in lot]), least, gram)
+            owner, offset = np.array([k for k, _, _ in lot])[text], np.array([at for _, at, _ in lot])[text]
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[owner].astype(np.int64)), pa.array((first + offset).astype(np.int32)), pa.array((last + offset).astype(np.int32))], names=["h", "doc", "first", "last"])
 
 
 def _regions(batches: Iterator[pa.RecordBatch], margin: int, gram: int) -> Iterator[pa.RecordBatch]:

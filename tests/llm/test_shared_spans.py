@@ -50,6 +50,21 @@ def sample(rng, n=60):
     return docs + [(n, docs[1][1]), (n + 1, docs[2][1]), (n + 2, docs[2][1])]
 
 
+def test_pieces_have_all_anchors(monkeypatch):
+    monkeypatch.setattr(ss, "PIECE_CHARS", 1_000)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abc") for _ in range(n)) for n in (5_000, 319, 320, 1_000, 999, 1_320, 2_000)]
+
+    def places(parts):
+        out = set()
+        for lot in parts:
+            text, h, first, last = ss.anchors(*ss.code_points([p for _, _, p in lot]))
+            out |= {(lot[t][0], int(x), lot[t][1] + int(a), lot[t][1] + int(b)) for t, x, a, b in zip(text, h, first, last)}
+        return out
+
+    assert places(ss._pieces(texts, 319)) == places([[(k, 0, t) for k, t in enumerate(texts)]])
+
+
 @pytest.mark.parametrize("seed,chars", [(0, ss.SHARD_CHARS), (1, 900)])
 def test_pairs_equal_brute_force(spark, monkeypatch, seed, chars):
     monkeypatch.setattr(ss.span_matches, "__defaults__", (*ss.span_matches.__defaults__[:-1], chars))

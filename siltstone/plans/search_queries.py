@@ -387,3 +387,18 @@ def session_windows(t: Tables) -> DataFrame:
 def latest_message(t: Tables) -> DataFrame:
     w = Window.partitionBy("conversation_id").orderBy(F.desc("platform_timestamp"), F.desc("delivery_id"))
     return t.messages.filter("conversation_id is not null").withColumn("r", F.row_number().over(w)).filter("r = 1").select("conversation_id", "platform_id", "is_forwarded")
+
+
+@query("SELECT url, username, md5(password) AS secret_md5, min(id) AS id FROM parsed_credentials GROUP BY url, username, password")
+def dedup_triples(t: Tables) -> DataFrame:
+    """One row for each (url, username, secret); the secret shows as a digest only."""
+    by = t.parsed_credentials.groupBy("url", "username", "password").agg(F.min("id").alias("id"))
+    return by.select("url", "username", F.md5("password").alias("secret_md5"), "id")
+
+
+@query("SELECT m.forwarded_from_id, c.title, count(*) AS n, min(m.platform_timestamp) AS first FROM messages m LEFT JOIN channels c ON c.platform_id = m.forwarded_from_id WHERE m.forwarded_from_id IS NOT NULL GROUP BY ALL")
+def forwarded_named(t: Tables) -> DataFrame:
+    """Forward sources with their names, if known; counted before the names are looked up."""
+    n = t.messages.filter("forwarded_from_id is not null").groupBy("forwarded_from_id").agg(F.count(F.lit(1)).alias("n"), F.min("platform_timestamp").alias("first"))
+    c = t.channels.select(F.col("platform_id").alias("forwarded_from_id"), "title")
+    return n.join(c, "forwarded_from_id", "left").select("forwarded_from_id", "title", "n", "first")

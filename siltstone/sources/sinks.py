@@ -61,3 +61,24 @@ def append_new(staged: DataFrame, path: str, key: str, order: Column) -> int:
     if n:
         fresh.write.mode("append").parquet(path)
     return n
+
+
+def to_xlsx(frames: dict[str, DataFrame], path: str, rows: int = 100_000) -> bool:
+    """One sheet for each result, if a spreadsheet writer is installed; False otherwise.
+
+    A sheet is a driver-side file, so a result of more than ``rows`` rows is
+    refused instead of being collected.
+    """
+    import importlib.util
+
+    if not importlib.util.find_spec("openpyxl"):
+        return False
+    import pandas as pd
+
+    with pd.ExcelWriter(path) as writer:
+        for name, df in frames.items():
+            held = public(df).limit(rows + 1).toPandas()
+            if len(held) > rows:
+                raise ValueError(f"{name} has more than {rows} rows; export it as CSV")
+            held.to_excel(writer, sheet_name=name[:31], index=False)
+    return True

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
@@ -96,3 +97,33 @@ class Appender:
         if not fs.exists(p):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(self.root)
+
+
+class ProgressLog(StreamingQueryListener):
+    """Runs and their progress, one entry for each micro-batch."""
+
+    def __init__(self) -> None:
+        self.entries: list[dict] = []
+
+    def onQueryStarted(self, event) -> None:
+        self.entries.append({"run": str(event.runId), "state": "started", "rows": 0})
+
+    def onQueryProgress(self, event) -> None:
+        self.entries.append({"run": str(event.progress.runId), "state": "progress", "rows": event.progress.numInputRows})
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.entries.append({"run": str(event.runId), "state": "failed" if event.exception else "finished", "rows": 0})
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([(e["run"], e["state"], e["rows"]) for e in self.entries], "run string, state string, rows long")
+
+
+def notices(hits: DataFrame, masked_columns: list[str]) -> DataFrame:
+    """Rows fit to be sent: the named columns masked, secret ones left out."""
+    from siltstone.functions.text import masked
+    from siltstone.sources.sinks import public
+
+    return public(hits).withColumns({c: masked(F.col(c)) for c in masked_columns})

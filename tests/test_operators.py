@@ -163,3 +163,23 @@ def test_pipeline_goes_on_after_a_failure(spark, small):
 
     run = run_pipeline(Tables(spark, small), {"first": broken, "parse": STAGES["parse"]})
     assert run.failed == {"first": "no"} and run.made["parse"].count() > 0
+
+
+def test_progress_and_notices(spark, tmp_path):
+    log = feeds.ProgressLog()
+    spark.streams.addListener(log)
+    spark.createDataFrame([(1, "shop.test", "s3cret")], "id long, domain string, password string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    out = feeds.Appender(spark, "notices")
+    s = feeds.notices(feeds.file_stream(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema), ["domain"])
+    feeds.run(s, out.write, "notices")
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+    spark.streams.removeListener(log)
+    assert out.read(s.schema).first().asDict() == {"id": 1, "domain": "s•••••••t (9 chars)"}
+    assert log.table(spark).agg(F.sum("rows")).first()[0] == 1
+
+
+def test_xlsx_is_gated(spark, tmp_path):
+    import importlib.util
+
+    df = spark.createDataFrame([(1, "x")], "id long, password string")
+    assert sinks.to_xlsx({"a": df}, str(tmp_path / "a.xlsx")) is (importlib.util.find_spec("openpyxl") is not None)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import group_key, split_base, split_part_number, split_total
+from siltstone.session import ship
 
 
 def group_parts(files: DataFrame, id_column: str = "id", conversation: str = "conversation_id", message: str = "message_id", name: str = "filename") -> DataFrame:
@@ -16,6 +17,7 @@ def group_parts(files: DataFrame, id_column: str = "id", conversation: str = "co
     the stated total, else the highest less the lowest part plus one; ``gap``
     tells of a part missing between or before them.
     """
+    ship(files.sparkSession)
     f = files.select(F.col(id_column).alias("id"), F.col(conversation).alias("conversation"), F.col(message).alias("message"), F.col(name).alias("name"))
     f = f.withColumns({"base": split_base(F.col("name")), "part": split_part_number(F.col("name")), "total": split_total(F.col("name"))}).filter("base is not null")
     f = f.withColumn("key", group_key(F.col("base")))

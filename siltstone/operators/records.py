@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.session import ship
+
 DIGEST_KEY = b"siltstone-record-digest"
 SEPARATOR = r"^(?:---+|===+|_{3,})\s*$"
 
@@ -131,6 +133,7 @@ def parse_lines(lines: Iterator[str]) -> Iterator[dict[str, str | None]]:
 
 def parse_texts(texts: DataFrame, key: str, text: str) -> DataFrame:
     """(key, record_no, url, username, application, profile, digest): every record of each text, Arrow-batched."""
+    ship(texts.sparkSession)
     kind = texts.schema[key].dataType.simpleString()
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

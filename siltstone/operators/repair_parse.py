@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from siltstone.columns import make_room
+from siltstone.session import ship
 
 FIELDS = ("url", "username", "password", "application", "profile", "extraction_job_id", "created_at")
 DIGEST_KEY = b"siltstone-record-digest"
@@ -158,6 +159,7 @@ def parse_records(lines: DataFrame, text: str = "raw_text") -> DataFrame:
 
     The password leaves the parse as a keyed digest only.
     """
+    ship(lines.sparkSession)
     own = ("status", "reason", "cost", "password_digest", "_parsed", "_reason", *FIELDS)
     lines = make_room(lines, own, keep=(text,))
     rows = lines.withColumn("_parsed", _parse(F.col(text)))

@@ -11,6 +11,7 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +34,28 @@ def build_session(app: str = "siltstone", cores: int | str = 8, shuffle_partitio
     )
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, unless their PYTHONPATH already holds it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    _shipped.add(sc.applicationId)
+    package = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package)
+    if not os.path.isdir(package) or root in map(os.path.abspath, filter(None, os.environ.get("PYTHONPATH", "").split(os.pathsep))):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="siltstone-code-"), "siltstone.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), root))
+    sc.addPyFile(path)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from the session's spark.checkpoint.dir.
 
@@ -55,6 +78,7 @@ def shuffle_width(spark: SparkSession) -> int:
 
 def workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one, removed when the driver ends."""
+    ship(spark)
     path = f"{shared_dir(spark)}/siltstone/{label}-{uuid.uuid4().hex[:12]}"
     _written.append((spark, path))
     return path

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.session import ship
+
 
 def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """(path, length, modificationTime) of all files below a folder; contents are not read."""
@@ -52,6 +54,7 @@ def line_chunks(texts: DataFrame, key: str, text: str, least: int = 100_000) ->
 
     import pandas as pd
 
+    ship(texts.sparkSession)
     kind = texts.schema[key].dataType.simpleString()
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.session import ship
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table as stored; Catalyst prunes its columns and pushes filters."""
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -11,11 +11,13 @@ Segments lie in the last three fifths of a text; the first also takes what
 comes before.  Leading parts such as a host name, shared by a great share of all rows,
 are so part of a longer segment instead of being a segment themselves.
 
-A segment that still occurs in more than ``hot`` texts is never looked up
-alone.  The rest of the text on its open side, with at most k-1 edits, is cut
-into k pieces under the same rule, and segment and piece together form the key.
-The number of hot segments is at most 4 N / hot; ``hot`` is raised with N so
-that the set broadcast to the probes never exceeds ``HOT_LIMIT`` entries.
+A segment that still occurs in more than ``HOT_LEAST`` texts is never looked up
+alone.  What it leaves open, the rest of the text to its right with at most k-1
+edits in it, or to its left after the last segment, is cut into k pieces under
+the same rule, and segment and piece together form the key; a key that is hot
+again takes a piece of what is still open, up to LEVELS times.  The hot keys of a
+level travel to the probes; their number is at most HOT_LIMIT, as the threshold
+rises with the rows if need be.
 
 Candidates carry a bit for each of 38 characters, set if the text contains it; an edit
 changes at most two of them, so pairs that differ in more than six are dropped
@@ -41,7 +43,7 @@ from siltstone.session import materialise, remove, workspace
 
 TAU = 3
 HEAD = 0.4
-HOT_LEAST, HOT_LIMIT = 32, 500_000
+HOT_LEAST, HOT_LIMIT, LEVELS = 32, 500_000, 3
 
 
 def record_text(columns: tuple[str, ...] = ("domain", "username", "password")) -> Column:
@@ -73,51 +75,92 @@ def _cut(text: Column, start: Column, length: Column) -> Column:
 
 
 def _entries(texts: DataFrame, probe: bool) -> DataFrame:
-    """One row for each segment of a text, or for each substring it looks up.
+    """One row for each segment of a text, or for each substring it looks up, and what it leaves open.
 
-    ``size`` is the length of the indexed text, ``delta`` how much longer the
-    probing one is, ``s`` the shift; segment j lies at ``start`` of the text.
+    The open region of the indexed text begins at ``rs`` and is ``rl`` long; at
+    most ``errs`` edits lie in it; in the probing text it begins ``off`` later
+    and is ``change`` longer.
     """
-    ways = [(j, delta, s) for delta in range(TAU + 1) for j in range(1, TAU + 2) for s in _shifts(TAU + 1, j, delta)] if probe else [(j, 0, 0) for j in range(1, TAU + 2)]
     n = TAU + 1
-    wide = texts.select("*", F.length("text").alias("len"), F.explode(_table(ways, "j", "delta", "s")).alias("w")).select("*", "w.*").drop("w")
+    # delta: how much longer the probing text is; s: by how much the segment is shifted
+    ways = [(j, delta, s) for delta in range(n) for j in range(1, n + 1) for s in _shifts(n, j, delta)] if probe else [(j, 0, 0) for j in range(1, n + 1)]
+    wide = texts.select("tid", "sig", "text", F.length("text").alias("len"), F.explode(_table(ways, "j", "delta", "s")).alias("w")).select("tid", "sig", "text", "len", "w.*")
     wide = wide.withColumn("size", F.col("len") - F.col("delta")).withColumn("head", F.floor(F.col("size") * HEAD).cast("int"))
     wide = wide.withColumns({"base": F.expr(f"(size - head) div {n}").cast("int"), "more": (F.col("size") - F.col("head")) % n})
     own = F.col("base") + F.when(F.col("j") + F.col("more") > n, 1).otherwise(0)
-    first = F.col("j") == 1
+    first, last = F.col("j") == 1, F.col("j") == n
     begin = F.col("head") + (F.col("j") - 1) * F.col("base") + F.greatest(F.lit(0), F.col("j") - 1 - n + F.col("more"))
     wide = wide.withColumns({"start": F.when(first, F.lit(0)).otherwise(begin), "n": F.when(first, F.col("head") + own).otherwise(own)})
     at = F.col("start") + F.col("s")
     inside = wide.filter((F.col("size") >= 0) & (at >= 0) & (at + F.col("n") <= F.col("len")))
-    return inside.withColumn("key", F.xxhash64("j", "size", _cut(F.col("text"), at, F.col("n"))))
-
-
-def _spread(texts: DataFrame, hot: DataFrame, probe: bool) -> DataFrame:
-    """(key, tid, sig) rows of texts (tid, text, sig): a segment, or if hot each of its finer keys."""
+    end = F.col("start") + F.col("n")
+    return inside.select(
+        F.xxhash64("j", "size", _cut(F.col("text"), at, F.col("n"))).alias("key"),
+        "tid",
+        "sig",
+        "text",
+        "len",
+        F.when(last, F.lit(0)).otherwise(end).alias("rs"),
+        F.when(last, F.col("start")).otherwise(F.col("size") - end).alias("rl"),
+        F.when(last, F.lit(TAU)).otherwise(n - F.col("j")).alias("errs"),
+        F.when(last, F.col("s")).otherwise(F.col("delta") - F.col("s")).alias("change"),
+        F.when(last, F.lit(0)).otherwise(F.col("s")).alias("off"),
+    )
+
+
+def _finer(wide: DataFrame, hot: DataFrame, probe: bool) -> DataFrame:
+    """Hot keys joined with each piece of their open region; ``i`` is 0 for rows left as they were."""
     most = TAU + 1
     pieces = [(i, t) for i in range(1, most + 1) for t in (range(-(i - 1), i) if probe else (0,))]
-    wide = _entries(texts.select("tid", "sig", "text"), probe).join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "key", "left")
-    finer = F.when(F.col("is_hot"), _table(pieces, "i", "t")).otherwise(_table([(0, 0)], "i", "t"))
-    wide = wide.select("*", F.explode(finer).alias("f")).select("*", "f.*")
-    # the last segment is open to its left, the others to their right
-    right = F.col("j") <= TAU
-    count = F.when(right, TAU + 2 - F.col("j")).otherwise(most)
-    begin = F.when(right, F.col("start") + F.col("n")).otherwise(0)
-    region = F.when(right, F.col("size") - F.col("start") - F.col("n")).otherwise(F.col("start"))
-    change = F.when(right, F.col("delta") - F.col("s")).otherwise(F.col("s"))
-    shift = F.when(right, F.col("s")).otherwise(0)
-    wide = wide.withColumns({"count": count, "region": region, "change": change, "origin": begin + shift})
-    p_start, p_end = F.expr("(region * (i - 1)) div count").cast("int"), F.expr("(region * i) div count").cast("int")
-    wide = wide.withColumns({"at": F.col("origin") + p_start + F.col("t"), "p_n": p_end - p_start})
-    fits = (F.col("i") <= F.col("count")) & (F.abs(F.col("change") - F.col("t")) <= F.col("count") - F.col("i")) & (F.col("at") >= 0) & (F.col("at") + F.col("p_n") <= F.col("len"))
-    key = F.when(F.col("i") == 0, F.col("key")).otherwise(F.xxhash64("key", "i", _cut(F.col("text"), F.col("at"), F.col("p_n"))))
-    return wide.filter((F.col("i") == 0) | fits).select(key.alias("key"), "tid", "sig")
-
-
-def hot_segments(texts: DataFrame, n: int, least: int = HOT_LEAST) -> DataFrame:
-    """Keys of segments in more than ``hot`` texts, at most HOT_LIMIT of them by construction."""
-    hot = max(least, -(-(TAU + 1) * n // HOT_LIMIT))
-    return _entries(texts.select("text"), False).groupBy("key").count().filter(F.col("count") > hot).select("key")
+    marked = wide.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "key", "left")
+    split = F.when(F.col("is_hot") & (F.col("rl") > 0), _table(pieces, "i", "t")).otherwise(_table([(0, 0)], "i", "t"))
+    rows = marked.select("*", F.explode(split).alias("f")).select("*", "f.*")
+    k = F.col("errs") + 1
+    rows = rows.withColumns({"ps": F.expr("(rl * (i - 1)) div (errs + 1)").cast("int"), "pe": F.expr("(rl * i) div (errs + 1)").cast("int")})
+    at, n = F.col("rs") + F.col("off") + F.col("ps") + F.col("t"), F.col("pe") - F.col("ps")
+    fits = (F.col("i") <= k) & (F.abs("t") <= F.col("i") - 1) & (F.abs(F.col("change") - F.col("t")) <= k - F.col("i")) & (at >= 0) & (at + n <= F.col("len"))
+    kept, last = F.col("i") == 0, F.col("i") == k
+    rows = rows.filter(kept | fits)
+    pick = lambda old, at_last, else_: F.when(kept, F.col(old)).when(last, at_last).otherwise(else_).alias(old)
+    return rows.select(
+        F.when(kept, F.col("key")).otherwise(F.xxhash64("key", "i", _cut(F.col("text"), at, n))).alias("key"),
+        "tid",
+        "sig",
+        "text",
+        "len",
+        pick("rs", F.col("rs"), F.col("rs") + F.col("pe")),
+        pick("rl", F.col("ps"), F.col("rl") - F.col("pe")),
+        pick("errs", F.col("i") - 1, k - F.col("i")),
+        pick("change", F.col("t"), F.col("change") - F.col("t")),
+        pick("off", F.col("off"), F.col("off") + F.col("t")),
+        "i",
+    )
+
+
+def _spread(texts: DataFrame, hots: list[DataFrame], probe: bool) -> DataFrame:
+    """(key, tid, sig) rows of texts (tid, text, sig), as fine as the hot keys of each level ask."""
+    wide = _entries(texts, probe)
+    for hot in hots:
+        wide = _finer(wide, hot, probe).drop("i")
+    return wide.select("key", "tid", "sig")
+
+
+def hot_keys(texts: DataFrame, least: int = HOT_LEAST, limit: int = HOT_LIMIT) -> list[DataFrame]:
+    """For each level the keys in more than ``least`` texts, at most ``limit`` of them.
+
+    If a level has more, its threshold rises to rows / limit, which at most
+    ``limit`` keys can exceed.
+    """
+    out, wide = [], _entries(texts, False)
+    for level in range(LEVELS):
+        counts = materialise(wide.groupBy("key").count().filter(F.col("count") > least), f"hot-{level}")
+        n, rows = counts.agg(F.count(F.lit(1)), F.sum("count")).first()
+        if not n:
+            break
+        hot = counts.filter(F.col("count") > rows // limit).select("key") if n > limit else counts.select("key")
+        out.append(hot)
+        wide = _finer(wide.join(F.broadcast(hot), "key", "left_semi"), hot, False).filter("i > 0").drop("i")
+    return out
 
 
 def distinct_texts(rows: DataFrame) -> DataFrame:
@@ -153,8 +196,8 @@ def repeats(table: DataFrame, columns: tuple[str, ...] = ("domain", "username",
     """
     rows = _prepared(table, columns, hash_column, id_column, batch_column)
     texts = materialise(distinct_texts(rows).withColumn("sig", signature(F.col("text"))), "texts")
-    hot = materialise(hot_segments(texts, texts.count()), "hot")
-    pairs = materialise(close_pairs(_spread(texts, hot, False), _spread(texts, hot, True), texts), "pairs")
+    hots = hot_keys(texts)
+    pairs = materialise(close_pairs(_spread(texts, hots, False), _spread(texts, hots, True), texts), "pairs")
     since = texts.select("tid", "since")
     ways = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     nearest = ways.join(since.withColumnRenamed("tid", "a"), "a").groupBy("b").agg(F.min("since").alias("near"))
@@ -169,13 +212,13 @@ class SegmentIndex:
     """The index as a stored table: probe a new batch, then append it.
 
     History is read only through the keys the batch looks up; its texts are
-    fetched for candidates alone.  ``hot`` keys are fixed when the index is
+    fetched for candidates alone.  The hot keys are fixed when the index is
     built; later batches follow the same set, so both sides keep agreeing.
     """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark, self.root, self.parts = spark, root or workspace(spark, "segments"), 0
-        self.hot: DataFrame | None = None
+        self.hots: list[DataFrame] | None = None
 
     def _read(self, kind: str) -> DataFrame:
         return self.spark.read.parquet(*[f"{self.root}/{kind}-{k}" for k in range(self.parts)])
@@ -188,11 +231,11 @@ class SegmentIndex:
         k = self.parts
         texts.write.parquet(f"{self.root}/texts-{k}")
         texts = self.spark.read.schema(texts.schema).parquet(f"{self.root}/texts-{k}")
-        if self.hot is None:
-            self.hot = materialise(hot_segments(texts, texts.count()), "hot")
+        if self.hots is None:
+            self.hots = hot_keys(texts)
         # both directions are stored: later texts may be shorter or longer than these
-        own = _spread(texts, self.hot, False).withColumn("probe", F.lit(False))
-        own.unionByName(_spread(texts, self.hot, True).withColumn("probe", F.lit(True))).write.parquet(f"{self.root}/segments-{k}")
+        own = _spread(texts, self.hots, False).withColumn("probe", F.lit(False))
+        own.unionByName(_spread(texts, self.hots, True).withColumn("probe", F.lit(True))).write.parquet(f"{self.root}/segments-{k}")
         self.parts += 1
 
     def probe(self, rows: DataFrame) -> DataFrame:
@@ -201,8 +244,8 @@ class SegmentIndex:
             return rows.select("id").limit(0)
         new = materialise(distinct_texts(rows).withColumn("sig", signature(F.col("text"))), "probing")
         old, stored = self._read("texts"), self._read("segments")
-        shorter = close_pairs(stored.filter("not probe"), _spread(new, self.hot, True), old, new).select("b")
-        longer = close_pairs(_spread(new, self.hot, False), stored.filter("probe"), new, old).select(F.col("a").alias("b"))
+        shorter = close_pairs(stored.filter("not probe"), _spread(new, self.hots, True), old, new).select("b")
+        longer = close_pairs(_spread(new, self.hots, False), stored.filter("probe"), new, old).select(F.col("a").alias("b"))
         same = new.join(old.select("text"), "text", "left_semi").select(F.col("tid").alias("b"))
         hits = shorter.unionByName(longer).unionByName(same).distinct()
         texts = new.join(hits.withColumnRenamed("b", "tid"), "tid", "left_semi")

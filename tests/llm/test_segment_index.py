@@ -56,7 +56,7 @@ def rows_with(rng, n):
 
 @pytest.mark.parametrize("hot", [1, 32])
 def test_equals_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(si.hot_segments, "__defaults__", (hot,))
+    monkeypatch.setattr(si.hot_keys, "__defaults__", (hot, si.HOT_LIMIT))
     rows = rows_with(random.Random(hot), 220)
     got = {r["id"] for r in si.repeats(spark.createDataFrame(rows, DDL)).collect()}
     assert got == brute(rows)

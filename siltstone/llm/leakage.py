@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.session import ship
+
 WORD = re.compile(r"[^\W_]+")
 N = 13
 ITEM_LIMIT = 8_000_000
@@ -120,6 +122,7 @@ def _blocks(items: DataFrame, id_column: str, text_column: str) -> list[list[tup
 def leaks(docs: DataFrame, items: DataFrame, n: int = N, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, item_id, words_leaked, first_word): each pair with n consecutive words in common."""
     spark, out = docs.sparkSession, None
+    ship(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     for block in _blocks(items, item_id, text):
         shared = spark.sparkContext.broadcast(WindowSet(block, n))
@@ -145,6 +148,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, n: int = N, doc_id: str = "
     before, between and after them, untouched.
     """
     spark = docs.sparkSession
+    ship(spark)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(0).cast("long").alias("removed_words"))
     for block in _blocks(items, item_id, text):
         shared = spark.sparkContext.broadcast(WindowSet(block, n))

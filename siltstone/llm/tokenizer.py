@@ -26,6 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from siltstone.session import ship
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pretoken pattern of the byte-level vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -150,6 +152,7 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa
 
 def encode_table(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, ids) for each row: one pass, no shuffle."""
+    ship(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
     out = docs.select(docs[id_column].alias("key"), docs[text_column]).mapInArrow(lambda b: _encode_batches(b, vocabulary), f"key {kind}, ids array<int>")
     return out.withColumnRenamed("key", id_column)

@@ -165,8 +165,12 @@ def _regions(batches: Iterator[pa.RecordBatch], margin: int, gram: int) -> Itera
         yield pa.RecordBatch.from_arrays([pa.array(out["grp"], pa.int64()), pa.array(out["doc"], pa.int64()), pa.array(out["start"], pa.int32()), pa.array(out["part"], pa.string())], names=["grp", "doc", "start", "part"])
 
 
-def _matches(indexed: list[tuple[int, int, str]], asked: list[tuple[int, int, str]], least: int) -> list[tuple[int, int, int, int, int]]:
-    """(doc_a, start_a, doc_b, start_b, length) of the maximal matches between two lists of (doc, start, text).
+Region = tuple[int, int, str]
+_COLUMNS = ("doc_a", "start_a", "doc_b", "start_b", "length")
+
+
+def _matches(indexed: list[Region], asked: list[Region], least: int) -> list[np.ndarray]:
+    """The columns (doc_a, start_a, doc_b, start_b, length) of the maximal matches between two lists of (doc, start, text).
 
     If both are the same list, each pair comes out once.
     """
@@ -185,14 +189,14 @@ def _matches(indexed: list[tuple[int, int, str]], asked: list[tuple[int, int, st
         q_flat, q_bounds = code_points([t for _, _, t in asked])
         at = np.searchsorted(letters, q_flat)
         at[at == len(letters)] = 0
-        known = letters[at] == q_flat if len(letters) else np.zeros(len(q_flat), bool)
-        other = np.append(np.insert(np.where(known, at + 2, -1), q_bounds[1:], -2), -3)
+        other = np.append(np.insert(np.where(letters[at] == q_flat, at + 2, -1), q_bounds[1:], -2), -3)
         other_begins = q_bounds + np.arange(len(q_bounds))
     sizes = np.diff(other_begins) - 1
     starts = np.concatenate([[0], *[np.arange(b, b + s - block + 1, block) for b, s in zip(other_begins[:-1], sizes)]]).astype(np.int64)[1:]
     which, low, high = index.search(other, starts, block, 2 if same else 1)
-    i_doc, q_doc = np.array([d for d, _, _ in indexed]), np.array([d for d, _, _ in asked])
-    out: set[tuple[int, int, int, int, int]] = set()
+    i_doc, i_start = (np.array([r[k] for r in indexed], dtype=np.int64) for k in (0, 1))
+    q_doc, q_start = (np.array([r[k] for r in asked], dtype=np.int64) for k in (0, 1))
+    out: list[list[np.ndarray]] = [[] for _ in _COLUMNS]
     counts = high - low
     # hits are expanded a bounded number at a time
     edge, total = 0, np.cumsum(counts)
@@ -205,52 +209,53 @@ def _matches(indexed: list[tuple[int, int, str]], asked: list[tuple[int, int, st
         p = starts[np.repeat(w, c)]
         xr = np.searchsorted(begins, x, side="right") - 1
         pr = np.searchsorted(other_begins, p, side="right") - 1
-        keep = q_doc[pr] < i_doc[xr] if same else q_doc[pr] != i_doc[xr]
+        keep = np.flatnonzero(q_doc[pr] < i_doc[xr] if same else q_doc[pr] != i_doc[xr])
         x, p, xr, pr = x[keep], p[keep], xr[keep], pr[keep]
-        left = _extend(text, other, x - 1, p - 1, -1)
+        # a match that goes back a whole block was found from that block already
+        left = _extend(text, other, x - 1, p - 1, -1, block)
+        keep = np.flatnonzero(left < block)
+        x, p, xr, pr, left = x[keep], p[keep], xr[keep], pr[keep], left[keep]
         right = _extend(text, other, x + block, p + block, 1)
         length = left + block + right
-        for k in np.flatnonzero(length >= least).tolist():
-            a, b, n = int(p[k] - left[k] - other_begins[pr[k]]), int(x[k] - left[k] - begins[xr[k]]), int(length[k])
-            q, i = asked[pr[k]], indexed[xr[k]]
-            if q[2][a : a + n] == i[2][b : b + n]:
-                one, two = (q[0], q[1] + a), (i[0], i[1] + b)
-                if one > two:
-                    one, two = two, one
-                out.add((*one, *two, n))
-    return sorted(out)
+        keep = np.flatnonzero(length >= least)
+        x, p, xr, pr, left, length = (v[keep] for v in (x, p, xr, pr, left, length))
+        d1, s1 = q_doc[pr], q_start[pr] + p - left - other_begins[pr]
+        d2, s2 = i_doc[xr], i_start[xr] + x - left - begins[xr]
+        turn = d1 > d2
+        for held, v in zip(out, (np.where(turn, d2, d1), np.where(turn, s2, s1), np.where(turn, d1, d2), np.where(turn, s1, s2), length)):
+            held.append(v)
+    return [np.concatenate(v) if v else np.zeros(0, np.int64) for v in out]
 
 
-def _extend(text: np.ndarray, other: np.ndarray, x: np.ndarray, p: np.ndarray, way: int) -> np.ndarray:
-    """How many characters agree from x in text and p in other, going either way.
+def _extend(text: np.ndarray, other: np.ndarray, x: np.ndarray, p: np.ndarray, way: int, enough: int = 1 << 62) -> np.ndarray:
+    """How many characters agree from x in text and p in other, going either way, at least up to ``enough``.
 
-    Compared in strides that grow while they agree and end at the first
+    The characters themselves are compared, in strides, up to the first
     difference; separators (1, and below 0) agree with nothing.
     """
     out = np.zeros(len(x), dtype=np.int64)
-    live, stride = np.arange(len(x)), 32
+    # most pairs differ at once; those that do not take wider strides
+    live, stride = np.arange(len(x)), 4
     while len(live):
         steps = np.arange(stride) * way
-        a, b = x[live, None] + out[live, None] * way + steps, p[live, None] + out[live, None] * way + steps
+        a, b = (x[live] + out[live] * way)[:, None] + steps, (p[live] + out[live] * way)[:, None] + steps
         fit = (a >= 0) & (a < len(text)) & (b >= 0) & (b < len(other))
         va, vb = text[np.clip(a, 0, len(text) - 1)], other[np.clip(b, 0, len(other) - 1)]
         agree = fit & (va == vb) & (va > 1)
         run = np.where(agree.all(axis=1), stride, agree.argmin(axis=1))
         out[live] += run
-        live = live[run == stride]
+        live = live[(run == stride) & (out[live] < enough)]
+        stride = 32
     return out
 
 
 def _match_shard(least: int):
     def run(table: pa.Table) -> pa.Table:
-        rows: dict[bool, list[tuple[int, int, str]]] = {False: [], True: []}
-        for block, doc, start, part in zip(table["asking"].to_pylist(), table["doc"].to_pylist(), table["start"].to_pylist(), table["part"].to_pylist()):
-            rows[block].append((doc, start, part))
-        found = []
-        if rows[False]:
-            found = _matches(rows[False], rows[True] if rows[True] else rows[False], least)
-        cols = list(zip(*found)) if found else [[]] * 5
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("doc_a", "start_a", "doc_b", "start_b", "length"), cols)})
+        rows: dict[bool, list[Region]] = {False: [], True: []}
+        for asking, doc, start, part in zip(table["asking"].to_pylist(), table["doc"].to_pylist(), table["start"].to_pylist(), table["part"].to_pylist()):
+            rows[asking].append((doc, start, part))
+        found = _matches(rows[False], rows[True] or rows[False], least) if rows[False] else [np.zeros(0, np.int64)] * 5
+        return pa.table({n: pa.array(v, pa.int64()) for n, v in zip(_COLUMNS, found)})
 
     return run
 

@@ -1,8 +1,8 @@
 """Byte-pair encoding of whole texts, each merge found at the root of a segment tree.
 
-A text is cut into pretokens by the vocabulary's pattern.  A pretoken's bytes
-are the leaves of a segment tree whose nodes hold the lowest (rank, position)
-of the adjacent pairs below.  The root is the leftmost pair of lowest rank;
+A text is cut into pretokens by the vocabulary's pattern.  The adjacent
+pairs of a pretoken's bytes are the leaves of a segment tree whose nodes hold the
+lowest (rank, position) below.  The root is the leftmost pair of lowest rank;
 merging it changes the pair itself and its two neighbours, three point updates
 of logarithmic cost, until the root holds no mergeable pair.  So a pretoken of
 n bytes costs O(n log n), however long it is.
@@ -41,39 +41,38 @@ def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+FAN = 16
+
+
 class PairTree:
     """Lowest (rank, position) over adjacent pairs, with point updates.
 
     A leaf holds rank << 32 | position, so the least value is the leftmost of
-    the lowest ranks.
+    the lowest ranks.  A node covers FAN nodes of the level below; the root is
+    the least of the top level, which has at most FAN nodes.
     """
 
-    __slots__ = ("size", "tree")
+    __slots__ = ("levels",)
 
     def __init__(self, values: list[int]):
-        size = 1
-        while size < len(values):
-            size *= 2
-        tree = [_NONE] * size + values + [_NONE] * (size - len(values))
-        for i in range(size - 1, 0, -1):
-            a, b = tree[2 * i], tree[2 * i + 1]
-            tree[i] = a if a < b else b
-        self.size, self.tree = size, tree
+        self.levels = levels = [values]
+        while len(below := levels[-1]) > FAN:
+            levels.append([min(below[k : k + FAN]) for k in range(0, len(below), FAN)])
 
     def set(self, at: int, value: int) -> None:
-        tree, i = self.tree, at + self.size
-        tree[i] = value
-        i >>= 1
-        while i:
-            a, b = tree[2 * i], tree[2 * i + 1]
-            low = a if a < b else b
-            if tree[i] == low:
+        levels = self.levels
+        below = levels[0]
+        below[at] = value
+        for level in levels[1:]:
+            at //= FAN
+            low = min(below[at * FAN : at * FAN + FAN])
+            if level[at] == low:
                 return
-            tree[i] = low
-            i >>= 1
+            level[at] = low
+            below = level
 
     def root(self) -> int:
-        return self.tree[1]
+        return min(self.levels[-1])
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -85,25 +84,28 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     parts: list[bytes] = [piece[i : i + 1] for i in range(n)]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     get = ranks.get
-    tree = PairTree([_NONE if (r := get(piece[i : i + 2])) is None else r << 32 | i for i in range(n - 1)])
-    while (low := tree.root()) != _NONE:
+    leaves = [_NONE if (r := get(piece[i : i + 2])) is None else r << 32 | i for i in range(n - 1)]
+    tree = PairTree(leaves)
+    # with one level the leaves are the top, and an update is an assignment
+    put, root = (leaves.__setitem__, None) if len(tree.levels) == 1 else (tree.set, tree.root)
+    while (low := min(leaves) if root is None else root()) != _NONE:
         i = low & 0xFFFFFFFF
         j = after[i]
         parts[i] += parts[j]
         k = after[i] = after[j]
         parts[j] = b""
         if j < n - 1:
-            tree.set(j, _NONE)
+            put(j, _NONE)
         if k < n:
             before[k] = i
             r = get(parts[i] + parts[k])
-            tree.set(i, _NONE if r is None else r << 32 | i)
+            put(i, _NONE if r is None else r << 32 | i)
         else:
-            tree.set(i, _NONE)
+            put(i, _NONE)
         h = before[i]
         if h >= 0:
             r = get(parts[h] + parts[i])
-            tree.set(h, _NONE if r is None else r << 32 | h)
+            put(h, _NONE if r is None else r << 32 | h)
     return [ranks[p] for p in parts if p]
 
 

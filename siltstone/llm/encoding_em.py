@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from siltstone.session import materialise
 
-#: Fixed values: (written in, read as); the last repeats the first.
+#: Fixed values: (written in, read as); "utf-8 twice" went through the first chain two times.
 CHAINS = (
     ("utf-8", "cp1252"),
     ("utf-8", "latin-1"),
@@ -77,7 +77,7 @@ def char_class(c: str) -> str:
     if o == 0xFFFD:
         return "lost"
     if o < 0xC0 or o in (0xD7, 0xF7):
-        return "mark" if o not in (0xAA, 0xB5, 0xBA) else "mark"
+        return "mark"
     if o < 0x250:
         return "latin-" + case
     if 0x370 <= o < 0x400:

@@ -55,64 +55,84 @@ def shape_of(text: str) -> str:
     return re.sub(r"[^\",]+", "o", text).replace('"', "q").replace(",", "c")
 
 
-@lru_cache(maxsize=20_000)
-def cheapest(shape: str, fields: int = len(FIELDS)) -> tuple[int, str]:
-    """Least cost and its operations, as text, for a shape.
-
-    Positions in the operations count the shape's symbols from 1.  Of several
-    ways of one cost the first found stays, which makes the answer definite.
-    """
-    last, states = fields - 1, 4 * fields
-    index = lambda f, m: 4 * f + m
-    inf = 1 << 30
-    move = {k: [(index(*t) if (t := _step(s // 4, s % 4, k, last)) else -1) for s in range(states)] for k in "qco"}
-    cost, back = [inf] * states, []
-    cost[0] = 0
-
-    def relax(cost: list[int]) -> dict[int, tuple[int, str]]:
-        """Insertions: moves that read nothing, cheapest first."""
-        came: dict[int, tuple[int, str]] = {}
-        queue = sorted((c, s) for s, c in enumerate(cost) if c < inf)
-        while queue:
-            c, s = queue.pop(0)
-            if c > cost[s]:
-                continue
-            for k in "qc":
+@lru_cache(maxsize=4)
+def _moves(fields: int) -> dict[str, list[int]]:
+    """For each symbol the state after each state, -1 for none; a state is 4 * field + mode."""
+    last = fields - 1
+    return {k: [(4 * t[0] + t[1] if (t := _step(s // 4, s % 4, k, last)) else -1) for s in range(4 * fields)] for k in "qco"}
+
+
+_INF, _NO = 1 << 30, 255
+
+
+def _relax(cost: list[int], move: dict[str, list[int]]) -> tuple[bytearray, bytearray]:
+    """Insertions, moves that read nothing, cheapest first: (state before, symbol) of each state so reached."""
+    came, kind = bytearray([_NO]) * len(cost), bytearray(len(cost))
+    front = sorted(range(len(cost)), key=cost.__getitem__)
+    while front:
+        new = []
+        for s in front:
+            c = cost[s] + 1
+            if c > _INF:
+                break
+            for code, k in enumerate("qc"):
                 t = move[k][s]
-                if t >= 0 and c + 1 < cost[t]:
-                    cost[t], came[t] = c + 1, (s, k)
-                    queue.append((c + 1, t))
-            queue.sort()
-        return came
+                if t >= 0 and c < cost[t]:
+                    cost[t], came[t], kind[t] = c, s, code
+                    new.append(t)
+        front = sorted(new, key=cost.__getitem__)
+    return came, kind
+
 
-    inserted = [relax(cost)]
+def _cheapest(shape: str, fields: int) -> tuple[int, str]:
+    move, states = _moves(fields), 4 * fields
+    cost = [_INF] * states
+    cost[0] = 0
+    # four bytes for each state and symbol, however long the shape is
+    read: list[tuple[bytearray, bytearray]] = []
+    inserted = [_relax(cost, move)]
     for k in shape:
-        new, came = [inf] * states, {}
+        new, came, deleted, to = [_INF] * states, bytearray([_NO]) * states, bytearray(states), move[k]
         for s, c in enumerate(cost):
-            if c < inf:
-                t = move[k][s]
+            if c < _INF:
+                t = to[s]
                 if t >= 0 and c < new[t]:
-                    new[t], came[t] = c, (s, "")
+                    new[t], came[t], deleted[t] = c, s, 0
                 if k != "o" and c + 1 < new[s]:
-                    new[s], came[s] = c + 1, (s, "d" + k)
-        back.append(came)
+                    new[s], came[s], deleted[s] = c + 1, s, 1
+        read.append((came, deleted))
         cost = new
-        inserted.append(relax(cost))
-    best = min((index(last, m) for m in (START, BARE, ENDED)), key=lambda s: cost[s])
+        inserted.append(_relax(cost, move))
+    best = min((4 * (fields - 1) + m for m in (START, BARE, ENDED)), key=lambda s: cost[s])
     ops, s, at = [], best, len(shape)
     while True:
-        while s in inserted[at]:
-            s, k = inserted[at][s]
-            ops.append(f"{_NAMES['i', k]} at {at + 1}")
+        came, kind = inserted[at]
+        while came[s] != _NO:
+            ops.append(f"{_NAMES['i', 'qc'[kind[s]]]} at {at + 1}")
+            s = came[s]
         if not at:
             break
-        s, op = back[at - 1][s]
-        if op:
-            ops.append(f"{_NAMES['d', op[1]]} at {at}")
+        came, deleted = read[at - 1]
+        if deleted[s]:
+            ops.append(f"{_NAMES['d', shape[at - 1]]} at {at}")
+        s = came[s]
         at -= 1
     return cost[best], "; ".join(reversed(ops))
 
 
+_remembered = lru_cache(maxsize=20_000)(_cheapest)
+
+
+def cheapest(shape: str, fields: int = len(FIELDS)) -> tuple[int, str]:
+    """Least cost and its operations, as text, for a shape.
+
+    Positions in the operations count the shape's symbols from 1.  Of several
+    ways of one cost the first found stays, which makes the answer definite.
+    Shapes of up to 500 symbols are remembered.
+    """
+    return _remembered(shape, fields) if len(shape) <= 500 else _cheapest(shape, fields)
+
+
 _FIELD = re.compile(r'"((?:[^"]|"")*)"|([^",]*)')
 
 

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.operators.search import contains_many
+
 BY_TYPE = {"domain": ("domain",), "user": ("username",), "url": ("url",), "any": ("domain", "username", "url", "email_domain")}
 #: Items up to this many are compared with each record in place, beyond it by a trigram join.
 ITEM_LIMIT = 1_000
@@ -30,13 +32,13 @@ def hits(items: DataFrame, records: DataFrame) -> DataFrame:
     known = items.withColumn("match_type", F.when(F.col("match_type").isin(*BY_TYPE), F.col("match_type")).otherwise("any"))
     if known.limit(ITEM_LIMIT + 1).count() <= ITEM_LIMIT:
         return records.join(F.broadcast(known), hit(F.col("query"), F.col("match_type")))
-    from siltstone.operators.search import contains_many
-
-    pairs = None
+    # queries of one or two characters have no trigram and are compared in place
+    short = records.join(known.filter(F.length("query") < 3), hit(F.col("query"), F.col("match_type"))).select("id", "item_id")
+    pairs = short
     for kind, columns in BY_TYPE.items():
         for c in columns:
-            part = contains_many(records, "id", c, known.filter(F.col("match_type") == kind), "item_id", "query")
-            pairs = part if pairs is None else pairs.unionByName(part)
+            long = known.filter((F.col("match_type") == kind) & (F.length("query") >= 3))
+            pairs = pairs.unionByName(contains_many(records, "id", c, long, "item_id", "query"))
     return records.join(pairs.distinct(), "id").join(known, "item_id")
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -103,14 +104,17 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove every intermediate table of this session; results that read them must be written before."""
+    for held in [w for w in _written if w[0] is spark]:
+        _written.remove(held)
+        remove(spark, held[1])
+
+
 @atexit.register
 def _sweep() -> None:
     for spark, path in _written:
         try:
             remove(spark, path)
         except Exception:  # the JVM may be gone already
-            local = path.removeprefix("file://")
-            if os.path.isdir(local):
-                import shutil
-
-                shutil.rmtree(local, ignore_errors=True)
+            shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)

@@ -74,6 +74,26 @@ def test_watch_incremental(spark):
     assert {x["item_id"]: x["total"] for x in watch.sweep(items, recs, F.col("id")).collect()} == {1: 3, 2: 3}
 
 
+def test_many_items_equal_few(spark, monkeypatch):
+    recs = spark.createDataFrame([(i, d, u, f"https://{d}/x", None) for i, (d, u) in enumerate([("shop.test", "Ann"), ("hub.test", "bob"), (None, None), ("abc.test", "a1")])], "id long, domain string, username string, url string, email_domain string")
+    items = spark.createDataFrame([(1, "SHOP", "domain"), (2, "a", "user"), (3, "test", "any"), (4, "b.te", "url"), (5, "zz", "odd")], "item_id long, query string, match_type string")
+    few = sorted((r["item_id"], r["id"]) for r in watch.hits(items, recs).collect())
+    monkeypatch.setattr(watch, "ITEM_LIMIT", 2)
+    assert sorted((r["item_id"], r["id"]) for r in watch.hits(items, recs).collect()) == few and len(few) > 5
+
+
+def test_release_removes_tables(spark, monkeypatch):
+    from siltstone import session
+
+    monkeypatch.setattr(session, "_written", [])
+    df = session.materialise(spark.range(3), "released")
+    path = session._written[0][1]
+    assert df.count() == 3
+    session.release(spark)
+    fs, p = session.hadoop_path(spark, path)
+    assert not fs.exists(p) and not session._written
+
+
 def test_split_names(spark):
     names = ["a.part1.rar", "a.r00", "b_2of3.zip", "c.rar", "d.7z.001", "e.zip.002", "f.z01", "g.001", "h-vol2.zip", "i.txt", None]
     df = spark.createDataFrame([(n,) for n in names], "n string")

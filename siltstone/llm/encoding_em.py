@@ -136,9 +136,12 @@ def _undo_utf8(run: str, read: str) -> str | None:
     return "".join(out) if any_ else None
 
 
-@lru_cache(maxsize=200_000)
 def candidates(run: str) -> tuple[tuple[int, str], ...]:
     """(chain, text) for each chain that the run can be undone by; 0 is the clean one."""
+    return _remembered(run) if len(run) <= 100 else _candidates(run)
+
+
+def _candidates(run: str) -> tuple[tuple[int, str], ...]:
     out = [(0, run)]
     for k, (written, read) in enumerate(CHAINS, 1):
         if written == "utf-8":
@@ -157,6 +160,9 @@ def candidates(run: str) -> tuple[tuple[int, str], ...]:
     return tuple(out)
 
 
+_remembered = lru_cache(maxsize=200_000)(_candidates)
+
+
 class CleanText:
     """The likelihood of a run under the statistics of clean text."""
 

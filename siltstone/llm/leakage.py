@@ -30,7 +30,7 @@ from siltstone.session import ship
 
 WORD = re.compile(r"[^\W_]+")
 N = 13
-ITEM_LIMIT = 8_000_000
+ITEM_LIMIT = 1_000_000
 _BASE = 0x9E3779B97F4A7C15
 
 

@@ -185,8 +185,8 @@ def buckets_and_ages(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.to_date("ts").alias("day"), F.date_format("ts", "yyyy-MM").alias("month"), age.alias("age_s"), F.get_json_object("props", "$.k").alias("k"))
 
 
-@query("SELECT batch_id, len(list(DISTINCT domain)) AS domains FROM parsed_credentials WHERE domain IS NOT NULL GROUP BY 1")
+@query("SELECT source_conversation_id, len(list(DISTINCT stealer_type)) AS types FROM parsed_credentials WHERE stealer_type IS NOT NULL GROUP BY 1")
 def json_list_length(t: Tables) -> DataFrame:
-    """Lists kept as JSON text, and their lengths read back."""
-    lists = t.parsed_credentials.filter("domain is not null").select("batch_id", "domain").distinct().groupBy("batch_id").agg(F.to_json(F.collect_list("domain")).alias("j"))
-    return lists.select("batch_id", F.json_array_length("j").cast("long").alias("domains"))
+    """Short lists kept as JSON text, and their lengths read back."""
+    lists = t.parsed_credentials.filter("stealer_type is not null").groupBy("source_conversation_id").agg(F.to_json(F.collect_set("stealer_type")).alias("j"))
+    return lists.select("source_conversation_id", F.json_array_length("j").cast("long").alias("types"))

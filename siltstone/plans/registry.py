@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.sources.tables import table, utc
+from siltstone.sources.tables import instant_table
 
 
 class Tables:
@@ -16,7 +16,7 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return utc(table(self.spark, self.folder, name))
+        return instant_table(self.spark, self.folder, name)
 
 
 class Registry:

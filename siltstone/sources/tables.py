@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
 
 from siltstone.session import ship
 
@@ -14,6 +14,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def utc(df: DataFrame) -> DataFrame:
-    """Zone-less timestamps as instants; the session's zone is UTC."""
-    return df.withColumns({c: F.col(c).cast("timestamp") for c, t in df.dtypes if t == "timestamp_ntz"})
+def instant_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One table with its zone-less timestamps read as instants; the session's zone is UTC.
+
+    The scan itself reads them so.  A cast afterwards would keep conditions on
+    time from reaching the parquet files.
+    """
+    stored = table(spark, folder, name).schema
+    if not any(isinstance(f.dataType, TimestampNTZType) for f in stored):
+        return table(spark, folder, name)
+    schema = StructType([StructField(f.name, TimestampType() if isinstance(f.dataType, TimestampNTZType) else f.dataType, f.nullable) for f in stored])
+    return spark.read.schema(schema).parquet(f"{folder}/{name}.parquet")

@@ -203,3 +203,10 @@ def test_xlsx_is_gated(spark, tmp_path):
 
     df = spark.createDataFrame([(1, "x")], "id long, password string")
     assert sinks.to_xlsx({"a": df}, str(tmp_path / "a.xlsx")) is (importlib.util.find_spec("openpyxl") is not None)
+
+
+def test_time_conditions_reach_the_files(spark, small):
+    from siltstone.plans.search_queries import registry
+
+    plan = registry.queries()["since_filter"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_at" in plan[plan.index("PushedFilters") :]

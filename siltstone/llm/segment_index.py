@@ -70,6 +70,11 @@ def _table(rows: list[tuple[int, ...]], *names: str) -> Column:
     return F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows])
 
 
+def _key(*parts: Column | str) -> Column:
+    """A hash of 48 bits: it only routes, and the saved bytes count thirtyfold."""
+    return F.xxhash64(*parts).bitwiseAND(F.lit((1 << 48) - 1))
+
+
 def _cut(text: Column, start: Column, length: Column) -> Column:
     return F.substring(text, start + 1, length)
 
@@ -95,7 +100,7 @@ def _entries(texts: DataFrame, probe: bool) -> DataFrame:
     inside = wide.filter((F.col("size") >= 0) & (at >= 0) & (at + F.col("n") <= F.col("len")))
     end = F.col("start") + F.col("n")
     return inside.select(
-        F.xxhash64("j", "size", _cut(F.col("text"), at, F.col("n"))).alias("key"),
+        _key("j", "size", _cut(F.col("text"), at, F.col("n"))).alias("key"),
         "tid",
         "sig",
         "text",
@@ -123,7 +128,7 @@ def _finer(wide: DataFrame, hot: DataFrame, probe: bool) -> DataFrame:
     rows = rows.filter(kept | fits)
     pick = lambda old, at_last, else_: F.when(kept, F.col(old)).when(last, at_last).otherwise(else_).alias(old)
     return rows.select(
-        F.when(kept, F.col("key")).otherwise(F.xxhash64("key", "i", _cut(F.col("text"), at, n))).alias("key"),
+        F.when(kept, F.col("key")).otherwise(_key("key", "i", _cut(F.col("text"), at, n))).alias("key"),
         "tid",
         "sig",
         "text",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.functions import text
 from siltstone.operators import dedup, search, watch
 from siltstone.operators.stats import late_lookup
 from siltstone.plans.registry import Registry, Tables
@@ -228,6 +229,13 @@ def keep_first_ci(t: Tables) -> DataFrame:
     return search.keep_first(s, F.col("k"), F.col("id")).select("k", "id")
 
 
+@query("SELECT lower(trim(hostname)) AS k, min(id) AS id FROM system_info WHERE hostname IS NOT NULL GROUP BY 1")
+def keep_first_ci_all(t: Tables) -> DataFrame:
+    """All hostnames, non-ASCII ones too, which keep_first_ci and its SQL leave out."""
+    s = t.system_info.filter("hostname is not null").withColumn("k", F.lower(text.stripped(F.col("hostname"))))
+    return search.keep_first(s, F.col("k"), F.col("id")).select("k", "id")
+
+
 @query("SELECT coalesce(credential_hash, id || ':' || line_number) AS k, min(id) AS id FROM parsed_credentials GROUP BY 1")
 def attachment_identity(t: Tables) -> DataFrame:
     k = F.coalesce("credential_hash", F.concat_ws(":", "id", "line_number"))

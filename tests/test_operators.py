@@ -210,3 +210,17 @@ def test_time_conditions_reach_the_files(spark, small):
 
     plan = registry.queries()["since_filter"](spark, small)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(created_at" in plan[plan.index("PushedFilters") :]
+
+
+def test_keep_first_ci_takes_every_hostname(spark, tmp_path):
+    from siltstone.plans.search_queries import registry
+
+    names = ["Älpha", "äLPHA ", "\u00a0ÄLPHA", "ЁЖ-1", "ёж-1", "ΟΔΟΣ", "οδος", "İ", "Plain", "pLAIN\t", "東京", None]
+    rows = list(enumerate(names))
+    spark.createDataFrame(rows[::-1], "id long, hostname string").write.parquet(str(tmp_path / "system_info.parquet"))
+    want = {}
+    for i, name in rows:
+        if name is not None:
+            want.setdefault(name.strip().lower(), i)
+    got = {r["k"]: r["id"] for r in registry.queries()["keep_first_ci_all"](spark, str(tmp_path)).collect()}
+    assert got == want and len(want) == 6

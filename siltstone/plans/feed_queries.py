@@ -23,6 +23,13 @@ def parse_sheet(t: Tables) -> DataFrame:
     return records.sheets(d, "doc_id", "text").filter("hostname is not null").select("doc_id", "hostname", "build")
 
 
+@query(r"""WITH b AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '(?m)^(?:[ \t]*|---+[ \t]*|===+[ \t]*|_{3,}[ \t]*)$', chr(1), 'g'), chr(1)), lambda x: trim(x, chr(10))), lambda x: x <> '')) AS block FROM documents WHERE doc_kind = 'system_sheet')
+SELECT doc_id, nullif(trim(regexp_extract(block, '(?m)^[ \t]*Machine\s*[:=]\s*(\S.*)$', 1)), '') AS hostname, nullif(trim(regexp_extract(block, '(?m)^[ \t]*Build\s*[:=]\s*(\S.*)$', 1)), '') AS build FROM b WHERE regexp_matches(block, '(?m)^[ \t]*Machine\s*[:=]\s*\S')""")
+def parse_sheet_all(t: Tables) -> DataFrame:
+    """Every sheet, whatever its line ends; parse_sheet and its SQL leave out texts with a carriage return."""
+    return records.sheets(t.documents.filter("doc_kind = 'system_sheet'"), "doc_id", "text").filter("hostname is not null").select("doc_id", "hostname", "build")
+
+
 @query(r"SELECT id, regexp_extract(x, '^(https?://[^\s|]+)\|([^|]+)\|(.+)$', 1) AS url, regexp_extract(x, '^(https?://[^\s|]+)\|([^|]+)\|(.+)$', 2) AS username, length(regexp_extract(x, '^(https?://[^\s|]+)\|([^|]+)\|(.+)$', 3)) AS last_length FROM (SELECT id, 'https://' || domain || '/a|' || application || '|' || source_file || '|' || line_number AS x FROM parsed_credentials WHERE domain IS NOT NULL AND application IS NOT NULL AND source_file IS NOT NULL)")
 def parse_delimited(t: Tables) -> DataFrame:
     """Three fields, the last of which holds the delimiter."""

@@ -224,3 +224,15 @@ def test_keep_first_ci_takes_every_hostname(spark, tmp_path):
             want.setdefault(name.strip().lower(), i)
     got = {r["k"]: r["id"] for r in registry.queries()["keep_first_ci_all"](spark, str(tmp_path)).collect()}
     assert got == want and len(want) == 6
+
+
+def test_parse_sheet_takes_every_line_end(spark, tmp_path):
+    from siltstone.plans.feed_queries import registry
+
+    plain = "Machine: elm-1\nBuild: b7\n\nMachine = Élan 2\n---\nBuild: none\n"
+    mixed = "Machine: elm-1\r\nBuild: b7\n\r\nMachine = Élan 2\r---\r\nBuild: none\r"
+    docs = [(1, "system_sheet", plain), (2, "system_sheet", plain.replace("\n", "\r\n")), (3, "system_sheet", plain.replace("\n", "\r")), (4, "system_sheet", mixed), (5, "system_sheet", None), (6, "note", mixed)]
+    spark.createDataFrame(docs, "doc_id long, doc_kind string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(tuple(r) for r in registry.queries()["parse_sheet_all"](spark, str(tmp_path)).collect())
+    want = [("elm-1", "b7"), ("Élan 2", None)]
+    assert got == sorted(((i, *w) for i in (1, 2, 3, 4) for w in want), key=lambda r: (r[0], r[1]))

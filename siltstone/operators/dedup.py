@@ -39,9 +39,13 @@ def runs_of(df: DataFrame, flag: str, order: str, part: Sequence[str] = ()) -> D
 
 
 def first_seen(rows: DataFrame, content: Column, time: str, place: Sequence[str], tie: str) -> DataFrame:
-    """(h, first, place..., duplicates): where each content appeared first, and how often again."""
-    r = rows.withColumn("h", content).filter(F.col("h").isNotNull() & F.col(time).isNotNull())
-    by = r.groupBy("h").agg(F.min_by(F.struct(time, *place), F.struct(time, tie)).alias("f"), (F.count(F.lit(1)) - 1).alias("duplicates"))
+    """(h, first, place..., duplicates): where each content appeared first, and how often again.
+
+    A row without a time comes after all that have one, so ``first`` is null only
+    if no row has a time; a place may be null; every further row is a duplicate.
+    """
+    r = rows.withColumn("h", content).filter(F.col("h").isNotNull())
+    by = r.groupBy("h").agg(F.min_by(F.struct(time, *place), F.struct(F.col(time).isNull(), time, tie)).alias("f"), (F.count(F.lit(1)) - 1).alias("duplicates"))
     return by.select("h", F.col("f")[time].alias("first"), *[F.col("f")[p].alias(p) for p in place], "duplicates")
 
 

@@ -111,10 +111,19 @@ def stream_hourly(t: Tables) -> DataFrame:
 
 @query("SELECT h, min(us) AS first_us, arg_min(conversation_id, (us, conversation_id)) AS conversation_id, count(*) - 1 AS duplicates FROM (SELECT sha256(text) AS h, epoch_us(platform_timestamp) AS us, conversation_id FROM documents WHERE text IS NOT NULL AND platform_timestamp IS NOT NULL AND conversation_id IS NOT NULL) GROUP BY 1")
 def stream_first_seen(t: Tables) -> DataFrame:
-    d = _stream(t, "documents").withColumn("h", F.sha2("text", 256))
-    s = feeds.first_seen(d, "h", "platform_timestamp", "conversation_id")
+    return _first_seen(t, _stream(t, "documents").filter("platform_timestamp is not null and conversation_id is not null"), "stream-first-seen")
+
+
+@query("SELECT h, f.us AS first_us, f.c AS conversation_id, duplicates FROM (SELECT h, arg_min({'us': us, 'c': c}, (us IS NULL, us, c IS NULL, c)) AS f, count(*) - 1 AS duplicates FROM (SELECT sha256(text) AS h, epoch_us(platform_timestamp) AS us, conversation_id AS c FROM documents WHERE text IS NOT NULL) GROUP BY 1)")
+def stream_first_seen_all(t: Tables) -> DataFrame:
+    """Every text; stream_first_seen and its SQL leave out rows without a time or a conversation."""
+    return _first_seen(t, _stream(t, "documents"), "stream-first-seen-all")
+
+
+def _first_seen(t: Tables, documents: DataFrame, label: str) -> DataFrame:
+    s = feeds.first_seen(documents.withColumn("h", F.sha2("text", 256)), "h", "platform_timestamp", "conversation_id")
     out = feeds.LatestTable(t.spark, "h", "duplicates")
-    feeds.run(s, out.write, "stream-first-seen", "update")
+    feeds.run(s, out.write, label, "update")
     return out.read()
 
 

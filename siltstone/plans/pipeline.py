@@ -44,7 +44,7 @@ def parse(t: Tables, run: Run) -> DataFrame:
 
 
 def finalise(t: Tables, run: Run) -> DataFrame:
-    return dedup.first_seen(t.documents.filter("conversation_id is not null"), F.sha2("text", 256), "platform_timestamp", ["conversation_id"], "doc_id")
+    return dedup.first_seen(t.documents, F.sha2("text", 256), "platform_timestamp", ["conversation_id"], "doc_id")
 
 
 STAGES = {"ingest": ingest, "discover": discover, "plan": plan, "parse": parse, "finalise": finalise}

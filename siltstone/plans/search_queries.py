@@ -220,7 +220,14 @@ def skip_parsed_files(t: Tables) -> DataFrame:
 
 @query("SELECT h, min(platform_timestamp) AS first, arg_min(conversation_id, (platform_timestamp, doc_id)) AS conversation_id, arg_min(doc_id, (platform_timestamp, doc_id)) AS doc_id, count(*) - 1 AS duplicates FROM (SELECT *, sha256(text) AS h FROM documents WHERE text IS NOT NULL AND platform_timestamp IS NOT NULL AND conversation_id IS NOT NULL) GROUP BY 1")
 def first_seen(t: Tables) -> DataFrame:
-    return dedup.first_seen(t.documents.filter("conversation_id is not null"), F.sha2("text", 256), "platform_timestamp", ["conversation_id", "doc_id"], "doc_id")
+    d = t.documents.filter("conversation_id is not null and platform_timestamp is not null")
+    return dedup.first_seen(d, F.sha2("text", 256), "platform_timestamp", ["conversation_id", "doc_id"], "doc_id")
+
+
+@query("SELECT h, f.at AS first, f.conversation_id AS conversation_id, f.doc_id AS doc_id, duplicates FROM (SELECT sha256(text) AS h, arg_min({'at': platform_timestamp, 'conversation_id': conversation_id, 'doc_id': doc_id}, (platform_timestamp IS NULL, platform_timestamp, doc_id)) AS f, count(*) - 1 AS duplicates FROM documents WHERE text IS NOT NULL GROUP BY 1)")
+def first_seen_all(t: Tables) -> DataFrame:
+    """Every text; first_seen and its SQL leave out rows without a time or a conversation."""
+    return dedup.first_seen(t.documents, F.sha2("text", 256), "platform_timestamp", ["conversation_id", "doc_id"], "doc_id")
 
 
 @query("SELECT k, min(id) AS id FROM (SELECT lower(trim(hostname)) AS k, id FROM system_info WHERE hostname IS NOT NULL AND NOT regexp_matches(hostname, '[^\\x00-\\x7F]')) GROUP BY 1")

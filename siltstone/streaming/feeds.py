@@ -44,21 +44,28 @@ def tumbling(stream: DataFrame, time: str, width: str, delay: str = "1 hour") ->
 
 
 def first_seen(stream: DataFrame, key: str, time: str, place: str) -> DataFrame:
-    """(key, first, place, duplicates): updated as rows arrive; an earlier late row moves the first."""
+    """(key, first, place, duplicates): updated as rows arrive; an earlier late row moves the first.
+
+    Rows without a time come after all that have one, and at one time those
+    without a place last. Nulls pass the state as a flag and nought, so that no
+    number turns into a float on its way through pandas.
+    """
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first, where, n = state.get if state.exists else (None, None, 0)
+        best, n = (state.get[:4], state.get[4]) if state.exists else (None, 0)
         for pdf in frames:
-            for at, p in zip(pdf["_us"], pdf[place]):
+            for no_time, us, no_place, p in zip(pdf["_no_time"], pdf["_us"], pdf["_no_place"], pdf["_place"]):
                 n += 1
-                if first is None or (at, p) < (first, where):
-                    first, where = int(at), int(p)
-        state.update((first, where, n))
-        yield pd.DataFrame({key: [k[0]], "first_us": [first], place: [where], "duplicates": [n - 1]})
-
-    rows = stream.filter(F.col(key).isNotNull() & F.col(time).isNotNull() & F.col(place).isNotNull()).select(key, F.unix_micros(F.col(time).cast("timestamp")).alias("_us"), F.col(place).cast("long").alias(place))
-    kind = stream.schema[key].dataType.simpleString()
-    return rows.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, first_us long, {place} long, duplicates long", "first long, place long, n long", "update", GroupStateTimeout.NoTimeout)
+                row = (bool(no_time), int(us), bool(no_place), int(p))
+                best = row if best is None or row < tuple(best) else best
+        state.update((*best, n))
+        yield pd.DataFrame([(k[0], *best, n - 1)], columns=[key, "_no_time", "_us", "_no_place", "_place", "_again"])
+
+    us, at = F.unix_micros(F.col(time).cast("timestamp")), F.col(place).cast("long")
+    rows = stream.filter(F.col(key).isNotNull()).select(key, us.isNull().alias("_no_time"), F.coalesce(us, F.lit(0)).alias("_us"), at.isNull().alias("_no_place"), F.coalesce(at, F.lit(0)).alias("_place"))
+    kind, held = stream.schema[key].dataType.simpleString(), "_no_time boolean, _us long, _no_place boolean, _place long, _again long"
+    found = rows.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, {held}", held, "update", GroupStateTimeout.NoTimeout)
+    return found.select(key, F.when(~F.col("_no_time"), F.col("_us")).alias("first_us"), F.when(~F.col("_no_place"), F.col("_place")).alias(place), F.col("_again").alias("duplicates"))
 
 
 class LatestTable:

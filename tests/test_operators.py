@@ -236,3 +236,27 @@ def test_parse_sheet_takes_every_line_end(spark, tmp_path):
     got = sorted(tuple(r) for r in registry.queries()["parse_sheet_all"](spark, str(tmp_path)).collect())
     want = [("elm-1", "b7"), ("Élan 2", None)]
     assert got == sorted(((i, *w) for i in (1, 2, 3, 4) for w in want), key=lambda r: (r[0], r[1]))
+
+
+def test_first_seen_keeps_rows_without_time_or_place(spark, tmp_path):
+    big = 2**60 + 1
+    rows = [(1, "a", None, 5), (2, "a", T(2020, 1, 2), big), (3, "a", None, None), (4, "b", T(2020, 1, 1), None), (5, "b", T(2020, 1, 2), 8), (6, "c", None, 9), (7, "c", None, None), (8, "d", None, None), (9, None, T(2020, 1, 1), 1)]
+    ddl = "id long, c string, at timestamp, place long"
+    df = spark.createDataFrame(rows, ddl)
+    want = {"a": (T(2020, 1, 2), big, 2), "b": (T(2020, 1, 1), None, 1), "c": (None, 9, 1), "d": (None, None, 0)}
+    assert {r["h"]: (r["first"], r["place"], r["duplicates"]) for r in dedup.first_seen(df, F.col("c"), "at", ["place"], "id").collect()} == want
+
+    for i in range(0, len(rows), 3):
+        spark.createDataFrame(rows[i : i + 3], ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / "feed"))
+    out = feeds.LatestTable(spark, "c", "duplicates")
+    feeds.run(feeds.first_seen(feeds.file_stream(spark, str(tmp_path / "feed"), df.schema), "c", "at", "place"), out.write, "nulls", "update")
+    got = out.read().withColumn("at", F.timestamp_micros("first_us")).collect()
+    assert {r["c"]: (r["at"], r["place"], r["duplicates"]) for r in got} == want
+
+
+def test_finalise_indexes_every_text(spark, tmp_path):
+    docs = [(1, "x", None, 5), (2, "x", T(2020, 1, 1), None), (3, "y", None, None)]
+    spark.createDataFrame(docs, "doc_id long, text string, platform_timestamp timestamp, conversation_id long").write.parquet(str(tmp_path / "documents.parquet"))
+    run = run_pipeline(Tables(spark, str(tmp_path)), {"finalise": STAGES["finalise"]})
+    got = [(r["first"], r["conversation_id"], r["duplicates"]) for r in run.made["finalise"].collect()]
+    assert sorted(got, key=str) == sorted([(T(2020, 1, 1), None, 1), (None, None, 0)], key=str)

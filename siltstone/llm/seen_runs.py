@@ -75,14 +75,20 @@ class SeenKeys:
         return firsts
 
     def hits(self, firsts: DataFrame) -> DataFrame:
-        """One row: keys probed, keys with a hash hit, and hits the full key confirmed."""
+        """One row: keys probed, keys with a hash hit, and hits the full key confirmed.
+
+        Keys of ``firsts`` that share a hash no run has are hits too, all but one,
+        as by the hash alone each would be taken for the one before it.
+        """
         out = firsts.select("h", "key")
         pairs = out.select("h", "key", F.lit(True).alias("own"), F.lit(False).alias("real"))
         for run in self.runs():
             old = self._table(run)
             pairs = pairs.unionByName(out.join(old, out["h"] == old["h"]).select(out["h"], out["key"], F.lit(False).alias("own"), _same(out["key"], old["seen_key"]).alias("real")))
-        per_key = pairs.groupBy("h", "key").agg(F.count_if(~F.col("own")).alias("n"), F.bool_or("real").alias("real"))
-        return per_key.agg(F.count(F.lit(1)).alias("probed"), F.count_if(F.col("n") > 0).alias("hash_hits"), F.count_if("real").alias("confirmed"))
+        per_key = pairs.groupBy("h", "key").agg(F.bool_or(~F.col("own")).alias("hit"), F.bool_or("real").alias("real"))
+        per_hash = per_key.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.bool_or("hit").alias("hit"), F.count_if("real").alias("real"))
+        total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+        return per_hash.agg(total("n").alias("probed"), total(F.when(F.col("hit"), F.col("n")).otherwise(F.col("n") - 1)).alias("hash_hits"), total("real").alias("confirmed"))
 
     def firsts(self, batch: DataFrame) -> DataFrame:
         """(h, key, first_id): the least id of each key of (id, key) rows."""
@@ -90,8 +96,10 @@ class SeenKeys:
 
     def admit(self, batch: DataFrame) -> None:
         """Store the keys of (id, key) rows that were not seen before."""
-        run = self._write(self.unseen(materialise(self.firsts(batch), "firsts")))
-        self.levels[0].append(run)
+        self._admit(materialise(self.firsts(batch), "firsts"))
+
+    def _admit(self, firsts: DataFrame) -> None:
+        self.levels[0].append(self._write(self.unseen(firsts)))
         self._compact()
 
     def _compact(self) -> None:
@@ -147,17 +155,31 @@ def seen_before(table: DataFrame, id_column: str = "id", key_column: str = "cred
 
 
 def error_rate(table: DataFrame, id_column: str = "id", key_column: str = "credential_hash", steps: int = 4) -> DataFrame:
-    """One row: the last range of ids probed against all before it, and its wrong answers.
+    """One row: every range of ids probed against all before it, and the wrong answers, summed.
 
-    ``wrong_by_hash`` is the share of hash hits that are another key;
-    ``wrong_after_check`` is nought by construction, as hits need the full key.
+    ``wrong_by_hash`` is the share of hash hits that are another key, of an
+    earlier range or of the same.  ``wrong_after_check`` is the share of probes
+    answered wrongly by the store: the keys of the table are grouped anew, and a
+    key is wrong if the store does not hold it just once, with its least id.
     """
     spark, rows = table.sparkSession, _keyed(table, id_column, key_column)
     parts, seen = id_slices(table, id_column, steps), SeenKeys(table.sparkSession)
-    for part in parts[:-1]:
-        seen.admit(rows.filter(part) if id_column == "id" else _keyed(table.filter(part), id_column, key_column))
+    counts = [0, 0, 0]
+    for part in parts:
+        firsts = materialise(seen.firsts(rows.filter(part) if id_column == "id" else _keyed(table.filter(part), id_column, key_column)), "firsts")
+        counts = [a + b for a, b in zip(counts, seen.hits(firsts).first())]
+        seen._admit(firsts)
+    probed, hash_hits, confirmed = counts
+    shape = "probed long, hash_hits long, confirmed long, wrong_by_hash double, wrong_after_check double"
     if not parts:
-        return spark.createDataFrame([], "probed long, hash_hits long, confirmed long, wrong_by_hash double, wrong_after_check double")
-    last = rows.filter(parts[-1]) if id_column == "id" else _keyed(table.filter(parts[-1]), id_column, key_column)
-    h = seen.hits(seen.firsts(last))
-    return h.withColumns({"wrong_by_hash": F.coalesce((F.col("hash_hits") - F.col("confirmed")) / F.nullif(F.col("hash_hits"), F.lit(0)), F.lit(0.0)), "wrong_after_check": F.lit(0.0)})
+        return spark.createDataFrame([], shape)
+    wrong = wrong_keys(rows, seen)
+    return spark.createDataFrame([(probed, hash_hits, confirmed, (hash_hits - confirmed) / hash_hits if hash_hits else 0.0, wrong / probed if probed else 0.0)], shape)
+
+
+def wrong_keys(rows: DataFrame, seen: SeenKeys) -> int:
+    """Keys of (id, key) rows that the store does not hold just once, with their least id."""
+    none = F.lit(None).cast("long")
+    both = rows.select("key", "id", none.alias("stored")).unionByName(seen.keys().select("key", none.alias("id"), F.col("first_id").alias("stored")))
+    per_key = both.groupBy("key").agg(F.min("id").alias("least"), F.count("stored").alias("times"), F.min("stored").alias("stored"))
+    return per_key.agg(F.count_if((F.col("times") != 1) | ~F.col("stored").eqNullSafe(F.col("least")))).first()[0]

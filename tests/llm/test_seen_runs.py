@@ -68,3 +68,28 @@ def test_hash_hits_need_the_full_key(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "id long, credential_hash string")
     assert sr.seen_before(df).count() == 0 and sr.error_rate(df).count() == 0
+
+
+def test_rate_counts_every_range(spark):
+    # ranges of two ids: b is met again in the second, a in the third, c in the fourth
+    rows = [(1, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "a"), (6, "d"), (7, "c"), (8, "e")]
+    r = sr.error_rate(spark.createDataFrame(rows, "id long, credential_hash string"), steps=4).first()
+    assert tuple(r) == (8, 3, 3, 0.0, 0.0)
+
+
+def test_rate_counts_collisions_within_and_between_ranges(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    own = sr.SeenKeys.firsts
+    monkeypatch.setattr(sr.SeenKeys, "firsts", lambda self, batch: own(self, batch).withColumn("h", F.lit(7).cast("long")))
+    rows = [(1, "a"), (2, "b"), (3, "a"), (4, "c")]
+    r = sr.error_rate(spark.createDataFrame(rows, "id long, credential_hash string"), steps=2).first()
+    # b meets a in its own range, c meets both in the one before, a is confirmed
+    assert tuple(r) == (4, 3, 1, 2 / 3, 0.0)
+
+
+def test_rate_after_the_check_is_measured(spark, monkeypatch):
+    monkeypatch.setattr(sr.SeenKeys, "unseen", lambda self, firsts: firsts.filter("first_id <> 2"))
+    r = sr.error_rate(spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c")], "id long, credential_hash string"), steps=2).first()
+    # b was never stored, a was stored twice
+    assert r["wrong_after_check"] == 2 / 4

@@ -144,21 +144,30 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = N, doc_id: str = "doc_id",
 def without_leaks(docs: DataFrame, items: DataFrame, n: int = N, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """(doc_id, text, removed_words): the documents with leaked spans cut out.
 
-    Each block of items cuts its own spans in turn; what is left is the text
-    before, between and after them, untouched.
+    Every block of items scans the whole text and adds the windows it finds; the
+    last cuts the spans of all blocks at once, so the blocks do not matter. What
+    is left is the text before, between and after the spans, untouched.
     """
     spark = docs.sparkSession
     ship(spark)
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(0).cast("long").alias("removed_words"))
-    for block in _blocks(items, item_id, text):
-        shared = spark.sparkContext.broadcast(WindowSet(block, n))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("array<long>").alias("starts"))
+    blocks = _blocks(items, item_id, text)
+    for k, block in enumerate(blocks):
+        shared, last = spark.sparkContext.broadcast(WindowSet(block, n)), k == len(blocks) - 1
 
-        def cut(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts, removed, spans = batch.column(1).to_pylist(), batch.column(2).to_pylist(), {}
+                texts = batch.column(1).to_pylist()
+                found = {t: set(at) for t, at in enumerate(batch.column(2).to_pylist()) if at}
                 for t, at, _ in shared.value.scan(texts):
-                    spans.setdefault(t, set()).update(range(at, at + n))
-                for t, hit in spans.items():
+                    found.setdefault(t, set()).add(at)
+                if not last:
+                    starts = pa.array([sorted(found[t]) if t in found else None for t in range(len(texts))], pa.list_(pa.int64()))
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), starts], names=["doc_id", "text", "starts"])
+                    continue
+                removed = [0] * len(texts)
+                for t, at in found.items():
+                    hit = {p + j for p in at for j in range(n)}
                     kept, end = [], 0
                     for w, m in enumerate(WORD.finditer(texts[t])):
                         if w in hit:
@@ -166,8 +175,8 @@ def without_leaks(docs: DataFrame, items: DataFrame, n: int = N, doc_id: str = "
                                 kept.append(texts[t][end : m.start()])
                             end = m.end()
                     texts[t] = "".join(kept) + texts[t][end:]
-                    removed[t] += len(hit)
+                    removed[t] = len(hit)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(removed, pa.int64())], names=["doc_id", "text", "removed_words"])
 
-        rows = rows.mapInArrow(cut, "doc_id long, text string, removed_words long")
+        rows = rows.mapInArrow(scan, "doc_id long, text string, removed_words long" if last else "doc_id long, text string, starts array<long>")
     return rows

@@ -59,3 +59,14 @@ def test_edges(spark):
     assert lk.leaks(d, spark.createDataFrame([], ITEMS)).count() == 0
     cut = {r["doc_id"]: r["text"] for r in lk.without_leaks(d, spark.createDataFrame(items, ITEMS)).collect()}
     assert cut[6] == "İ " and cut[5] == line[:-4] and cut[1] is None
+
+
+def test_blocks_of_items_do_not_matter(spark, monkeypatch):
+    # the second item overlaps the first in the document; cut one after another it would keep w5 w6
+    docs = [(1, "x w1 w2 w3 w4 w5 w6 y"), (2, "w3 w4 z"), (3, None), (4, "a w1 w2 w3 w4 b")]
+    items = [(1, "w1 w2 w3 w4"), (2, "w3 w4 w5 w6"), (3, "a b c d"), (4, "q r s t")]
+    for limit in (lk.ITEM_LIMIT, 1):
+        monkeypatch.setattr(lk, "ITEM_LIMIT", limit)
+        left = lk.without_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS).coalesce(1), 4)
+        got = {r["doc_id"]: (r["text"], r["removed_words"]) for r in left.collect()}
+        assert got == {1: ("x  y", 6), 2: ("w3 w4 z", 0), 3: (None, 0), 4: ("a  b", 4)}

@@ -13,6 +13,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,14 +87,60 @@ def workspace(spark: SparkSession, label: str) -> str:
     return path
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def short_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Within it a query's shuffle files go as soon as the query has ended.
+
+    For writes only: each write has a plan of its own, so nothing reads its shuffles again.
+    """
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back."""
     spark = df.sparkSession
     path = workspace(spark, label)
-    df.write.parquet(path)
+    with short_shuffles(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Buckets:
+    """A growing table in the shared folder, bucketed by one column and so never shuffled by it again.
+
+    Each append adds a file to each bucket; joins on the column read bucket against bucket.
+    """
+
+    def __init__(self, spark: SparkSession, label: str, column: str, buckets: int):
+        self.spark, self.column, self.buckets = spark, column, buckets
+        self.path = workspace(spark, label)
+        self.name = f"siltstone_{label}_{uuid.uuid4().hex[:12]}"
+        self.written = False
+
+    def append(self, rows: DataFrame) -> None:
+        with short_shuffles(self.spark):
+            rows.repartition(self.buckets, self.column).write.mode("append").bucketBy(self.buckets, self.column).option("path", self.path).saveAsTable(self.name)
+        self.written = True
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        remove(self.spark, self.path)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The (file system, path) pair of Hadoop's API for ``path``."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _written: list[tuple[SparkSession, str]] = []
 
@@ -87,24 +88,30 @@ def workspace(spark: SparkSession, label: str) -> str:
     return path
 
 
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
 @contextmanager
-def short_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Within it a query's shuffle files go as soon as the query has ended.
-
-    For writes only: each write has a plan of its own, so nothing reads its shuffles again.
-    """
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def _set(spark: SparkSession, setting: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_CLEANUP)
+            spark.conf.unset(setting)
         else:
-            spark.conf.set(_CLEANUP, before)
+            spark.conf.set(setting, before)
+
+
+def short_shuffles(spark: SparkSession):
+    """Within it a query's shuffle files go as soon as the query has ended.
+
+    For writes only: each write has a plan of its own, so nothing reads its shuffles again.
+    """
+    return _set(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def joined_by_part(spark: SparkSession):
+    """Within it a plan may join on several columns where both sides lie by one of them; a bucketed side then stays in place."""
+    return _set(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -116,18 +123,32 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Remove written intermediate tables that nothing will read again."""
+    for df in tables:
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            remove(df.sparkSession, path)
+
+
 class Buckets:
     """A growing table in the shared folder, bucketed by one column and so never shuffled by it again.
 
-    Each append adds a file to each bucket; joins on the column read bucket against bucket.
+    Each append adds a file to each bucket; joins on the column read bucket
+    against bucket, and a condition on it reads the buckets it names.
     """
 
-    def __init__(self, spark: SparkSession, label: str, column: str, buckets: int):
+    def __init__(self, spark: SparkSession, label: str, column: str, buckets: int, path: str | None = None):
         self.spark, self.column, self.buckets = spark, column, buckets
-        self.path = workspace(spark, label)
+        self.path = path or workspace(spark, label)
         self.name = f"siltstone_{label}_{uuid.uuid4().hex[:12]}"
         self.written = False
 
+    def reopen(self, schema: StructType) -> None:
+        """Take up a table that another session wrote to ``path``."""
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        self.spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet CLUSTERED BY (`{self.column}`) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
+        self.written = True
+
     def append(self, rows: DataFrame) -> None:
         with short_shuffles(self.spark):
             rows.repartition(self.buckets, self.column).write.mode("append").bucketBy(self.buckets, self.column).option("path", self.path).saveAsTable(self.name)

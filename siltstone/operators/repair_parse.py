@@ -20,8 +20,6 @@ a name of the result's own ending in "_in".
 
 from __future__ import annotations
 
-import hashlib
-import hmac
 import re
 from functools import lru_cache
 
@@ -31,10 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from siltstone.columns import make_room
+from siltstone.functions.digests import digest_key, keyed
 from siltstone.session import ship
 
 FIELDS = ("url", "username", "password", "application", "profile", "extraction_job_id", "created_at")
-DIGEST_KEY = b"siltstone-record-digest"
 START, BARE, QUOTED, ENDED = range(4)
 _NAMES = {("i", "q"): "insert quote", ("d", "q"): "delete quote", ("i", "c"): "insert delimiter", ("d", "c"): "delete delimiter"}
 
@@ -84,7 +82,7 @@ def _relax(cost: list[int], move: dict[str, list[int]]) -> tuple[bytearray, byte
     return came, kind
 
 
-def _cheapest(shape: str, fields: int) -> tuple[int, str]:
+def _cheapest(shape: str, fields: int) -> tuple[int, tuple[tuple[str, int], ...]]:
     move, states = _moves(fields), 4 * fields
     cost = [_INF] * states
     cost[0] = 0
@@ -108,31 +106,39 @@ def _cheapest(shape: str, fields: int) -> tuple[int, str]:
     while True:
         came, kind = inserted[at]
         while came[s] != _NO:
-            ops.append(f"{_NAMES['i', 'qc'[kind[s]]]} at {at + 1}")
+            ops.append((_NAMES["i", "qc"[kind[s]]], at))
             s = came[s]
         if not at:
             break
         came, deleted = read[at - 1]
         if deleted[s]:
-            ops.append(f"{_NAMES['d', shape[at - 1]]} at {at}")
+            ops.append((_NAMES["d", shape[at - 1]], at - 1))
         s = came[s]
         at -= 1
-    return cost[best], "; ".join(reversed(ops))
+    return cost[best], tuple(reversed(ops))
 
 
 _remembered = lru_cache(maxsize=20_000)(_cheapest)
 
 
-def cheapest(shape: str, fields: int = len(FIELDS)) -> tuple[int, str]:
-    """Least cost and its operations, as text, for a shape.
+def cheapest(shape: str, fields: int = len(FIELDS)) -> tuple[int, tuple[tuple[str, int], ...]]:
+    """Least cost of a shape and its operations, each with the symbol it is done at, from 0.
 
-    Positions in the operations count the shape's symbols from 1.  Of several
-    ways of one cost the first found stays, which makes the answer definite.
-    Shapes of up to 500 symbols are remembered.
+    Of several ways of one cost the first found stays, which makes the answer
+    definite.  Shapes of up to 500 symbols are remembered.
     """
     return _remembered(shape, fields) if len(shape) <= 500 else _cheapest(shape, fields)
 
 
+_SYMBOL = re.compile(r'[^",]+|[",]')
+
+
+def told(text: str, ops: tuple[tuple[str, int], ...]) -> str:
+    """The operations in words, with the characters of the text they are done at, counted from 1."""
+    places = [m.start() + 1 for m in _SYMBOL.finditer(text)] + [len(text) + 1]
+    return "; ".join(f"{name} at {places[at]}" for name, at in ops)
+
+
 _FIELD = re.compile(r'"((?:[^"]|"")*)"|([^",]*)')
 
 
@@ -149,7 +155,7 @@ def _split(text: str) -> list[str]:
             return out
 
 
-_RESULT = StructType([StructField("cost", IntegerType()), StructField("edits", StringType()), *[StructField(f, StringType()) for f in FIELDS if f != "password"], StructField("password_digest", StringType())])
+_RESULT = StructType([StructField("cost", IntegerType()), StructField("edits", StringType()), *[StructField(f, StringType()) for f in FIELDS]])
 
 
 @F.pandas_udf(_RESULT)
@@ -160,12 +166,8 @@ def _parse(texts: pd.Series) -> pd.DataFrame:
             out.append((None,) * 9)
             continue
         cost, ops = cheapest(shape_of(text))
-        if cost:
-            out.append((cost, ops, *[None] * 7))
-        else:
-            f = _split(text)
-            out.append((0, "", f[0], f[1], f[3], f[4], f[5], f[6], hmac.new(DIGEST_KEY, f[2].encode("utf-8", "surrogatepass"), hashlib.sha256).hexdigest()))
-    return pd.DataFrame(out, columns=["cost", "edits", "url", "username", "application", "profile", "extraction_job_id", "created_at", "password_digest"])
+        out.append((cost, told(text, ops), *[None] * 7) if cost else (0, "", *_split(text)))
+    return pd.DataFrame(out, columns=["cost", "edits", *FIELDS])
 
 
 def _instant(c: Column) -> Column:
@@ -192,11 +194,12 @@ def parse_records(lines: DataFrame, text: str = "raw_text") -> DataFrame:
     )
     reason = F.when(F.col(text).isNull(), "null text").when(p["cost"] > 0, p["edits"]).when(bad != "", bad)
     keep = [c for c in lines.columns if c != text]
-    fields = [f if f != "password" else "password_digest" for f in FIELDS]
+    values = {f: p[f] for f in FIELDS if f != "password"} | {"password_digest": keyed(p["password"], digest_key(lines.sparkSession))}
+    named = [f if f != "password" else "password_digest" for f in FIELDS]
     return rows.withColumn("_reason", reason).select(
         *keep,
         F.when(F.col("_reason").isNull(), "loaded").otherwise("rejected").alias("status"),
         F.col("_reason").alias("reason"),
         p["cost"].alias("cost"),
-        *[F.when(F.col("_reason").isNull(), p[f]).alias(f) for f in fields],
+        *[F.when(F.col("_reason").isNull(), values[f]).alias(f) for f in named],
     )

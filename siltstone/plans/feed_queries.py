@@ -15,34 +15,34 @@ registry = Registry()
 query = registry.query
 
 
-@query(r"""WITH b AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(regexp_replace(replace(text, chr(13) || chr(10), chr(10)), '(?m)^(?:[ \t]*|---+[ \t]*|===+[ \t]*|_{3,}[ \t]*)$', chr(1), 'g'), chr(1)), lambda x: trim(x, chr(10))), lambda x: x <> '')) AS block FROM documents WHERE doc_kind = 'system_sheet' AND text NOT LIKE '%' || chr(13) || '%')
-SELECT doc_id, nullif(trim(regexp_extract(block, '(?m)^Machine\s*[:=]\s*(\S.*)$', 1)), '') AS hostname, nullif(trim(regexp_extract(block, '(?m)^Build\s*[:=]\s*(\S.*)$', 1)), '') AS build FROM b WHERE regexp_matches(block, '(?m)^Machine\s*[:=]\s*\S')""")
-def parse_sheet(t: Tables) -> DataFrame:
-    """Labelled sheets, one for each block of a text."""
-    d = t.documents.filter("doc_kind = 'system_sheet' and not contains(text, '\r')")
-    return records.sheets(d, "doc_id", "text").filter("hostname is not null").select("doc_id", "hostname", "build")
-
-
 @query(r"""WITH b AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(regexp_replace(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), '(?m)^(?:[ \t]*|---+[ \t]*|===+[ \t]*|_{3,}[ \t]*)$', chr(1), 'g'), chr(1)), lambda x: trim(x, chr(10))), lambda x: x <> '')) AS block FROM documents WHERE doc_kind = 'system_sheet')
 SELECT doc_id, nullif(trim(regexp_extract(block, '(?m)^[ \t]*Machine\s*[:=]\s*(\S.*)$', 1)), '') AS hostname, nullif(trim(regexp_extract(block, '(?m)^[ \t]*Build\s*[:=]\s*(\S.*)$', 1)), '') AS build FROM b WHERE regexp_matches(block, '(?m)^[ \t]*Machine\s*[:=]\s*\S')""")
-def parse_sheet_all(t: Tables) -> DataFrame:
-    """Every sheet, whatever its line ends; parse_sheet and its SQL leave out texts with a carriage return."""
+def parse_sheet(t: Tables) -> DataFrame:
+    """Labelled sheets, one for each block of a text, whatever its line ends."""
     return records.sheets(t.documents.filter("doc_kind = 'system_sheet'"), "doc_id", "text").filter("hostname is not null").select("doc_id", "hostname", "build")
 
 
-@query(r"SELECT id, regexp_extract(x, '^(https?://[^\s|]+)\|([^|]+)\|(.+)$', 1) AS url, regexp_extract(x, '^(https?://[^\s|]+)\|([^|]+)\|(.+)$', 2) AS username, length(regexp_extract(x, '^(https?://[^\s|]+)\|([^|]+)\|(.+)$', 3)) AS last_length FROM (SELECT id, 'https://' || domain || '/a|' || application || '|' || source_file || '|' || line_number AS x FROM parsed_credentials WHERE domain IS NOT NULL AND application IS NOT NULL AND source_file IS NOT NULL)")
+_TRIPLES = (r"^(https?://[^\s:]+(?::[0-9]+)?(?:/[^\s:]*)?):([^:]+):(.+)$", r"^(https?://[^\s|]+)\s*[|]\s*([^|]+?)\s*[|](.+)$", r"^(https?://[^\s;]+)\s*;\s*([^;]+?)\s*;(.+)$")
+
+
+def _field(k: int) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches(x, '{form}') THEN trim(regexp_extract(x, '{form}', {k}))" for form in _TRIPLES) + " END"
+
+
+@query(f"""WITH l AS (SELECT id, concat('https://', domain, '/a', mark, application, mark, source_file, mark, line_number) AS x FROM (SELECT *, CASE id % 3 WHEN 0 THEN ':' WHEN 1 THEN ' | ' ELSE ';' END AS mark FROM parsed_credentials))
+SELECT id, {_field(1)} AS url, {_field(2)} AS username, length({_field(3)}) AS last_length FROM l WHERE {_field(1)} IS NOT NULL""")
 def parse_delimited(t: Tables) -> DataFrame:
-    """Three fields, the last of which holds the delimiter."""
-    p = t.parsed_credentials.filter("domain is not null and application is not null and source_file is not null")
-    lines = p.select("id", F.concat_ws("|", F.concat(F.lit("https://"), "domain", F.lit("/a")), "application", "source_file", "line_number").alias("x"))
+    """Every row written as a line in one of the three forms; a line that lacks a field is no record."""
+    mark = F.when(F.col("id") % 3 == 0, ":").when(F.col("id") % 3 == 1, " | ").otherwise(";")
+    lines = t.parsed_credentials.select("id", F.concat_ws("", F.lit("https://"), "domain", F.lit("/a"), mark, "application", mark, "source_file", mark, F.col("line_number").cast("string")).alias("x"))
     return records.delimited(lines, ["id"], "x").select("id", "url", "username", "last_length")
 
 
-@query()
+@query("SELECT o_orderkey, CAST(0 AS INTEGER) AS record_no, 'https://shop.test/' || o_orderkey AS url, 'customer' || o_custkey AS username, 'App' AS application, o_orderpriority AS profile FROM orders")
 def parse_blocks(t: Tables) -> DataFrame:
     """Orders rendered as labelled blocks, values on the next line, and read back."""
     o = t.orders.select("o_orderkey", F.concat(F.lit("[App="), "o_orderpriority", F.lit("]\nURL: https://shop.test/"), F.col("o_orderkey").cast("string"), F.lit("\nUser:\ncustomer"), F.col("o_custkey").cast("string"), F.lit("\nPassword = "), F.col("o_totalprice").cast("string"), F.lit("\n---\n")).alias("x"))
-    return records.parse_texts(o, "o_orderkey", "x")
+    return records.parse_texts(o, "o_orderkey", "x").drop("digest")
 
 
 @query()

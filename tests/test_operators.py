@@ -1,6 +1,8 @@
 """Facts about search, de-duplication, watch lists, parsing, grouping, files, sinks and streams."""
 
 import datetime as dt
+import hashlib
+import hmac
 
 import pytest
 from pyspark.sql import functions as F
@@ -115,23 +117,54 @@ def test_masks_and_keys(spark):
     assert k.select(text.group_key(F.col("x"))).first()[0] == "a b c"
 
 
-def test_line_parser_mixes_forms():
+def _records(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    return records.parse_texts(df, "k", "t").orderBy("k", "record_no").collect()
+
+
+def _digest(secret, key=b"a test's key"):
+    return hmac.new(key, secret.encode(), hashlib.sha256).hexdigest()
+
+
+@pytest.fixture
+def digest_key(spark):
+    spark.conf.set("siltstone.digest.key", "a test's key")
+    yield
+    spark.conf.unset("siltstone.digest.key")
+
+
+def test_line_parser_mixes_forms(spark, digest_key):
     src = "https://a.test/x:bob:p:w\n\nURL: https://b.test\nUser:\nann\nPassword: s\n---\n[App=P1]\nHost=https://c.test\nLogin=cy\nPass=t|u\n===\nhttps://d.test|dan|x|y\nhttps://e.test;eve;z\nURL: ftp://no\nPassword: q\n"
-    got = [(r["url"], r["username"], r["secret"], r["application"]) for r in records.parse_lines(iter(src.splitlines()))]
-    assert got == [("https://a.test/x", "bob", "p:w", None), ("https://b.test", "ann", "s", None), ("https://c.test", "cy", "t|u", "App"), ("https://d.test", "dan", "x|y", None), ("https://e.test", "eve", "z", None)]
+    want = [("https://a.test/x", "bob", None, None, "p:w"), ("https://b.test", "ann", None, None, "s"), ("https://c.test", "cy", "App", "P1", "t|u"), ("https://d.test", "dan", None, None, "x|y"), ("https://e.test", "eve", None, None, "z")]
+    for k, rows in enumerate([_records(spark, [src.replace("\n", end)]) for end in ("\n", "\r\n", "\r")]):
+        assert [(r["url"], r["username"], r["application"], r["profile"], r["digest"]) for r in rows] == [(*w[:4], _digest(w[4])) for w in want], k
+        assert [r["record_no"] for r in rows] == [0, 1, 2, 3, 4]
+
+
+def test_record_blocks(spark, digest_key):
+    assert [(r["url"], r["username"]) for r in _records(spark, ["https://a.test | ann lee | w o\n  https://b.test/p ; bo ; x"])] == [("https://a.test", "ann lee"), ("https://b.test/p", "bo")]
+    last, comment, none = _records(spark, ["url: https://a.test\nurl: https://b.test\npwd: 1", "URL: https://a.test\nPassword:\n# no value\nPass: 2\nBrowser: B", "URL: https://a.test\nPass: 3\nunlabelled line"])
+    assert last["url"] == "https://b.test" and (comment["application"], comment["digest"]) == ("B", _digest("2")) and none["username"] == ""
+    assert _records(spark, [None, "", "\n\n---\n", "URL: https://a.test\nUser: u", "Password: p", "just words " * 3000]) == []
+    assert len(_records(spark, ["\n".join(f"https://h{i}.test:8080/a:u:p" for i in range(5000))])) == 5000
 
 
-def test_chunks_lose_nothing(spark):
+def test_chunks_lose_nothing(spark, digest_key):
     src = "\n".join(f"URL: https://h{i}.test\nPassword: p{i}\n" for i in range(40))
     df = spark.createDataFrame([(1, src)], "k long, t string")
-    chunks = files.line_chunks(df, "k", "t", 10).orderBy("chunk_no").collect()
+    chunks = [c["chunk"] for c in files.line_chunks(df, "k", "t", 10).orderBy("chunk_no").collect()]
     assert len(chunks) > 5
-    parts = [r for c in chunks for r in records.parse_lines(iter(c["chunk"].splitlines()))]
-    assert parts == list(records.parse_lines(iter(src.splitlines())))
+    whole, parts = _records(spark, [src]), _records(spark, chunks)
+    assert [(r["url"], r["digest"]) for r in parts] == [(r["url"], r["digest"]) for r in whole] and len(whole) == 40
     solid = spark.createDataFrame([(1, "\n".join("x" * 3 for _ in range(150)))], "k long, t string")
     assert sum(len(c["chunk"].splitlines()) for c in files.line_chunks(solid, "k", "t", 10).collect()) == 150
 
 
+def test_digest_without_a_setting_is_the_sessions_own(spark):
+    a, b = (_records(spark, ["https://a.test:u:p"])[0]["digest"] for _ in range(2))
+    assert a == b != _digest("p") and a != hashlib.sha256(b"p").hexdigest()
+
+
 def test_files_and_encodings(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     (tmp_path / "a.txt").write_bytes("größe".encode())
@@ -233,7 +266,7 @@ def test_parse_sheet_takes_every_line_end(spark, tmp_path):
     mixed = "Machine: elm-1\r\nBuild: b7\n\r\nMachine = Élan 2\r---\r\nBuild: none\r"
     docs = [(1, "system_sheet", plain), (2, "system_sheet", plain.replace("\n", "\r\n")), (3, "system_sheet", plain.replace("\n", "\r")), (4, "system_sheet", mixed), (5, "system_sheet", None), (6, "note", mixed)]
     spark.createDataFrame(docs, "doc_id long, doc_kind string, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = sorted(tuple(r) for r in registry.queries()["parse_sheet_all"](spark, str(tmp_path)).collect())
+    got = sorted(tuple(r) for r in registry.queries()["parse_sheet"](spark, str(tmp_path)).collect())
     want = [("elm-1", "b7"), ("Élan 2", None)]
     assert got == sorted(((i, *w) for i in (1, 2, 3, 4) for w in want), key=lambda r: (r[0], r[1]))
 

@@ -2,7 +2,9 @@
 
 The store keeps one winner for each identifier in partitions by day of first
 delivery.  An identifier index, appended to and never rewritten, names the
-partition that holds each identifier.  Merging a batch
+partition that holds each identifier.  It is bucketed by slots, neighbouring
+message numbers of one conversation sharing a slot, so a batch reads the buckets
+it has slots in and shuffles nothing of them.  Merging a batch
 
 1. reduces the batch to one winner for each identifier (map-side combined, so
    a hot identifier costs one row for each map task),
@@ -14,7 +16,12 @@ partition that holds each identifier.  Merging a batch
    renaming a manifest.  Readers see the old or the new state, nothing between.
 
 Partitions without an affected identifier are neither read nor rewritten: new
-identifiers of such a day are appended as further files.
+identifiers of such a day are appended as further files.  A partition larger
+than a task should write is split over several, that of rows without an
+identifier as well.  Versions that neither of the last two commits names are removed.
+
+If a writer dies before its commit, its rows of the index stay.  They name a
+partition that lacks the identifier as yet, and the next merge puts it there.
 
 The winner is the copy with the latest edit_date (none counts as earliest),
 then the latest delivered_at, then the highest delivery_id; ties beyond that
@@ -27,14 +34,20 @@ with the winner; an input column named "copies" comes out as "copies_in".
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.columns import make_room
-from siltstone.session import hadoop_path, workspace
+from siltstone.session import Buckets, hadoop_path, joined_by_part, remove, short_shuffles, shuffle_width, workspace
 
 UNKEYED = "unkeyed"
+#: Slots of the identifier index, and how many neighbouring message numbers share one.
+SLOTS, NEIGHBOURS = 1_024, 256
+#: Commits whose files stay readable.
+KEPT = 2
 
 
 class DeliveryStore:
@@ -43,15 +56,16 @@ class DeliveryStore:
     def __init__(self, spark: SparkSession, root: str | None = None, keys: tuple[str, ...] = ("conversation_id", "platform_id"), order: tuple[str, ...] = ("edit_date", "delivered_at", "delivery_id"), day: str = "delivered_at"):
         self.spark, self.root = spark, root or workspace(spark, "deliveries")
         self.keys, self.order, self.day = list(keys), list(order), day
+        self.index: Buckets | None = None
 
     # -- the manifest -----------------------------------------------------
     def _manifest(self) -> tuple[int, dict]:
         fs, p = hadoop_path(self.spark, f"{self.root}/_manifests")
         if not fs.exists(p):
-            return 0, {"parts": {}, "index": [], "schema": None}
+            return 0, {"parts": {}, "index": None, "schema": None}
         versions = [int(s.getPath().getName().removesuffix(".json")) for s in fs.listStatus(p) if s.getPath().getName().endswith(".json")]
         if not versions:
-            return 0, {"parts": {}, "index": [], "schema": None}
+            return 0, {"parts": {}, "index": None, "schema": None}
         v = max(versions)
         return v, json.loads(self.spark.read.text(f"{self.root}/_manifests/{v:08d}.json", wholetext=True).first()[0])
 
@@ -73,51 +87,101 @@ class DeliveryStore:
         best = F.max_by(F.struct(*cols), F.struct(*[F.struct(c.isNotNull(), c) for c in lead]))
         return rows.groupBy(*self.keys).agg(best.alias("_s_w"), F.sum("_s_copies").alias("_s_copies"), F.min("_s_part").alias("_s_part")).select(*self.keys, *[F.col("_s_w")[c].alias(c) for c in cols], "_s_copies", "_s_part")
 
+    def _slot(self, rows: DataFrame) -> DataFrame:
+        """With the slot of each identifier: numbers close together share it, so a batch meets few."""
+        *lead, number = self.keys
+        block = F.floor(F.col(number) / NEIGHBOURS) if dict(rows.dtypes)[number] in ("int", "bigint", "smallint") else F.col(number)
+        return rows.withColumn("_s_slot", F.pmod(F.xxhash64(*lead, block), F.lit(SLOTS)).cast("int"))
+
+    def _open_index(self, state: dict) -> Buckets:
+        if self.index is None:
+            known = state["index"]
+            self.index = Buckets(self.spark, "delivery_index", "_s_slot", known["buckets"] if known else shuffle_width(self.spark), f"{self.root}/index")
+            if known:
+                self.index.reopen(StructType.fromJson(known["schema"]))
+            else:
+                remove(self.spark, self.index.path)  # of a writer that died before the first commit
+        return self.index
+
+    def _located(self, fresh: DataFrame, index: Buckets) -> DataFrame:
+        """Batch winners with the partition that already holds them, from the buckets the batch has slots in."""
+        slots = sorted(r[0] for r in fresh.select("_s_slot").distinct().collect())  # at most SLOTS
+        held = index.read().filter(F.col("_s_slot").isin(slots)).select(F.col("_s_slot").alias("_s_in"), *[F.col(k).alias(f"_s_k{i}") for i, k in enumerate(self.keys)], "_s_at")
+        on = (F.col("_s_slot") == F.col("_s_in")) & reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_s_k{i}") for i, k in enumerate(self.keys)])
+        return fresh.join(held, on, "left").drop("_s_in", *[f"_s_k{i}" for i in range(len(self.keys))])
+
     def merge(self, batch: DataFrame) -> list[str]:
         """Take in one batch; returns the partitions that were overwritten."""
-        batch = make_room(batch, ("_s_copies", "_s_part", "_s_old", "_s_at", "copies"))
+        batch = make_room(batch, ("_s_copies", "_s_part", "_s_old", "_s_at", "_s_slot", "_s_in", "copies"))
         version, state = self._manifest()
         named = batch.withColumns({"_s_copies": F.lit(1).cast("long"), "_s_part": F.date_format(self.day, "yyyyMMdd")}).fillna({"_s_part": "undated"})
-        keyed = F.lit(True)
-        for k in self.keys:
-            keyed = keyed & F.col(k).isNotNull()
-        fresh = self._winners(named.filter(keyed))
-        to, at = f"{self.root}/v{version + 1:08d}", version + 1
-        if state["index"]:
-            index = self.spark.read.parquet(*state["index"])
-            fresh = fresh.join(index, self.keys, "left").withColumns({"_s_old": F.col("_s_at").isNotNull(), "_s_part": F.coalesce("_s_at", "_s_part")}).drop("_s_at")
+        keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+        to, at, index = f"{self.root}/v{version + 1:08d}", version + 1, self._open_index(state)
+        fresh = self._written(self._slot(self._winners(named.filter(keyed))), f"{to}/batch")
+        if index.written:
+            with joined_by_part(self.spark):
+                located = self._located(fresh, index).withColumns({"_s_old": F.col("_s_at").isNotNull(), "_s_part": F.coalesce("_s_at", "_s_part")}).drop("_s_at")
+                located = self._written(located, f"{to}/located")
         else:
-            fresh = fresh.withColumn("_s_old", F.lit(False))
-        fresh.write.parquet(f"{to}/incoming")
-        fresh = self.spark.read.schema(fresh.schema).parquet(f"{to}/incoming")
+            located = fresh.withColumn("_s_old", F.lit(False))
         # as many rows as there are days, never as many as there are identifiers
-        hit = sorted(r[0] for r in fresh.filter("_s_old").select("_s_part").distinct().collect())
-        known = fresh.filter(F.col("_s_part").isin(hit)) if hit else None
-        parts = dict(state["parts"])
-        if known is not None:
-            history = self._read(state, hit)
-            merged = self._winners(history.unionByName(known.drop("_s_old")))
-            merged.repartition("_s_part").write.partitionBy("_s_part").parquet(f"{to}/data")
+        hit = sorted(r[0] for r in located.filter("_s_old").select("_s_part").distinct().collect())
+        parts, written = dict(state["parts"]), [c for c in located.columns if c not in ("_s_old", "_s_slot")]
+        if hit:
+            known = located.filter(F.col("_s_part").isin(hit)).select(*written)
+            self._partitions(self._winners(self._read(state, hit).unionByName(known)), f"{to}/data")
             for p in hit:
                 parts[p] = [f"{to}/data/_s_part={p}"]
-        added = fresh.filter(~F.col("_s_part").isin(hit)) if hit else fresh
-        added = added.drop("_s_old")
-        loose = named.filter(~keyed).withColumn("_s_part", F.lit(UNKEYED)).select(*added.columns)
-        added.unionByName(loose).repartition("_s_part").write.partitionBy("_s_part").parquet(f"{to}/added")
-        fs, p = hadoop_path(self.spark, f"{to}/added")
-        for s in fs.listStatus(p):
-            if (name := s.getPath().getName()).startswith("_s_part="):
-                part = name.partition("=")[2]
-                parts[part] = [*parts.get(part, []), f"{to}/added/{name}"]
-        fresh.filter(~F.col("_s_old")).select(*self.keys, F.col("_s_part").alias("_s_at")).write.parquet(f"{to}/index")
-        schema = added.schema.json()
-        self._commit(at, {"parts": parts, "index": [*state["index"], f"{to}/index"], "schema": schema})
+        added = (located.filter(~F.col("_s_part").isin(hit)) if hit else located).select(*written)
+        loose = named.filter(~keyed).withColumn("_s_part", F.lit(UNKEYED)).select(*written)
+        for name in self._partitions(added.unionByName(loose), f"{to}/added"):
+            part = name.partition("=")[2]
+            parts[part] = [*parts.get(part, []), f"{to}/added/{name}"]
+        new = located.filter(~F.col("_s_old")).select("_s_slot", *self.keys, F.col("_s_part").alias("_s_at"))
+        index.append(new)
+        self._commit(at, {"parts": parts, "index": {"buckets": index.buckets, "schema": new.schema.jsonValue()}, "schema": added.schema.json()})
+        for name in ("batch", "located"):
+            remove(self.spark, f"{to}/{name}")
+        self._vacuum(at)
         return hit
 
+    def _written(self, rows: DataFrame, path: str) -> DataFrame:
+        with short_shuffles(self.spark):
+            rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _partitions(self, rows: DataFrame, path: str) -> list[str]:
+        """Write rows by partition, small ones together in a task and large ones split; the folders' names."""
+        with short_shuffles(self.spark):
+            rows.hint("rebalance", "_s_part").write.partitionBy("_s_part").parquet(path)
+        fs, p = hadoop_path(self.spark, path)
+        return [name for s in fs.listStatus(p) if (name := s.getPath().getName()).startswith("_s_part=")]
+
+    def _vacuum(self, version: int) -> None:
+        """Remove versions' folders that the last KEPT commits do not name, and older manifests."""
+        used, last = set(), max(1, version - KEPT + 1)
+        for v in range(last, version + 1):
+            state = json.loads(self.spark.read.text(f"{self.root}/_manifests/{v:08d}.json", wholetext=True).first()[0])
+            used |= {d for dirs in state["parts"].values() for d in dirs}
+        fs, p = hadoop_path(self.spark, self.root)
+        for folder in fs.listStatus(p):
+            name = folder.getPath().getName()
+            if not name.startswith("v") or int(name[1:]) > version:
+                continue
+            for kind in ("data", "added"):
+                _, sub = hadoop_path(self.spark, f"{self.root}/{name}/{kind}")
+                for part in fs.listStatus(sub) if fs.exists(sub) else []:
+                    at = part.getPath().getName()
+                    if at.startswith("_s_part=") and f"{self.root}/{name}/{kind}/{at}" not in used:
+                        fs.delete(part.getPath(), True)
+        _, manifests = hadoop_path(self.spark, f"{self.root}/_manifests")
+        for m in fs.listStatus(manifests):
+            name = m.getPath().getName()
+            if name.endswith(".json") and int(name.removesuffix(".json")) < last:
+                fs.delete(m.getPath(), False)
+
     # -- reading ----------------------------------------------------------
     def _read(self, state: dict, parts: list[str]) -> DataFrame:
-        from pyspark.sql.types import StructType
-
         schema = StructType.fromJson(json.loads(state["schema"]))
         body = StructType([f for f in schema if f.name != "_s_part"])
         dirs = [d for p in parts for d in state["parts"].get(p, [])]

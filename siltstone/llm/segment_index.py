@@ -1,30 +1,36 @@
-"""Duplicates and near-duplicates of a new batch against all accepted history.
+"""Duplicates and near-duplicates of each new batch against all accepted history.
 
 The index stores, for each distinct text, four segments by their length class
 and position.  Of four disjoint segments at least one survives up to three
 edits unchanged, and, by counting edits from the left, a surviving segment j
 exists that has exactly j-1 edits before it and at most 4-j after it.  That
-bounds how far its copy can be shifted in the other text, so a probe looks up a
-handful of substrings for each length class, and no other.
+bounds how far its copy can be shifted in the other text, so a new text looks up
+44 substrings, for the lengths up to three shorter or longer, and no other.
 
 Segments lie in the last three fifths of a text; the first also takes what
 comes before.  Leading parts such as a host name, shared by a great share of all rows,
 are so part of a longer segment instead of being a segment themselves.
 
-A segment that still occurs in more than ``HOT_LEAST`` texts is never looked up
-alone.  What it leaves open, the rest of the text to its right with at most k-1
-edits in it, or to its left after the last segment, is cut into k pieces under
-the same rule, and segment and piece together form the key; a key that is hot
-again takes a piece of what is still open, up to LEVELS times.  The hot keys of a
-level travel to the probes; their number is at most HOT_LIMIT, as the threshold
-rises with the rows if need be.
+A segment of more than ``HOT_LEAST`` texts of one append is stored as a mark instead.  What
+it leaves open, the rest of the text to its right with at most k-1 edits in it,
+or to its left after the last segment, is cut into k pieces under the same
+rule, and segment and piece together form a key; a key that is hot again takes
+a piece of what is still open.  A look-up that meets a mark is refined alike.  So
+no list of hot keys travels anywhere and their number is unbounded.
 
-Candidates carry a bit for each of 38 characters, set if the text contains it; an edit
-changes at most two of them, so pairs that differ in more than six are dropped
-before the texts are fetched and verified by a banded edit distance.
+Keys that hold more than 1 in 2B entries of an append, B being the number of
+buckets, would make one task long.  At most 2B such keys exist; look-ups of
+these alone are joined with a broadcast of what is stored under them, at most
+HOT_LEAST rows and a mark for each append.
+
+The stored tables are bucketed by the column they are joined on, so a batch
+never shuffles the history; it shuffles its own look-ups.  Each is read in the
+scan of one join, and its texts for candidates alone.
 
-Pairs are looked up between distinct texts, the shorter one being the indexed
-one, and only minima flow back to rows, so copies are never paired.
+Entries carry a parity bit for each of 64 classes of characters; an edit
+changes at most two of them, so pairs that differ in more than six are dropped
+before the texts are fetched and verified by a banded edit distance.  Every
+hash only routes; what counts was compared as text.
 
 Defined cases: nulls in the text columns count as empty; rows with a null hash,
 id or batch are neither cases nor history; texts of any length are handled whole (segments
@@ -34,227 +40,329 @@ entry; an empty batch or history gives no case; further columns are ignored.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.session import materialise, remove, workspace
+from siltstone.session import Buckets, discard, materialise, ship, shuffle_width
 
 TAU = 3
-HEAD = 0.4
-HOT_LEAST, HOT_LIMIT, LEVELS = 32, 500_000, 3
+HOT_LEAST, LEVELS = 128, 8
+#: Characters spread at a time; bounds the memory of a task.
+LOT_CHARS = 120_000
+#: Texts from this length on are not refined further, as their places would not fit the packed state.
+UNREFINED = 1 << 24
+_N = TAU + 1
+_U = np.uint64
+_BASE = 0xD6E8FEB86659FD93
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def record_text(columns: tuple[str, ...] = ("domain", "username", "password")) -> Column:
     return F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns]))
 
 
-#: Characters whose count the signature tells as odd or even, one bit each.
-SIGNED = "abcdefghijklmnopqrstuvwxyz0123456789@_"
-
-
-def signature(text: Column) -> Column:
-    """A bit for each of the SIGNED characters that occurs an odd number of times."""
-    bits = [F.shiftleft((F.length(F.replace(text, F.lit(c), F.lit(""))) - F.length(text)).bitwiseAND(F.lit(1)).cast("long"), i) for i, c in enumerate(SIGNED)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
-
-
 def _shifts(pieces: int, j: int, delta: int) -> list[int]:
     """Shifts of piece j (from 1) of so many, the other text being longer by delta."""
     return [s for s in range(-(j - 1), j) if abs(delta - s) <= pieces - j]
 
 
-def _table(rows: list[tuple[int, ...]], *names: str) -> Column:
-    """A literal array of structs, to be exploded."""
-    return F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names)]) for row in rows])
+#: (segment, by how much the looking text is longer, shift) of stored entries and of look-ups.
+STORED = np.array([(j, 0, 0) for j in range(1, _N + 1)])
+LOOKED_UP = np.array([(j, delta, s) for delta in range(-TAU, TAU + 1) for j in range(1, _N + 1) for s in _shifts(_N, j, delta)])
+#: (piece, shift) of a refined key.
+PIECES = {False: np.array([(i, 0) for i in range(1, _N + 1)]), True: np.array([(i, t) for i in range(1, _N + 1) for t in range(-(i - 1), i)])}
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(29))) * _U(0xBF58476D1CE4E5B9)
+    return x ^ (x >> _U(32))
+
+
+class _Lot:
+    """Some texts as code points, with hashes of any of their substrings."""
+
+    powers = np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)
+
+    def __init__(self, texts: list[str]):
+        self.flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        self.offsets = np.cumsum(self.lengths) - self.lengths
+        n = len(self.flat)
+        if len(self.powers[0]) <= n:
+            both = []
+            for base in (_BASE, _INVERSE):
+                p = np.full(n + 1, base, dtype=np.uint64)
+                p[0] = 1
+                both.append(np.cumprod(p, dtype=np.uint64))
+            type(self).powers = tuple(both)
+        self.sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_mixed(self.flat.astype(np.uint64) + _U(0x9E3779B97F4A7C15)) * self.powers[0][:n], out=self.sums[1:])
+
+    def hashes(self, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return (self.sums[begin + length] - self.sums[begin]) * self.powers[1][begin]
+
+    def signatures(self) -> np.ndarray:
+        """A bit for each class of characters that occurs an odd number of times; ASCII letters and digits have a class each."""
+        cls = np.where((self.flat >= 97) & (self.flat < 123), self.flat - 97, np.where((self.flat >= 48) & (self.flat < 58), self.flat - 22, 36 + self.flat % 28)).astype(np.uint64)
+        running = np.zeros(len(self.flat) + 1, dtype=np.uint64)
+        np.bitwise_xor.accumulate(_U(1) << cls, out=running[1:])
+        return running[self.offsets + self.lengths] ^ running[self.offsets]
+
+
+#: What a key leaves open: the region of the stored text at ``rs``, ``rl`` long, with ``errs`` edits
+#: at most; in the looking text it begins ``off`` later and is ``change`` longer.  Packed in 62 bits.
+def _pack(rs: np.ndarray, rl: np.ndarray, errs: np.ndarray, change: np.ndarray, off: np.ndarray) -> np.ndarray:
+    return (rs << 38) | (rl << 14) | (errs << 12) | ((change + 16) << 6) | (off + 32)
+
+
+def _unpack(state: np.ndarray) -> tuple[np.ndarray, ...]:
+    return state >> 38, (state >> 14) & (UNREFINED - 1), (state >> 12) & 3, ((state >> 6) & 63) - 16, (state & 63) - 32
+
+
+#: State of entries that leave nothing open, of which SQL needs to know.
+IS_OPEN = "(state >> 14) & 16777215 > 0"
+
+
+def _segments(lot: _Lot, ways: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, key, state) of the segments of each text, or of the substrings it looks up."""
+    j, delta, s = (ways[:, k : k + 1] for k in range(3))
+    size = lot.lengths[None, :] - delta
+    head = size * 2 // 5
+    base, more = (size - head) // _N, (size - head) % _N
+    own = base + (j + more > _N)
+    first, last = j == 1, j == _N
+    start = np.where(first, 0, head + (j - 1) * base + np.maximum(0, j - 1 - _N + more))
+    n = np.where(first, head + own, own)
+    at, end = start + s, start + n
+    way, text = np.nonzero((size >= 0) & (at >= 0) & (at + n <= lot.lengths[None, :]))
+    j, delta, s = (x[way, 0] for x in (j, delta, s))
+    size, start, n, at, end = (x[way, text] for x in (size, start, n, at, end))
+    key = _mixed(_mixed(lot.hashes(lot.offsets[text] + at, n)) + _U(0x9E3779B97F4A7C15) * (size * 8 + j).astype(np.uint64))
+    last = j == _N
+    rl = np.where(size < UNREFINED, np.where(last, start, size - end), 0)
+    rs = np.where(last | (size >= UNREFINED), 0, end)
+    state = _pack(rs, rl, np.where(last, TAU, _N - j), np.where(last, s, delta - s), np.where(last, 0, s))
+    return text, key >> _U(16), state
+
+
+def _refined(lot: _Lot, text: np.ndarray, key: np.ndarray, state: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, state) of each piece of the open regions of rows (text, key, state)."""
+    i, t = pieces[:, :1], pieces[:, 1:]
+    rs, rl, errs, change, off = (x[None, :] for x in _unpack(state))
+    k = errs + 1
+    ps, pe = rl * (i - 1) // k, rl * i // k
+    at, n = rs + off + ps + t, pe - ps
+    fits = (i <= k) & (np.abs(t) <= i - 1) & (np.abs(change - t) <= k - i) & (at >= 0) & (at + n <= lot.lengths[text][None, :])
+    which, row = np.nonzero(fits)
+    i, t = i[which, 0], t[which, 0]
+    at, n, ps, pe = (x[which, row] for x in (at, n, ps, pe))
+    rs, rl, k, change, off = (x[0, row] for x in (rs, rl, k, change, off))
+    new = _mixed(_mixed(lot.hashes(lot.offsets[text[row]] + at, n)) + _U(0x9E3779B97F4A7C15) * _mixed(key[row] * _U(8) + i.astype(np.uint64)))
+    last = i == k
+    state = _pack(np.where(last, rs, rs + pe), np.where(last, ps, rl - pe), np.where(last, i - 1, k - i), np.where(last, t, change - t), np.where(last, off, off + t))
+    return row, new >> _U(16), state
+
+
+def _lots(texts: list[str]) -> Iterator[slice]:
+    begin = size = 0
+    for k, text in enumerate(texts):
+        if k > begin and size + len(text) > LOT_CHARS:
+            yield slice(begin, k)
+            begin, size = k, 0
+        size += len(text)
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
+SPREAD = "key long, ref long, sig long, state long"
+
+
+def _rows(key: np.ndarray, ref: np.ndarray, sig: np.ndarray, state: np.ndarray, only: Callable[[np.ndarray], np.ndarray] | None) -> pa.RecordBatch:
+    key = key.view(np.int64)
+    columns = [key, ref, sig.view(np.int64), state]
+    if only is not None:
+        keep = only(key)
+        columns = [c[keep] for c in columns]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ref", "sig", "state"])
+
+
+def _spread(texts: DataFrame, ref: str, probe: bool, only: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """(key, ref, sig, state) of each text of (ref, text) rows."""
+    ways = LOOKED_UP if probe else STORED
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            refs, held = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for part in _lots(held):
+                lot = _Lot(held[part])
+                text, key, state = _segments(lot, ways)
+                yield _rows(key, refs[part][text], lot.signatures()[text], state, only)
+
+    return texts.select(ref, "text").mapInArrow(run, SPREAD)
+
+
+def _finer(rows: DataFrame, probe: bool, only: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """(key, ref, sig, state) of the pieces of (ref, text, key, state) rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            refs, held = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            keys, states = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64), batch.column(3).to_numpy(zero_copy_only=False)
+            for part in _lots(held):
+                lot = _Lot(held[part])
+                row, key, state = _refined(lot, np.arange(part.stop - part.start), keys[part], states[part], PIECES[probe])
+                yield _rows(key, refs[part][row], lot.signatures()[row], state, only)
+
+    return rows.select("ref", "text", "key", "state").mapInArrow(run, SPREAD)
 
 
-def _key(*parts: Column | str) -> Column:
-    """A hash of 48 bits: it only routes, and the saved bytes count thirtyfold."""
-    return F.xxhash64(*parts).bitwiseAND(F.lit((1 << 48) - 1))
-
-
-def _cut(text: Column, start: Column, length: Column) -> Column:
-    return F.substring(text, start + 1, length)
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """(text, tid, since, h): each distinct text, its least row id, its first batch and its hash."""
+    return rows.groupBy("text").agg(F.min("id").alias("tid"), F.min("batch").alias("since")).withColumn("h", F.xxhash64("text"))
 
 
-def _entries(texts: DataFrame, probe: bool) -> DataFrame:
-    """One row for each segment of a text, or for each substring it looks up, and what it leaves open.
+class SegmentIndex:
+    """The stored index: each batch is looked up and appended, and no more of the history is read than the joins ask for.
 
-    The open region of the indexed text begins at ``rs`` and is ``rl`` long; at
-    most ``errs`` edits lie in it; in the probing text it begins ``off`` later
-    and is ``change`` longer.
+    ``add`` expects batches in their order, several at a time if need be; what
+    was answered before stays as it is.
     """
-    n = TAU + 1
-    # delta: how much longer the probing text is; s: by how much the segment is shifted
-    ways = [(j, delta, s) for delta in range(n) for j in range(1, n + 1) for s in _shifts(n, j, delta)] if probe else [(j, 0, 0) for j in range(1, n + 1)]
-    wide = texts.select("tid", "sig", "text", F.length("text").alias("len"), F.explode(_table(ways, "j", "delta", "s")).alias("w")).select("tid", "sig", "text", "len", "w.*")
-    wide = wide.withColumn("size", F.col("len") - F.col("delta")).withColumn("head", F.floor(F.col("size") * HEAD).cast("int"))
-    wide = wide.withColumns({"base": F.expr(f"(size - head) div {n}").cast("int"), "more": (F.col("size") - F.col("head")) % n})
-    own = F.col("base") + F.when(F.col("j") + F.col("more") > n, 1).otherwise(0)
-    first, last = F.col("j") == 1, F.col("j") == n
-    begin = F.col("head") + (F.col("j") - 1) * F.col("base") + F.greatest(F.lit(0), F.col("j") - 1 - n + F.col("more"))
-    wide = wide.withColumns({"start": F.when(first, F.lit(0)).otherwise(begin), "n": F.when(first, F.col("head") + own).otherwise(own)})
-    at = F.col("start") + F.col("s")
-    inside = wide.filter((F.col("size") >= 0) & (at >= 0) & (at + F.col("n") <= F.col("len")))
-    end = F.col("start") + F.col("n")
-    return inside.select(
-        _key("j", "size", _cut(F.col("text"), at, F.col("n"))).alias("key"),
-        "tid",
-        "sig",
-        "text",
-        "len",
-        F.when(last, F.lit(0)).otherwise(end).alias("rs"),
-        F.when(last, F.col("start")).otherwise(F.col("size") - end).alias("rl"),
-        F.when(last, F.lit(TAU)).otherwise(n - F.col("j")).alias("errs"),
-        F.when(last, F.col("s")).otherwise(F.col("delta") - F.col("s")).alias("change"),
-        F.when(last, F.lit(0)).otherwise(F.col("s")).alias("off"),
-    )
-
-
-def _finer(wide: DataFrame, hot: DataFrame, probe: bool) -> DataFrame:
-    """Hot keys joined with each piece of their open region; ``i`` is 0 for rows left as they were."""
-    most = TAU + 1
-    pieces = [(i, t) for i in range(1, most + 1) for t in (range(-(i - 1), i) if probe else (0,))]
-    marked = wide.join(F.broadcast(hot.withColumn("is_hot", F.lit(True))), "key", "left")
-    split = F.when(F.col("is_hot") & (F.col("rl") > 0), _table(pieces, "i", "t")).otherwise(_table([(0, 0)], "i", "t"))
-    rows = marked.select("*", F.explode(split).alias("f")).select("*", "f.*")
-    k = F.col("errs") + 1
-    rows = rows.withColumns({"ps": F.expr("(rl * (i - 1)) div (errs + 1)").cast("int"), "pe": F.expr("(rl * i) div (errs + 1)").cast("int")})
-    at, n = F.col("rs") + F.col("off") + F.col("ps") + F.col("t"), F.col("pe") - F.col("ps")
-    fits = (F.col("i") <= k) & (F.abs("t") <= F.col("i") - 1) & (F.abs(F.col("change") - F.col("t")) <= k - F.col("i")) & (at >= 0) & (at + n <= F.col("len"))
-    kept, last = F.col("i") == 0, F.col("i") == k
-    rows = rows.filter(kept | fits)
-    pick = lambda old, at_last, else_: F.when(kept, F.col(old)).when(last, at_last).otherwise(else_).alias(old)
-    return rows.select(
-        F.when(kept, F.col("key")).otherwise(_key("key", "i", _cut(F.col("text"), at, n))).alias("key"),
-        "tid",
-        "sig",
-        "text",
-        "len",
-        pick("rs", F.col("rs"), F.col("rs") + F.col("pe")),
-        pick("rl", F.col("ps"), F.col("rl") - F.col("pe")),
-        pick("errs", F.col("i") - 1, k - F.col("i")),
-        pick("change", F.col("t"), F.col("change") - F.col("t")),
-        pick("off", F.col("off"), F.col("off") + F.col("t")),
-        "i",
-    )
-
-
-def _spread(texts: DataFrame, hots: list[DataFrame], probe: bool) -> DataFrame:
-    """(key, tid, sig) rows of texts (tid, text, sig), as fine as the hot keys of each level ask."""
-    wide = _entries(texts, probe)
-    for hot in hots:
-        wide = _finer(wide, hot, probe).drop("i")
-    return wide.select("key", "tid", "sig")
-
-
-def hot_keys(texts: DataFrame, least: int = HOT_LEAST, limit: int = HOT_LIMIT) -> list[DataFrame]:
-    """For each level the keys in more than ``least`` texts, at most ``limit`` of them.
-
-    If a level has more, its threshold rises to rows / limit, which at most
-    ``limit`` keys can exceed.
-    """
-    out, wide = [], _entries(texts, False)
-    for level in range(LEVELS):
-        counts = materialise(wide.groupBy("key").count().filter(F.col("count") > least), f"hot-{level}")
-        n, rows = counts.agg(F.count(F.lit(1)), F.sum("count")).first()
-        if not n:
-            break
-        hot = counts.filter(F.col("count") > rows // limit).select("key") if n > limit else counts.select("key")
-        out.append(hot)
-        wide = _finer(wide.join(F.broadcast(hot), "key", "left_semi"), hot, False).filter("i > 0").drop("i")
-    return out
-
-
-def distinct_texts(rows: DataFrame) -> DataFrame:
-    """(text, tid, since): each distinct text, its least row id and first batch."""
-    return rows.groupBy("text").agg(F.min("id").alias("tid"), F.min("batch").alias("since"))
 
+    def __init__(self, spark: SparkSession, buckets: int | None = None, least: int | None = None):
+        ship(spark)
+        self.spark, self.least, self.buckets = spark, HOT_LEAST if least is None else least, buckets or shuffle_width(spark)
+        self.entries = Buckets(spark, "segments", "key", self.buckets)
+        self.marks = Buckets(spark, "marks", "key", self.buckets)
+        self.texts = Buckets(spark, "texts", "h", self.buckets)
+        self.hashes = Buckets(spark, "hashes", "hash", self.buckets)
+        #: For each level the keys that hold more than 1 in 2 buckets of an append.
+        self.heavy: list[set[int]] = [set() for _ in range(LEVELS)]
+        self.depth = 0
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        """Look (id, batch, hash, text) rows up, append them, and tell (id, exact, since) of each repeat.
+
+        ``since`` is the first batch with the same hash, or with a text at most TAU edits away.
+        """
+        texts = materialise(distinct_texts(rows), "batch-texts")
+        if self.texts.written:
+            old = self.texts.read().select(F.col("h").alias("_h"), F.col("text").alias("_text"), F.col("since").alias("old"))
+            known = materialise(texts.join(old, texts["h"] == old["_h"]).filter(F.col("text") == F.col("_text")).groupBy("tid").agg(F.min("old").alias("old")), "known")
+            held = texts.join(known, "tid", "left")
+            # a text that is known from an earlier batch is answered and indexed already
+            fresh = materialise(held.filter("old is null or old >= since").select("tid", "h", "text", "since"), "fresh")
+        else:
+            held, fresh = texts.withColumn("old", F.lit(None).cast("int")), texts
+        self.texts.append(fresh.select("h", "text", "since"))
+        self._append(fresh)
+        near = self._near(fresh)
+        first = held.join(near, "tid", "left").select("text", F.least("since", "old", "near").alias("first"))
+        by_hash = rows.groupBy("hash").agg(F.min("batch").alias("same"))
+        if self.hashes.written:
+            earlier = self.hashes.read().select("hash", F.col("since").alias("before"))
+            by_hash = by_hash.join(earlier, "hash", "left").groupBy("hash").agg(F.least(F.min("same"), F.min("before")).alias("same"), F.count("before").alias("stored"))
+        else:
+            by_hash = by_hash.withColumn("stored", F.lit(0))
+        by_hash = materialise(by_hash, "batch-hashes")
+        judged = rows.join(first, "text").select("id", "batch", "hash", "first").join(by_hash.select("hash", "same"), "hash")
+        since = F.least("first", "same")
+        out = materialise(judged.filter(F.col("batch") > since).select("id", (F.col("batch") > F.col("same")).alias("exact"), since.alias("since")), "repeats")
+        self.hashes.append(by_hash.filter("stored = 0").select("hash", F.col("same").alias("since")))
+        discard(texts, by_hash, near, *([] if fresh is texts else [fresh, known]))
+        return out
+
+    def _append(self, fresh: DataFrame) -> None:
+        """Store the segments of (h, text) rows, as fine as the hot ones among them ask."""
+        wide = materialise(_spread(fresh, "h", False), "level-0")
+        for level in range(LEVELS):
+            hot = None
+            if level < LEVELS - 1:
+                hot = materialise(wide.groupBy("key").count().filter(F.col("count") > self.least), f"hot-{level}")
+                n = wide.count()
+                heavy = hot.filter(F.col("count") > F.lit(n / (2 * self.buckets))).select("key").collect()  # at most two for each bucket
+                self.heavy[level] |= {r[0] for r in heavy}
+                if not hot.limit(1).count():
+                    hot = None
+            if hot is None:
+                self.entries.append(wide)
+                self.depth = max(self.depth, level + 1)
+                discard(wide)
+                return
+            marked = wide.join(hot.select("key", F.lit(True).alias("hot")), "key", "left")
+            # a key is marked once, however often it is hot
+            new = materialise(hot.select("key").join(self.marks.read(), "key", "left_anti"), "new-marks") if self.marks.written else hot.select("key")
+            marks = new.select("key", F.lit(None).cast("long").alias("ref"), F.lit(None).cast("long").alias("sig"), F.lit(0).cast("long").alias("state"))
+            self.entries.append(marked.filter(f"hot is null or not ({IS_OPEN})").drop("hot").select(wide.columns).unionByName(marks))
+            self.marks.append(new)
+            open_ = wide.filter(IS_OPEN).join(hot.select("key"), "key", "left_semi").withColumnRenamed("ref", "h").select("h", "key", "state")
+            with_text = open_.join(fresh.select("h", "text"), "h").select(F.col("h").alias("ref"), "text", "key", "state")
+            finer = materialise(_finer(with_text, False), f"level-{level + 1}")
+            discard(wide, hot)
+            wide = finer
+
+    def _near(self, fresh: DataFrame) -> DataFrame:
+        """(tid, near): the first batch of any stored text at most TAU edits from each of (tid, text) rows."""
+        pairs, tables = None, []
+        spread: Callable[..., DataFrame] = lambda only=None: _spread(fresh, "tid", True, only)
+        for level in range(self.depth):
+            met = materialise(self._met(spread, self.heavy[level]), f"met-{level}")
+            found = met.filter("h is not null").select("h", "tid")
+            pairs = found if pairs is None else pairs.unionByName(found)
+            tables.append(met)
+            marks = met.filter("h is null").select("tid", "key", "state").join(fresh.select("tid", "text"), "tid").select(F.col("tid").alias("ref"), "text", "key", "state")
+            spread = lambda only=None, marks=marks: _finer(marks, True, only)
+        stored = self.texts.read().select("h", F.col("text").alias("text_a"), F.col("since").alias("near"))
+        both = pairs.distinct().join(stored, "h").join(fresh.select("tid", "text", "since"), "tid").filter("near < since")
+        near = materialise(both.filter(F.levenshtein("text_a", "text", TAU) >= 0).groupBy("tid").agg(F.min("near").alias("near")), "near")
+        discard(*tables)
+        return near
+
+    def _met(self, spread: Callable[..., DataFrame], heavy: set[int]) -> DataFrame:
+        """(tid, key, state, h): look-ups that meet a stored entry of like characters, or a mark (h null)."""
+        stored = self.entries.read().select("key", F.col("ref").alias("h"), F.col("sig").alias("sig_a"))
+
+        def join(probes: DataFrame, entries: DataFrame) -> DataFrame:
+            both = probes.join(entries, "key")
+            like = F.bit_count(F.col("sig_a").bitwiseXOR(F.col("sig"))) <= 2 * TAU
+            return both.filter((F.col("h").isNull() & F.expr(IS_OPEN)) | like).select(F.col("ref").alias("tid"), "key", "state", "h")
+
+        if not heavy:
+            return join(spread(), stored)
+        keys = np.array(sorted(heavy), dtype=np.int64)
+        few = F.broadcast(stored.filter(F.col("key").isin([int(k) for k in keys])))
+        return join(spread(lambda k: ~np.isin(k, keys)), stored).unionByName(join(spread(lambda k: np.isin(k, keys)), few))
 
-def close_pairs(index: DataFrame, probes: DataFrame, texts: DataFrame, other: DataFrame | None = None) -> DataFrame:
-    """(a, b) for indexed text a and probing text b at most TAU edits apart.
-
-    ``index`` and ``probes`` are (key, tid, sig) rows; ``texts`` holds (tid,
-    text) of the indexed side and ``other`` of the probing side, if different.
-    """
-    i = index.select("key", F.col("tid").alias("a"), F.col("sig").alias("sig_a"))
-    p = probes.select("key", F.col("tid").alias("b"), F.col("sig").alias("sig_b"))
-    near = i.join(p, "key").filter((F.col("a") != F.col("b")) & (F.bit_count(F.col("sig_a").bitwiseXOR(F.col("sig_b"))) <= 2 * TAU)).select("a", "b").distinct()
-    left = texts.select(F.col("tid").alias("a"), F.col("text").alias("text_a"))
-    right = (texts if other is None else other).select(F.col("tid").alias("b"), F.col("text").alias("text_b"))
-    both = near.join(left, "a").join(right, "b")
-    return both.filter(F.levenshtein("text_a", "text_b", TAU) >= 0).select("a", "b")
+    def drop(self) -> None:
+        for t in (self.entries, self.marks, self.texts, self.hashes):
+            t.drop()
 
 
-def _prepared(rows: DataFrame, columns: tuple[str, ...], hash_column: str, id_column: str, batch_column: str) -> DataFrame:
+def prepared(rows: DataFrame, columns: tuple[str, ...] = ("domain", "username", "password"), hash_column: str = "credential_hash", id_column: str = "id", batch_column: str = "batch_id") -> DataFrame:
+    """(id, batch, hash, text) of the rows that count."""
     known = F.col(hash_column).isNotNull() & F.col(id_column).isNotNull() & F.col(batch_column).isNotNull()
     return rows.filter(known).select(F.col(id_column).alias("id"), F.col(batch_column).alias("batch"), F.col(hash_column).alias("hash"), record_text(columns).alias("text"))
 
 
-def repeats(table: DataFrame, columns: tuple[str, ...] = ("domain", "username", "password"), hash_column: str = "credential_hash", id_column: str = "id", batch_column: str = "batch_id") -> DataFrame:
+def repeats(table: DataFrame, steps: int = 3, **columns) -> DataFrame:
     """(id, exact, since): rows that an earlier batch brought, exactly or nearly.
 
-    All batches at once: every text is indexed and looked up, and the first
-    batch among a text's equals and neighbours decides for each of its rows.
-    """
-    rows = _prepared(table, columns, hash_column, id_column, batch_column)
-    texts = materialise(distinct_texts(rows).withColumn("sig", signature(F.col("text"))), "texts")
-    hots = hot_keys(texts)
-    pairs = materialise(close_pairs(_spread(texts, hots, False), _spread(texts, hots, True), texts), "pairs")
-    since = texts.select("tid", "since")
-    ways = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    nearest = ways.join(since.withColumnRenamed("tid", "a"), "a").groupBy("b").agg(F.min("since").alias("near"))
-    known = texts.join(nearest.withColumnRenamed("b", "tid"), "tid", "left").select("text", F.least("since", "near").alias("since"))
-    by_hash = rows.groupBy("hash").agg(F.min("batch").alias("same"))
-    judged = rows.join(known, "text").select("id", "batch", "hash", "since").join(by_hash, "hash")
-    first = F.least("since", "same")
-    return judged.filter(F.col("batch") > first).select("id", (F.col("batch") > F.col("same")).alias("exact"), first.alias("since"))
-
-
-class SegmentIndex:
-    """The index as a stored table: probe a new batch, then append it.
-
-    History is read only through the keys the batch looks up; its texts are
-    fetched for candidates alone.  The hot keys are fixed when the index is
-    built; later batches follow the same set, so both sides keep agreeing.
+    The batches go through a SegmentIndex in ``steps`` consecutive ranges of
+    about equal size, each looked up in all before it and in itself.
     """
-
-    def __init__(self, spark: SparkSession, root: str | None = None):
-        self.spark, self.root, self.parts = spark, root or workspace(spark, "segments"), 0
-        self.hots: list[DataFrame] | None = None
-
-    def _read(self, kind: str) -> DataFrame:
-        return self.spark.read.parquet(*[f"{self.root}/{kind}-{k}" for k in range(self.parts)])
-
-    def append(self, rows: DataFrame) -> None:
-        """Add (id, batch, text) rows; texts already indexed are not added again."""
-        texts = distinct_texts(rows).withColumn("sig", signature(F.col("text")))
-        if self.parts:
-            texts = texts.join(self._read("texts").select("text"), "text", "left_anti")
-        k = self.parts
-        texts.write.parquet(f"{self.root}/texts-{k}")
-        texts = self.spark.read.schema(texts.schema).parquet(f"{self.root}/texts-{k}")
-        if self.hots is None:
-            self.hots = hot_keys(texts)
-        # both directions are stored: later texts may be shorter or longer than these
-        own = _spread(texts, self.hots, False).withColumn("probe", F.lit(False))
-        own.unionByName(_spread(texts, self.hots, True).withColumn("probe", F.lit(True))).write.parquet(f"{self.root}/segments-{k}")
-        self.parts += 1
-
-    def probe(self, rows: DataFrame) -> DataFrame:
-        """Ids of (id, batch, text) rows whose text, or one within TAU edits, is in the index."""
-        if not self.parts:
-            return rows.select("id").limit(0)
-        new = materialise(distinct_texts(rows).withColumn("sig", signature(F.col("text"))), "probing")
-        old, stored = self._read("texts"), self._read("segments")
-        shorter = close_pairs(stored.filter("not probe"), _spread(new, self.hots, True), old, new).select("b")
-        longer = close_pairs(_spread(new, self.hots, False), stored.filter("probe"), new, old).select(F.col("a").alias("b"))
-        same = new.join(old.select("text"), "text", "left_semi").select(F.col("tid").alias("b"))
-        hits = shorter.unionByName(longer).unionByName(same).distinct()
-        texts = new.join(hits.withColumnRenamed("b", "tid"), "tid", "left_semi")
-        return rows.join(texts.select("text"), "text", "left_semi").select("id")
-
-    def drop(self) -> None:
-        remove(self.spark, self.root)
+    rows = prepared(table, **columns)
+    cuts = rows.agg(F.percentile_approx("batch", [k / steps for k in range(1, steps)])).first()[0] if steps > 1 else []
+    edges = [None, *sorted(set(cuts or [])), None]
+    index, out = SegmentIndex(table.sparkSession), None
+    for low, high in zip(edges, edges[1:]):
+        part = rows
+        if low is not None:
+            part = part.filter(F.col("batch") > low)
+        if high is not None:
+            part = part.filter(F.col("batch") <= high)
+        found = index.add(part)
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -54,24 +54,39 @@ def rows_with(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("hot", [1, 32])
-def test_equals_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(si.hot_keys, "__defaults__", (hot, si.HOT_LIMIT))
+@pytest.mark.parametrize("hot, steps", [(1, 1), (1, 3), (32, 2)])
+def test_equals_brute_force(spark, monkeypatch, hot, steps):
+    monkeypatch.setattr(si, "HOT_LEAST", hot)
     rows = rows_with(random.Random(hot), 220)
-    got = {r["id"] for r in si.repeats(spark.createDataFrame(rows, DDL)).collect()}
+    got = {r["id"] for r in si.repeats(spark.createDataFrame(rows, DDL), steps).collect()}
     assert got == brute(rows)
 
 
-def test_index_equals_all_at_once(spark):
+@pytest.mark.parametrize("buckets", [2, 4000])
+def test_batch_by_batch(spark, buckets):
+    """With few buckets no key counts as heavy, with very many every hot key does."""
     rows = rows_with(random.Random(9), 150)
-    df = spark.createDataFrame(rows, DDL).filter("credential_hash is not null").select("id", F.col("batch_id").alias("batch"), si.record_text().alias("text"))
-    index, got = si.SegmentIndex(spark), set()
+    df = si.prepared(spark.createDataFrame(rows, DDL))
+    index, got = si.SegmentIndex(spark, least=2), set()
+    index.buckets = buckets
     for b in range(1, 7):
-        new = df.filter(F.col("batch") == b)
-        got |= {r["id"] for r in index.probe(new).collect()}
-        index.append(new)
-    # the index knows texts, not hashes; here equal hashes mean equal texts
+        got |= {r["id"] for r in index.add(df.filter(F.col("batch") == b)).collect()}
     assert got == brute(rows)
+    assert bool(index.heavy[0]) == (buckets == 4000)
+
+
+def test_history_is_not_shuffled(spark):
+    df = si.prepared(spark.createDataFrame(rows_with(random.Random(3), 60), DDL))
+    index = si.SegmentIndex(spark, buckets=3)
+    index.add(df.filter("batch < 5"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = si.materialise(si.distinct_texts(df.filter("batch = 5")), "fresh")
+        plan = index._met(lambda only=None: si._spread(fresh, "tid", True, only), set())._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one exchange, that of the batch's own look-ups
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
 
 
 def test_edges(spark):

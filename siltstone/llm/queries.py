@@ -14,15 +14,12 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_latest_batch(spark: SparkSession, d: str) -> DataFrame:
-    """The index kept up: all batches but the last are history, the last is probed, then appended."""
-    rows = table(spark, d, "parsed_credentials").filter(F.col("credential_hash").isNotNull()).select("id", F.col("batch_id").alias("batch"), segment_index.record_text().alias("text"))
+    """The index kept up: all batches but the last are history, the last is looked up and appended."""
+    rows = segment_index.prepared(table(spark, d, "parsed_credentials"))
     last = rows.agg(F.max("batch")).first()[0]
     index = segment_index.SegmentIndex(spark)
-    index.append(rows.filter(F.col("batch") < last))
-    new = rows.filter(F.col("batch") == last)
-    found = segment_index.materialise(index.probe(new), "latest")
-    index.append(new)
-    return found
+    index.add(rows.filter(F.col("batch") < last))
+    return index.add(rows.filter(F.col("batch") == last))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -94,6 +91,9 @@ _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{
 def oracle_sql() -> dict[str, str]:
     return {
         "p4_found": "SELECT id FROM (SELECT id, min(id) OVER (PARTITION BY credential_hash) AS first_id FROM parsed_credentials WHERE credential_hash IS NOT NULL) WHERE id > first_id",
+        "p4_rate": """WITH b AS (SELECT min(id) AS low, (max(id) - min(id) + 4) // 4 AS width FROM parsed_credentials),
+ f AS (SELECT DISTINCT (id - low) // width AS part, credential_hash AS k FROM parsed_credentials, b WHERE credential_hash IS NOT NULL)
+SELECT count(*) AS probed, count(*) - count(DISTINCT k) AS hash_hits, count(*) - count(DISTINCT k) AS confirmed, CAST(0 AS DOUBLE) AS wrong_by_hash, CAST(0 AS DOUBLE) AS wrong_after_check FROM f""",
         "p7_found": f"""WITH c AS ({_CANON}), f AS (SELECT *, first_value(id) OVER w AS first_id, first_value(url) OVER w AS u, first_value(username) OVER w AS n
  FROM c WINDOW w AS (PARTITION BY pw, words ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
 SELECT first_id, id FROM f WHERE id <> first_id AND (url IS DISTINCT FROM u OR username IS DISTINCT FROM n)""",

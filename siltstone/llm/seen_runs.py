@@ -1,14 +1,15 @@
 """Has this key been seen before?  A log-structured set of key hashes.
 
 Each admitted batch leaves one immutable run: the batch's new keys, hashed to
-64 bits, bucketed and sorted by the hash, with the full key and the least id
-beside it.  A probe merge-joins the batch with each run on the hash, and a hit
-counts only if the full key agrees, so no answer is wrong; the share of hash
-hits that the full key refutes is reported.  Runs are bucketed alike, so the
-history is never shuffled again.  Fences, the least and greatest hash of each
-block, let a probe skip runs its own range does not meet; a small batch, of at
-most FEW keys, reads only the buckets and row groups its hashes lie in, as
-sorted blocks keep their fences in the file footers.
+64 bits and sorted by the hash, with the full key and the least id beside it.
+A run is cut into SLOTS blocks, ranges of the hash, and its fences tell which
+blocks hold keys; they are taken while the run is written.  A probe reads only
+the blocks that its own hashes lie in and the run has, merge-joins them with the
+batch on the hash, and a hit counts only if the full key agrees.  So no answer
+is wrong; the share of hash hits that the full key refutes is reported.
+
+Blocks lie in buckets, alike in every run, so the history is never shuffled: the
+batch is, once.
 
 When a level holds ``fan`` runs they are merged into one run of the next
 level, so a probe meets at most fan-1 runs a level, and each key is rewritten
@@ -24,14 +25,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.session import materialise, remove, shuffle_width, workspace
+from siltstone.session import discard, joined_by_part, materialise, remove, short_shuffles, shuffle_width, workspace
+
+#: Blocks of a run, by the leading ten bits of the hash.
+SLOTS = 1_024
 
 
-#: Batches of up to so many keys look their blocks up instead of scanning the runs.
-FEW = 1_000
+def _slot(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 54).cast("int")
 
 
 def _same(a: Column, b: Column) -> Column:
@@ -48,31 +52,37 @@ class SeenKeys:
         self.levels: list[list[dict]] = [[]]
 
     def _write(self, rows: DataFrame) -> dict:
-        """One run (h, key, first_id); its fences are read from the written blocks."""
+        """One run (slot, h, key, first_id), and its fences."""
         name = f"seen_{uuid.uuid4().hex[:16]}"
-        path = f"{self.root}/{name}"
-        rows.repartition(self.buckets, "h").write.bucketBy(self.buckets, "h").sortBy("h").option("path", path).saveAsTable(name)
-        fences = self.spark.read.parquet(path).groupBy(F.input_file_name().alias("block")).agg(F.min("h").alias("low"), F.max("h").alias("high"), F.count(F.lit(1)).alias("rows"))
-        # one row for each bucket
-        blocks = fences.collect()
-        return {"name": name, "path": path, "rows": sum(b["rows"] for b in blocks), "fences": [(b["low"], b["high"]) for b in blocks]}
+        path, seen = f"{self.root}/{name}", Observation()
+        placed = rows.select(_slot(F.col("h")).alias("slot"), "h", "key", "first_id")
+        # at most SLOTS numbers
+        told = placed.observe(seen, F.count(F.lit(1)).alias("rows"), F.min("h").alias("low"), F.max("h").alias("high"), F.collect_set("slot").alias("blocks"))
+        with short_shuffles(self.spark):
+            told.repartition(self.buckets, "slot").write.bucketBy(self.buckets, "slot").sortBy("slot", "h").option("path", path).saveAsTable(name)
+        got = seen.get
+        return {"name": name, "path": path, "rows": got["rows"], "low": got["low"], "high": got["high"], "blocks": set(got["blocks"])}
 
     def runs(self) -> list[dict]:
         return [r for level in self.levels for r in level if r["rows"]]
 
-    def _table(self, run: dict) -> DataFrame:
-        return self.spark.table(run["name"]).select("h", F.col("key").alias("seen_key"), F.col("first_id").alias("seen_id"))
+    def _meeting(self, firsts: DataFrame) -> list[DataFrame]:
+        """Of each run the blocks that ``firsts`` has hashes in, under other names."""
+        asked = {r[0] for r in firsts.select(_slot(F.col("h"))).distinct().collect()}  # at most SLOTS
+        out = []
+        for run in self.runs():
+            if blocks := asked & run["blocks"]:
+                old = self.spark.table(run["name"]).select(F.col("slot").alias("_slot"), F.col("h").alias("_h"), F.col("key").alias("seen_key"), F.col("first_id").alias("seen_id"))
+                out.append(old if len(blocks) == len(run["blocks"]) else old.filter(F.col("_slot").isin(sorted(blocks))))
+        return out
 
     def unseen(self, firsts: DataFrame) -> DataFrame:
-        """The (h, key, first_id) rows whose key is in no run; ``firsts`` is a written table."""
-        low, high, n = firsts.agg(F.min("h"), F.max("h"), F.count(F.lit(1))).first()
-        few = [r[0] for r in firsts.select("h").distinct().collect()] if n <= FEW else None
-        for run in self.runs():
-            if n and any(a <= high and b >= low for a, b in run["fences"]):
-                old = self._table(run)
-                old = old.filter(F.col("h").between(low, high) if few is None else F.col("h").isin(few))
-                firsts = firsts.join(old, (firsts["h"] == old["h"]) & _same(firsts["key"], old["seen_key"]), "left_anti")
-        return firsts
+        """The (h, key, first_id) rows whose key is in no run, written; ``firsts`` is a written table."""
+        left = firsts.withColumn("slot", _slot(F.col("h")))
+        for old in self._meeting(firsts):
+            left = left.join(old, (F.col("slot") == F.col("_slot")) & (F.col("h") == F.col("_h")) & _same(F.col("key"), F.col("seen_key")), "left_anti")
+        with joined_by_part(self.spark):
+            return materialise(left.select("h", "key", "first_id"), "unseen")
 
     def hits(self, firsts: DataFrame) -> DataFrame:
         """One row: keys probed, keys with a hash hit, and hits the full key confirmed.
@@ -80,27 +90,34 @@ class SeenKeys:
         Keys of ``firsts`` that share a hash no run has are hits too, all but one,
         as by the hash alone each would be taken for the one before it.
         """
-        out = firsts.select("h", "key")
+        out = firsts.select(_slot(F.col("h")).alias("slot"), "h", "key")
         pairs = out.select("h", "key", F.lit(True).alias("own"), F.lit(False).alias("real"))
-        for run in self.runs():
-            old = self._table(run)
-            pairs = pairs.unionByName(out.join(old, out["h"] == old["h"]).select(out["h"], out["key"], F.lit(False).alias("own"), _same(out["key"], old["seen_key"]).alias("real")))
+        for old in self._meeting(firsts):
+            met = out.join(old, (F.col("slot") == F.col("_slot")) & (F.col("h") == F.col("_h")))
+            pairs = pairs.unionByName(met.select("h", "key", F.lit(False).alias("own"), _same(F.col("key"), F.col("seen_key")).alias("real")))
         per_key = pairs.groupBy("h", "key").agg(F.bool_or(~F.col("own")).alias("hit"), F.bool_or("real").alias("real"))
         per_hash = per_key.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.bool_or("hit").alias("hit"), F.count_if("real").alias("real"))
         total = lambda c: F.coalesce(F.sum(c), F.lit(0))
-        return per_hash.agg(total("n").alias("probed"), total(F.when(F.col("hit"), F.col("n")).otherwise(F.col("n") - 1)).alias("hash_hits"), total("real").alias("confirmed"))
+        counts = per_hash.agg(total("n").alias("probed"), total(F.when(F.col("hit"), F.col("n")).otherwise(F.col("n") - 1)).alias("hash_hits"), total("real").alias("confirmed"))
+        with joined_by_part(self.spark):
+            return materialise(counts, "hits")
 
     def firsts(self, batch: DataFrame) -> DataFrame:
         """(h, key, first_id): the least id of each key of (id, key) rows."""
         return batch.filter(F.col("key").isNotNull()).groupBy(F.xxhash64("key").alias("h"), "key").agg(F.min("id").alias("first_id"))
 
-    def admit(self, batch: DataFrame) -> None:
-        """Store the keys of (id, key) rows that were not seen before."""
-        self._admit(materialise(self.firsts(batch), "firsts"))
+    def admit(self, batch: DataFrame) -> DataFrame:
+        """Store the keys of (id, key) rows that were not seen before; these come back as (h, key, first_id)."""
+        firsts = materialise(self.firsts(batch), "firsts")
+        new = self._admit(firsts)
+        discard(firsts)
+        return new
 
-    def _admit(self, firsts: DataFrame) -> None:
-        self.levels[0].append(self._write(self.unseen(firsts)))
+    def _admit(self, firsts: DataFrame) -> DataFrame:
+        new = self.unseen(firsts)
+        self.levels[0].append(self._write(new))
         self._compact()
+        return new
 
     def _compact(self) -> None:
         for k in range(len(self.levels)):
@@ -122,7 +139,7 @@ class SeenKeys:
         """(h, key, first_id) of every key seen."""
         out = None
         for run in self.runs():
-            t = self.spark.table(run["name"])
+            t = self.spark.table(run["name"]).select("h", "key", "first_id")
             out = t if out is None else out.unionByName(t)
         return self.spark.createDataFrame([], "h long, key binary, first_id long") if out is None else out
 
@@ -140,18 +157,24 @@ def _keyed(table: DataFrame, id_column: str, key_column: str) -> DataFrame:
     return table.select(F.col(id_column).alias("id"), F.encode(key_column, "UTF-8").alias("key")).filter("key is not null and id is not null")
 
 
-def admit_table(table: DataFrame, id_column: str = "id", key_column: str = "credential_hash", steps: int = 4) -> SeenKeys:
-    """Admit a table in the order of its ids, in ``steps`` ranges."""
-    seen, rows = SeenKeys(table.sparkSession), _keyed(table, id_column, key_column)
-    for part in id_slices(table, id_column, steps):
-        seen.admit(rows.filter(part) if id_column == "id" else _keyed(table.filter(part), id_column, key_column))
-    return seen
+def _parts(table: DataFrame, id_column: str, key_column: str, steps: int) -> list[DataFrame]:
+    """(id, key) rows of consecutive ranges of ids."""
+    return [_keyed(table.filter(part), id_column, key_column) for part in id_slices(table, id_column, steps)]
 
 
 def seen_before(table: DataFrame, id_column: str = "id", key_column: str = "credential_hash", steps: int = 4) -> DataFrame:
-    """Rows (id, key) whose key was on a row with a lower id."""
-    firsts = admit_table(table, id_column, key_column, steps).keys().select(F.col("first_id").alias("id"), "key")
-    return _keyed(table, id_column, key_column).join(firsts, ["id", "key"], "left_anti")
+    """Rows (id, key) whose key was on a row with a lower id.
+
+    The table goes through the set in ``steps`` ranges of ids.  Of a range each row
+    is a case but those that brought a key no run had, as the probe tells.
+    """
+    seen, out = SeenKeys(table.sparkSession), None
+    for rows in _parts(table, id_column, key_column, steps):
+        new = seen.admit(rows)
+        found = materialise(rows.join(new.select(F.col("first_id").alias("id"), "key"), ["id", "key"], "left_anti"), "seen-rows")
+        discard(new)
+        out = found if out is None else out.unionByName(found)
+    return _keyed(table, id_column, key_column).limit(0) if out is None else out
 
 
 def error_rate(table: DataFrame, id_column: str = "id", key_column: str = "credential_hash", steps: int = 4) -> DataFrame:
@@ -163,12 +186,12 @@ def error_rate(table: DataFrame, id_column: str = "id", key_column: str = "crede
     key is wrong if the store does not hold it just once, with its least id.
     """
     spark, rows = table.sparkSession, _keyed(table, id_column, key_column)
-    parts, seen = id_slices(table, id_column, steps), SeenKeys(table.sparkSession)
+    parts, seen = _parts(table, id_column, key_column, steps), SeenKeys(table.sparkSession)
     counts = [0, 0, 0]
     for part in parts:
-        firsts = materialise(seen.firsts(rows.filter(part) if id_column == "id" else _keyed(table.filter(part), id_column, key_column)), "firsts")
+        firsts = materialise(seen.firsts(part), "firsts")
         counts = [a + b for a, b in zip(counts, seen.hits(firsts).first())]
-        seen._admit(firsts)
+        discard(firsts, seen._admit(firsts))
     probed, hash_hits, confirmed = counts
     shape = "probed long, hash_hits long, confirmed long, wrong_by_hash double, wrong_after_check double"
     if not parts:

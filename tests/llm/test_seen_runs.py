@@ -26,31 +26,50 @@ def test_levels_compact_and_stay_few(spark):
         seen.admit(spark.createDataFrame([(10 * b + i, f"{b}-{i}".encode()) for i in range(5)], "id long, key binary"))
     assert all(len(level) < 2 for level in seen.levels) and len(seen.levels) > 2
     assert seen.keys().count() == 45
-    assert all(low <= high for run in seen.runs() for low, high in run["fences"])
+    assert all(run["low"] <= run["high"] and len(run["blocks"]) <= run["rows"] for run in seen.runs())
     old = seen.firsts(spark.createDataFrame([(99, b"3-3"), (98, b"new")], "id long, key binary"))
     assert [r["key"] for r in seen.unseen(old).collect()] == [b"new"]
 
 
-def test_small_batches_read_few_buckets(spark):
+def _plan_of(seen, monkeypatch, firsts):
+    plans = []
+    with monkeypatch.context() as m:
+        own = sr.materialise
+        m.setattr(sr, "materialise", lambda df, label: plans.append(df._jdf.queryExecution().executedPlan().toString()) or own(df, label))
+        left = seen.unseen(firsts)
+    return plans[-1], left
+
+
+def test_small_batches_read_few_buckets(spark, monkeypatch):
     seen = sr.SeenKeys(spark, buckets=8)
     seen.admit(spark.createDataFrame([(i, f"{i}".encode()) for i in range(500)], "id long, key binary"))
-    left = seen.unseen(seen.firsts(spark.createDataFrame([(900, b"7"), (901, b"new")], "id long, key binary")))
-    plan = left._jdf.queryExecution().executedPlan().toString()
+    plan, left = _plan_of(seen, monkeypatch, seen.firsts(spark.createDataFrame([(900, b"7"), (901, b"new")], "id long, key binary")))
     assert "SelectedBucketsCount: 2 out of 8" in plan or "SelectedBucketsCount: 1 out of 8" in plan
     assert [r["key"] for r in left.collect()] == [b"new"]
 
 
+def test_runs_without_a_block_of_the_batch_are_not_read(spark, monkeypatch):
+    seen = sr.SeenKeys(spark, buckets=4)
+    seen.admit(spark.createDataFrame([(1, b"a")], "id long, key binary"))
+    block = next(iter(seen.runs()[0]["blocks"]))
+    other = next(k for k in (f"{i}".encode() for i in range(99)) if spark.range(1).select(sr._slot(sr.F.xxhash64(sr.F.lit(k)))).first()[0] != block)
+    plan, left = _plan_of(seen, monkeypatch, seen.firsts(spark.createDataFrame([(2, other)], "id long, key binary")))
+    assert "Join" not in plan and left.count() == 1
+
+
 def test_history_is_not_shuffled(spark, monkeypatch):
-    monkeypatch.setattr(sr, "FEW", 0)
     seen = sr.SeenKeys(spark, buckets=4)
-    seen.admit(spark.createDataFrame([(i, f"{i}".encode()) for i in range(500)], "id long, key binary"))
+    for b in range(2):
+        seen.admit(spark.createDataFrame([(1000 * b + i, f"{b}-{i}".encode()) for i in range(500)], "id long, key binary"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        plan = seen.unseen(seen.firsts(spark.createDataFrame([(2, b"b")], "id long, key binary")))._jdf.queryExecution().executedPlan().toString()
+        firsts = sr.materialise(seen.firsts(spark.createDataFrame([(5000 + i, f"1-{2 * i}".encode()) for i in range(400)], "id long, key binary")), "firsts")
+        plan, left = _plan_of(seen, monkeypatch, firsts)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    run_side = plan[plan.index("LeftAnti") :].split("FileScan parquet")[0]
-    assert "Bucketed: true" in plan and "SortMergeJoin" in plan and run_side
+    # the one exchange is the batch's
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert left.count() == 150
 
 
 def test_hash_hits_need_the_full_key(spark):

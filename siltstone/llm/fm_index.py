@@ -1,8 +1,10 @@
 """A compressed full-text index over numpy arrays: BWT in a wavelet matrix.
 
 Bit vectors are packed 64 to a word with one running count a word, so the index
-takes about 1.5 bits a level and character besides the suffix array that
-locates hits.  All patterns of a batch are searched backward together.
+takes about 1.5 bits a level and character.  Of the suffix array every RATEth
+place of the text is kept, with a bit for each row that has one; a hit is located
+by going back through the text from row to row until such a place is met.  All
+patterns of a batch are searched backward together, all hits located together.
 """
 
 from __future__ import annotations
@@ -38,6 +40,10 @@ def suffix_array(codes: np.ndarray) -> np.ndarray:
         k *= 2
 
 
+#: Distance of the text places whose rows are kept.
+RATE = 8
+
+
 class BitVector:
     """Packed bits with rank."""
 
@@ -53,6 +59,9 @@ class BitVector:
         self.before = np.concatenate([[0], np.cumsum(ones)[:-1]]).astype(np.int32)
         self.zeros = n - int(ones.sum())
 
+    def get(self, i: np.ndarray) -> np.ndarray:
+        return (self.words[i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1) == 1
+
     def rank(self, i: np.ndarray) -> np.ndarray:
         """Ones before each position."""
         w = i >> 6
@@ -65,8 +74,11 @@ class FMIndex:
 
     def __init__(self, codes: np.ndarray):
         self.n = n = len(codes)
-        self.sa = suffix_array(codes)
-        bwt = codes[self.sa - 1]
+        sa = suffix_array(codes)
+        bwt = codes[sa - 1]
+        kept = sa % RATE == 0
+        self.has_place, self.places = BitVector(kept.astype(np.uint8)), sa[kept].astype(np.int32)
+        del sa
         top = int(codes.max())
         self.levels = max(1, top.bit_length())
         counts = np.bincount(codes, minlength=(1 << self.levels) + 1)
@@ -93,6 +105,24 @@ class FMIndex:
             i = np.where(up, v.zeros + ones, i - ones)
         return i - self.begin[symbol]
 
+    def _back(self, row: np.ndarray) -> np.ndarray:
+        """The row of the text place before that of each row."""
+        symbol, i = np.zeros(len(row), np.int64), row
+        for v in self.bits:
+            up, ones = v.get(i), v.rank(i)
+            i = np.where(up, v.zeros + ones, i - ones)
+            symbol = (symbol << 1) | up
+        return self.first[symbol] + i - self.begin[symbol]
+
+    def locate(self, row: np.ndarray) -> np.ndarray:
+        """The text place of each row."""
+        out, live, row, gone = np.zeros(len(row), np.int64), np.arange(len(row)), row.copy(), 0
+        while len(live):
+            met = self.has_place.get(row)
+            out[live[met]] = self.places[self.has_place.rank(row[met])] + gone
+            live, row, gone = live[~met], self._back(row[~met]), gone + 1
+        return out
+
     def search(self, text: np.ndarray, starts: np.ndarray, length: int, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(pattern, low, high) for the patterns text[start:start+length] with ``least`` or more occurrences.
 

@@ -32,6 +32,7 @@ text count once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,12 +40,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.fm_index import FMIndex
-from siltstone.session import materialise, shuffle_width
+from siltstone.session import discard, materialise, shuffle_width
 
 LEAST, GRAM = 320, 160
 SHARD_CHARS = 400_000
 #: Characters hashed at a time; bounds the memory of a task whatever its texts are.
 PIECE_CHARS = 500_000
+#: Longest region, overlap aside, that is one row.
+REGION_CHARS = 50_000
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -143,8 +146,11 @@ def _anchor_batches(batches: Iterator[pa.RecordBatch], least: int, gram: int) ->
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[owner].astype(np.int64)), pa.array((first + offset).astype(np.int32)), pa.array((last + offset).astype(np.int32))], names=["h", "doc", "first", "last"])
 
 
-def _regions(batches: Iterator[pa.RecordBatch], margin: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """Cut each document's text around the anchors of each group; overlapping windows are one."""
+def _regions(batches: Iterator[pa.RecordBatch], margin: int, gram: int, least: int) -> Iterator[pa.RecordBatch]:
+    """Cut each document's text around the anchors of each group; overlapping windows are one.
+
+    A long region goes on in pieces that overlap, so every span of ``least`` characters lies whole in one of them.
+    """
     for batch in batches:
         out: dict[str, list] = {"grp": [], "doc": [], "start": [], "part": []}
         for doc, text, marks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -158,10 +164,11 @@ def _regions(batches: Iterator[pa.RecordBatch], margin: int, gram: int) -> Itera
                     held.append([a, b])
             for grp, held in spans.items():
                 for a, b in held:
-                    out["grp"].append(grp)
-                    out["doc"].append(doc)
-                    out["start"].append(a)
-                    out["part"].append(text[a:b])
+                    for at in range(a, max(a + 1, b - least + 1), REGION_CHARS):
+                        out["grp"].append(grp)
+                        out["doc"].append(doc)
+                        out["start"].append(at)
+                        out["part"].append(text[at : min(b, at + REGION_CHARS + least - 1)])
         yield pa.RecordBatch.from_arrays([pa.array(out["grp"], pa.int64()), pa.array(out["doc"], pa.int64()), pa.array(out["start"], pa.int32()), pa.array(out["part"], pa.string())], names=["grp", "doc", "start", "part"])
 
 
@@ -205,7 +212,7 @@ def _matches(indexed: list[Region], asked: list[Region], least: int) -> list[np.
         w, lo, c = which[edge:to], low[edge:to], counts[edge:to]
         edge = to
         inside = np.arange(int(c.sum())) - np.repeat(np.cumsum(c) - c, c)
-        x = index.sa[np.repeat(lo, c) + inside]
+        x = index.locate(np.repeat(lo, c) + inside)
         p = starts[np.repeat(w, c)]
         xr = np.searchsorted(begins, x, side="right") - 1
         pr = np.searchsorted(other_begins, p, side="right") - 1
@@ -269,12 +276,56 @@ def folded(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     return copied
 
 
-def span_matches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = LEAST, gram: int = GRAM, shard_chars: int = SHARD_CHARS) -> tuple[DataFrame, DataFrame]:
-    """(matches, copies): maximal shared spans between different texts, and exact copies.
+def _united(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The intervals of each document, those that touch or overlap as one."""
+    if not len(doc):
+        return doc, begin, end
+    order = np.lexsort((begin, doc))
+    doc, begin, end = doc[order], begin[order], end[order]
+    # per document the furthest end so far; documents are kept apart by a shift
+    shift = (np.cumsum(np.concatenate([[0], np.diff(doc) != 0])) * (int(end.max()) + 1)).astype(np.int64)
+    reach = np.maximum.accumulate(end + shift)
+    new = np.concatenate([[True], (begin + shift)[1:] > reach[:-1]])
+    at = np.flatnonzero(new)
+    return doc[at], begin[at], (reach - shift)[np.append(at[1:], len(doc)) - 1]
 
-    matches: (doc_a, start_a, doc_b, start_b, length) between representatives, doc_a < doc_b.
-    copies: (doc, rep) of every document whose text another one has as well.
-    """
+
+def _covered_shard(least: int):
+    """What of each region another document of the shard has, as united intervals: no more rows than regions have text."""
+
+    def run(table: pa.Table) -> pa.Table:
+        regions = list(zip(table["doc"].to_pylist(), table["start"].to_pylist(), table["part"].to_pylist()))
+        doc_a, start_a, doc_b, start_b, length = _matches(regions, regions, least)
+        doc, begin, end = _united(np.concatenate([doc_a, doc_b]), np.concatenate([start_a, start_b]), np.concatenate([start_a + length, start_b + length]))
+        return pa.table({"doc": pa.array(doc, pa.int64()), "a": pa.array(begin, pa.int64()), "b": pa.array(end, pa.int64())})
+
+    return run
+
+
+def _gram_batches(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(grp, h, k, doc, at) of every place of the regions where ``least`` characters begin."""
+    for batch in batches:
+        grp, doc, start = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+        for lot in _pieces(batch.column(3).to_pylist(), least - 1):
+            flat, bounds = code_points([p for _, _, p in lot])
+            # two hashes of unlike letters, 128 bits together
+            h, k = gram_hashes(flat, least), gram_hashes(flat + np.uint32(0x10000000), least)
+            owner = np.repeat(np.arange(len(lot)), np.diff(bounds))[: len(h)]
+            fits = np.flatnonzero(bounds[owner + 1] - np.arange(len(h)) >= least)
+            row, offset = np.array([r for r, _, _ in lot])[owner[fits]], np.array([at for _, at, _ in lot])[owner[fits]]
+            yield pa.RecordBatch.from_arrays([pa.array(grp[row]), pa.array(h[fits].view(np.int64)), pa.array(k[fits].view(np.int64)), pa.array(doc[row]), pa.array(start[row].astype(np.int64) + offset + fits - bounds[owner[fits]])], names=["grp", "h", "k", "doc", "at"])
+
+
+class Shards(NamedTuple):
+    """Text regions by shard, those of groups too large for one, and exact copies."""
+
+    small: DataFrame
+    large: DataFrame
+    copies: DataFrame
+
+
+def shards(docs: DataFrame, id_column: str, text_column: str, least: int, gram: int, shard_chars: int) -> Shards:
+    """small: (shard, doc, start, part); large: (grp, blocks, doc, start, part); copies: (doc, rep) of every document whose text another one has as well."""
     long = docs.filter(F.col(id_column).isNotNull() & (F.length(text_column) >= least)).select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text"))
     copies = materialise(folded(docs, id_column, text_column, least), "copies")
     extra = copies.filter("doc <> rep").select("doc")
@@ -283,26 +334,53 @@ def span_matches(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     sets = marks.select("h", "doc").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("doc")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("y")).filter("n > 1").select("h", F.xxhash64("n", "x", "y").alias("grp"))
     wanted = marks.join(sets, "h").groupBy("doc").agg(F.collect_list(F.struct("grp", "first", "last")).alias("marks"))
     # a document's marks are bounded by its own length
-    parts = long.join(wanted, "doc").select("doc", "text", "marks").mapInArrow(lambda b: _regions(b, least - gram, gram), "grp long, doc long, start int, part string")
+    parts = long.join(wanted, "doc").select("doc", "text", "marks").mapInArrow(lambda b: _regions(b, least - gram, gram, least), "grp long, doc long, start int, part string")
     parts = materialise(parts, "regions")
+    discard(marks)
     sizes = parts.groupBy("grp").agg(F.sum(F.length("part")).alias("chars"))
     total = sizes.agg(F.sum("chars")).first()[0] or 0
-    shards = max(shuffle_width(docs.sparkSession), -(-total // shard_chars))
+    n = max(shuffle_width(docs.sparkSession), -(-total // shard_chars))
     large = sizes.filter(F.col("chars") > 2 * shard_chars).select("grp", F.ceil(F.col("chars") / shard_chars).cast("int").alias("blocks"))
     placed = parts.join(large, "grp", "left")
-    small = placed.filter("blocks is null").select(F.pmod("grp", F.lit(shards)).cast("long").alias("shard"), F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(False).alias("asking"), "doc", "start", "part")
+    small = placed.filter("blocks is null").select(F.pmod("grp", F.lit(n)).cast("long").alias("shard"), "doc", "start", "part")
+    return Shards(small, placed.filter("blocks is not null").select("grp", "blocks", "doc", "start", "part"), copies)
+
+
+def span_matches(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = LEAST, gram: int = GRAM, shard_chars: int = SHARD_CHARS) -> tuple[DataFrame, DataFrame]:
+    """(matches, copies): maximal shared spans between different texts, and exact copies.
+
+    matches: (doc_a, start_a, doc_b, start_b, length) between representatives, doc_a < doc_b.
+    copies: (doc, rep) of every document whose text another one has as well.
+    """
+    s = shards(docs, id_column, text_column, least, gram, shard_chars)
+    small = s.small.select("shard", F.lit(-1).alias("i"), F.lit(-1).alias("j"), F.lit(False).alias("asking"), "doc", "start", "part")
     # block b is indexed in the shards (b, b..) and asks in the shards (..b, b)
-    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
-    cut = placed.filter("blocks is not null").withColumn("b", block)
+    cut = s.large.withColumn("b", F.pmod(F.xxhash64("doc", "start"), F.col("blocks")).cast("int"))
     index = cut.select(F.col("grp").alias("shard"), F.col("b").alias("i"), F.explode(F.sequence("b", F.col("blocks") - 1)).alias("j"), F.lit(False).alias("asking"), "doc", "start", "part")
     asks = cut.select(F.col("grp").alias("shard"), F.explode(F.sequence(F.lit(0), F.col("b"))).alias("i"), F.col("b").alias("j"), F.lit(True).alias("asking"), "doc", "start", "part").filter("i < j")
     matches = small.unionByName(index).unionByName(asks).groupBy("shard", "i", "j").applyInArrow(_match_shard(least), "doc_a long, start_a long, doc_b long, start_b long, length long")
-    return materialise(matches, "matches"), copies
+    return materialise(matches, "matches"), s.copies
+
+
+def covered_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", least: int = LEAST, gram: int = GRAM, shard_chars: int = SHARD_CHARS) -> tuple[DataFrame, DataFrame]:
+    """(spans, copies): (doc, a, b) of what each representative shares with any other, unions not yet taken, and exact copies.
+
+    No pair of documents is formed.  A shard's index tells what its regions
+    share.  In groups too large for a shard every place of the regions is hashed
+    with the ``least`` characters from it on, and a place is covered if two
+    documents have its hash: work and output in proportion to the text.
+    """
+    s = shards(docs, id_column, text_column, least, gram, shard_chars)
+    within = s.small.groupBy("shard").applyInArrow(_covered_shard(least), "doc long, a long, b long")
+    places = s.large.select("grp", "doc", "start", "part").mapInArrow(lambda b: _gram_batches(b, least), "grp long, h long, k long, doc long, at long")
+    shared = places.groupBy("grp", "h", "k").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("grp", "h", "k")
+    across = places.join(shared.hint("merge"), ["grp", "h", "k"]).select("doc", F.col("at").alias("a"), (F.col("at") + least).alias("b")).distinct()
+    return materialise(within.unionByName(across), "covered"), s.copies
 
 
-def sharing_pairs(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def sharing_pairs(docs: DataFrame, least: int = LEAST, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """(doc_id_a, doc_id_b): documents with a span of at least ``least`` characters in common, copies expanded."""
-    matches, copies = span_matches(docs, least=least)
+    matches, copies = span_matches(docs, least=least, shard_chars=shard_chars)
     near = matches.select("doc_a", "doc_b").distinct()
     members = copies.select(F.col("rep"), F.col("doc"))
 
@@ -317,10 +395,10 @@ def sharing_pairs(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return both.select(F.least("doc_a", "doc_b").alias("doc_id_a"), F.greatest("doc_a", "doc_b").alias("doc_id_b")).distinct()
 
 
-def shared_share(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def shared_share(docs: DataFrame, least: int = LEAST, shard_chars: int = SHARD_CHARS) -> DataFrame:
     """(doc_id, n_chars, shared_chars, share, spans) for each document that shares a span."""
-    matches, copies = span_matches(docs, least=least)
-    sides = matches.select(F.col("doc_a").alias("doc"), F.col("start_a").alias("a"), (F.col("start_a") + F.col("length")).alias("b")).unionByName(matches.select(F.col("doc_b").alias("doc"), F.col("start_b").alias("a"), (F.col("start_b") + F.col("length")).alias("b"))).distinct()
+    sides, copies = covered_spans(docs, least=least, shard_chars=shard_chars)
+    sides = sides.distinct()
     # a document's intervals, united in order of their begin
     w = Window.partitionBy("doc").orderBy("a", "b")
     reach = sides.withColumn("reach", F.max("b").over(w.rowsBetween(Window.unboundedPreceding, -1)))

@@ -66,19 +66,26 @@ def test_pieces_have_all_anchors(monkeypatch):
 
 
 @pytest.mark.parametrize("seed,chars", [(0, ss.SHARD_CHARS), (1, 900)])
-def test_pairs_equal_brute_force(spark, monkeypatch, seed, chars):
-    monkeypatch.setattr(ss.span_matches, "__defaults__", (*ss.span_matches.__defaults__[:-1], chars))
+def test_pairs_equal_brute_force(spark, seed, chars):
     docs = sample(random.Random(seed))
-    got = {tuple(r) for r in ss.sharing_pairs(spark.createDataFrame(docs, DDL).repartition(3)).collect()}
+    got = {tuple(r) for r in ss.sharing_pairs(spark.createDataFrame(docs, DDL).repartition(3), shard_chars=chars).collect()}
     assert got == brute(docs, 320)
 
 
-def test_share_equals_brute_force(spark):
+@pytest.mark.parametrize("chars, piece", [(ss.SHARD_CHARS, ss.REGION_CHARS), (900, 150)])
+def test_share_equals_brute_force(spark, monkeypatch, chars, piece):
+    """In one shard; and with groups cut up, regions in pieces."""
+    monkeypatch.setattr(ss, "REGION_CHARS", piece)
     docs = sample(random.Random(5))
-    got = {r["doc_id"]: r["shared_chars"] for r in ss.shared_share(spark.createDataFrame(docs, DDL)).collect()}
+    got = {r["doc_id"]: r["shared_chars"] for r in ss.shared_share(spark.createDataFrame(docs, DDL), shard_chars=chars).collect()}
     assert got == covered(docs, 320)
 
 
+def test_intervals_are_united():
+    doc, begin, end = ss._united(*map(np.array, ([2, 1, 1, 1, 2], [5, 0, 3, 20, 7], [9, 4, 10, 25, 8])))
+    assert list(zip(doc, begin, end)) == [(1, 0, 10), (1, 20, 25), (2, 5, 9)]
+
+
 def test_edges(spark):
     line = "".join(random.Random(1).choice("abcdef ") for _ in range(320))
     docs = [(1, None), (2, ""), (3, line), (4, line[:-1]), (5, "z" * 200_000 + line), (3, line), (None, line), (6, line + line), (7, "q" * 1_000 + "r" + "q" * 1_000)]
@@ -93,13 +100,14 @@ def test_fm_index_counts_and_locates():
     text = "".join(rng.choice("abc") for _ in range(500))
     codes = np.array([ord(c) - 95 for c in text] + [0])
     index = fm_index.FMIndex(codes)
-    assert [text[i:] for i in index.sa[1:]] == sorted(text[i:] for i in range(len(text)))
+    assert [text[i:] for i in index.locate(np.arange(1, 501))] == sorted(text[i:] for i in range(len(text)))
+    assert len(index.places) == 500 // fm_index.RATE + 1
     starts = np.arange(0, 480, 7)
     which, low, high = index.search(codes, starts, 6)
     assert list(which) == list(range(len(starts)))
     for w, lo, hi in zip(which, low, high):
         p = text[starts[w] : starts[w] + 6]
-        assert sorted(index.sa[lo:hi]) == [i for i in range(495) if text.startswith(p, i)]
+        assert sorted(index.locate(np.arange(lo, hi))) == [i for i in range(495) if text.startswith(p, i)]
 
 
 def test_anchors_are_shared():

@@ -6,11 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: File endings that are never archives or texts of interest.
-REJECTED_ENDINGS = "exe msi dll bat cmd com scr pif vbs vbe js jse wsf wsh ps1 psm1 apk app dmg pkg deb rpm bin run jpg jpeg png gif bmp ico svg webp tif tiff psd raw heif heic mp4 avi mkv mov wmv flv webm m4v mpg mpeg 3gp 3g2 mp3 wav flac aac ogg wma m4a doc docx xls xlsx ppt pptx odt iso img vmdk vhd qcow2 torrent nfo".split()
+REJECTED_ENDINGS = (
+    "exe", "msi", "dll", "bat", "cmd", "com", "scr", "pif", "vbs", "vbe", "js", "jse", "wsf", "wsh", "ps1", "psm1", "apk", "app", "dmg", "pkg", "deb",
+    "rpm", "bin", "run", "jpg", "jpeg", "png", "gif", "bmp", "ico", "svg", "webp", "tif", "tiff", "psd", "raw", "heif", "heic", "mp4", "avi", "mkv",
+    "mov", "wmv", "flv", "webm", "m4v", "mpg", "mpeg", "3gp", "3g2", "mp3", "wav", "flac", "aac", "ogg", "wma", "m4a", "doc", "docx", "xls", "xlsx",
+    "ppt", "pptx", "odt", "iso", "img", "vmdk", "vhd", "qcow2", "torrent", "nfo",
+)
 #: Media types that are rejected.
-REJECTED_TYPES = "application/x-msdownload application/x-executable application/x-dosexec application/vnd.android.package-archive image/jpeg image/png image/gif image/webp image/bmp image/svg+xml video/mp4 video/x-msvideo video/x-matroska video/quicktime video/webm audio/mpeg audio/wav audio/flac audio/ogg".split()
-ARCHIVE_ENDINGS = ("zip", "rar", "7z", "tar", "gz")
-ARCHIVE_TYPES = ("application/zip", "application/x-rar-compressed", "application/x-7z-compressed", "application/gzip")
+REJECTED_TYPES = (
+    "application/x-msdownload", "application/x-executable", "application/x-dosexec", "application/vnd.android.package-archive", "image/jpeg",
+    "image/png", "image/gif", "image/webp", "image/bmp", "image/svg+xml", "video/mp4", "video/x-msvideo", "video/x-matroska", "video/quicktime",
+    "video/webm", "audio/mpeg", "audio/wav", "audio/flac", "audio/ogg",
+)
+#: Endings and media types of archives; the last type counts only with a likely size.
+ARCHIVE_ENDINGS = ("zip", "7z", "rar", "tar", "gz", "tgz", "bz2", "xz", "lzma")
+ARCHIVE_TYPES = (
+    "application/zip", "application/x-zip-compressed", "application/x-7z-compressed", "application/x-rar-compressed", "application/vnd.rar", "application/x-tar",
+    "application/gzip", "application/x-gzip", "application/x-bzip2", "application/x-xz", "application/x-lzma",
+)
 MEGABYTE = 1024 * 1024
 TEXT_NAMES = r"(?i)(record|login|account|mirror|list)"
 SPLIT = r"^(.+?)\.(part[0-9]+\.(zip|rar|7z)|r[0-9]{2,}|z[0-9]{2}|[0-9]{3})$"

@@ -17,15 +17,20 @@ def group_parts(files: DataFrame, id_column: str = "id", conversation: str = "co
     the stated total, else the highest less the lowest part plus one; ``gap``
     tells of a part missing between or before them.
     """
+    by = parts(files, id_column, conversation, message, name).groupBy("group").agg(F.min("conversation").alias("conversation"), F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("parts"), F.min("part").alias("low"), F.max("part").alias("high"), F.max("total").alias("total"))
+    expected = F.coalesce("total", F.col("high") - F.col("low") + 1, F.lit(1))
+    return by.select("group", "conversation", "n", expected.alias("expected"), (F.coalesce(F.col("high") - F.col("low") + 1 > F.col("parts"), F.lit(False)) | F.coalesce(F.col("low") > 1, F.lit(False))).alias("gap"))
+
+
+def parts(files: DataFrame, id_column: str = "id", conversation: str = "conversation_id", message: str = "message_id", name: str = "filename") -> DataFrame:
+    """(id, conversation, message, name, part, total, group) of every file whose name has one of the forms."""
     ship(files.sparkSession)
     f = files.select(F.col(id_column).alias("id"), F.col(conversation).alias("conversation"), F.col(message).alias("message"), F.col(name).alias("name"))
     f = f.withColumns({"base": split_base(F.col("name")), "part": split_part_number(F.col("name")), "total": split_total(F.col("name"))}).filter("base is not null")
     f = f.withColumn("key", group_key(F.col("base")))
     own = F.when(F.col("part").isNull(), F.concat_ws(":", F.lit("single"), "id"))
     f = f.withColumn("group", F.coalesce(own, F.concat_ws(":", F.lit("set"), F.coalesce("conversation", F.lit(-1)), "key")))
-    by = f.groupBy("group").agg(F.min("conversation").alias("conversation"), F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("parts"), F.min("part").alias("low"), F.max("part").alias("high"), F.max("total").alias("total"))
-    expected = F.coalesce("total", F.col("high") - F.col("low") + 1, F.lit(1))
-    return by.select("group", "conversation", "n", expected.alias("expected"), (F.coalesce(F.col("high") - F.col("low") + 1 > F.col("parts"), F.lit(False)) | F.coalesce(F.col("low") > 1, F.lit(False))).alias("gap"))
+    return f.select("id", "conversation", "message", "name", "part", "total", "group")
 
 
 def numbered(files: DataFrame, group: str, order: str) -> DataFrame:

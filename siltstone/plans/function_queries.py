@@ -11,6 +11,10 @@ from siltstone.plans.registry import Registry, Tables
 registry = Registry()
 query = registry.query
 
+def _in(words) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
 SQL_DOMAIN = "split_part(CASE WHEN regexp_matches(url, '^https?://') THEN regexp_replace(url, '^https?://', '') ELSE regexp_replace(url, '^.*?//', '') END, '/', 1)"
 
 
@@ -34,10 +38,17 @@ def url_validate(t: Tables) -> DataFrame:
     return t.parsed_credentials.select("id", text.valid_url(F.col("url")).alias("url"))
 
 
-@query(r"""WITH s AS (SELECT id, regexp_replace(username, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g') AS u FROM parsed_credentials)
-SELECT id, CASE WHEN contains(lower(u), 'buy') OR contains(lower(u), 'dm @') THEN regexp_replace(regexp_replace(u, '(?i)\s*(to buy|dm @).*$', ''), '[\s\p{Z}]+$', '') ELSE u END AS username FROM s""")
+TRIM = r"regexp_replace({0}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+def _cut(value: str, pattern: str, test: str) -> str:
+    stripped = TRIM.format(f"regexp_replace({value}, '{pattern}', '', 'g')")
+    return f"CASE WHEN {test} THEN {stripped} ELSE {value} END"
+
+
+@query(f"""WITH s AS (SELECT id, {TRIM.format('username')} AS u, {TRIM.format('application')} AS a FROM parsed_credentials), b AS (SELECT id, a, {_cut('u', text.BRACKET_ADVERT, "contains(u, '[')")} AS u FROM s)
+SELECT id, {_cut('u', text.ADVERT, "contains(lower(u), 't.me') OR contains(lower(u), 'buy') OR contains(lower(u), 'dm @')")} AS username,
+ {_cut('a', text.ADVERT, "contains(lower(a), 't.me') OR contains(lower(a), 'buy') OR contains(lower(a), 'dm @')")} AS application FROM b""")
 def clean_text(t: Tables) -> DataFrame:
-    return t.parsed_credentials.select("id", text.cleaned(F.col("username")).alias("username"))
+    return t.parsed_credentials.select("id", text.cleaned(F.col("username"), name=True).alias("username"), text.cleaned(F.col("application")).alias("application"))
 
 
 @query("SELECT id, substr(url, 1, 24) AS url, substr(source_archive, 1, 10) AS archive FROM parsed_credentials")
@@ -45,9 +56,14 @@ def truncate_fields(t: Tables) -> DataFrame:
     return t.parsed_credentials.select("id", text.truncated(F.col("url"), 24).alias("url"), text.truncated(F.col("source_archive"), 10).alias("archive"))
 
 
-@query("SELECT id, application FROM parsed_credentials WHERE NOT coalesce((length(username) <= 15 AND lower(username) IN ('null', 'undefined', 'user', 'username', 'example', 'sample', 'test')) OR contains(username, '<br>'), false)")
+def _placeholder(c: str, words) -> str:
+    return f"coalesce((length({c}) <= 15 AND lower({c}) IN ({_in(words)})) OR contains({c}, '<br>') OR contains({c}, '██'), false)"
+
+
+@query(f"SELECT id, application FROM parsed_credentials WHERE NOT {_placeholder('username', text.NAME_PLACEHOLDERS)} AND NOT {_placeholder('password', text.SECRET_PLACEHOLDERS)}")
 def drop_placeholders(t: Tables) -> DataFrame:
-    return t.parsed_credentials.filter(~text.is_placeholder(F.col("username"))).select("id", "application")
+    bad = text.is_placeholder(F.col("username")) | text.is_placeholder(F.col("password"), text.SECRET_PLACEHOLDERS)
+    return t.parsed_credentials.filter(~bad).select("id", "application")
 
 
 @query("SELECT id, CASE WHEN substr(credential_hash, 1, 1) >= '8' THEN CAST(CAST(('0x' || substr(credential_hash, 1, 16)) AS UBIGINT) AS HUGEINT) - 18446744073709551616 ELSE CAST(('0x' || substr(credential_hash, 1, 16)) AS UBIGINT) END AS h FROM parsed_credentials WHERE credential_hash IS NOT NULL")
@@ -84,10 +100,29 @@ def caption_hint(t: Tables) -> DataFrame:
     return t.messages.select("delivery_id", text.part_hint(x, 1).alias("part"), text.part_hint(x, 2).alias("total"))
 
 
-@query("""WITH m AS (SELECT delivery_id, list_transform(regexp_extract_all(text, '@([A-Za-z][A-Za-z0-9_]{4,31})', 1), lambda x: lower(x)) AS a, list_transform(regexp_extract_all(text, '[A-Za-z0-9._%+-]@([A-Za-z][A-Za-z0-9_]{4,31})', 1), lambda x: lower(x)) AS b FROM messages)
-SELECT delivery_id, unnest(list_filter(list_distinct(a), lambda x: NOT list_contains(b, x) AND x NOT IN ('everyone', 'admin', 'here'))) AS mention FROM m""")
+def _names(c: str, pattern: str) -> str:
+    return f"list_transform(regexp_extract_all({c}, '{pattern}', 1), lambda x: lower(x))"
+
+
+LISTED = """WITH m AS (SELECT doc_id, {0} AS a, {1} AS b, {2} AS c FROM (SELECT doc_id, {3} AS x FROM documents))
+SELECT doc_id, unnest(list_distinct(list_filter(list_concat(a, c), lambda x: NOT list_contains(b, x) AND x NOT IN ({4})))) AS mention FROM m"""
+#: Documents with names in them: each source as a mention and as a link.
+WITH_NAMES = "coalesce(text, '') || ' @' || source || ' box@' || source || 'x https://t.me/' || source || ' t.me/+' || doc_id"
+
+
+def _with_names(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.concat(F.coalesce("text", F.lit("")), F.lit(" @"), "source", F.lit(" box@"), "source", F.lit("x https://t.me/"), "source", F.lit(" t.me/+"), F.col("doc_id").cast("string")).alias("x"))
+
+
+@query(LISTED.format(_names("x", f"@({text.HANDLE})"), _names("x", f"[A-Za-z0-9._%+-]@({text.HANDLE})"), _names("x", text.NAME_LINK), WITH_NAMES, _in(text.NO_CHANNELS)))
 def mentions(t: Tables) -> DataFrame:
-    return t.messages.select("delivery_id", F.explode(text.mentions(F.col("text"))).alias("mention"))
+    """Names mentioned in a text or linked from it; a mail host is none."""
+    return _with_names(t).select("doc_id", F.explode(F.array_union(text.mentions(F.col("x")), text.linked_names(F.col("x")))).alias("mention"))
+
+
+@query(f"SELECT doc_id, unnest(list_distinct(regexp_extract_all({WITH_NAMES}, '{text.INVITE_LINK}', 1))) AS invitation FROM documents")
+def invitations(t: Tables) -> DataFrame:
+    return _with_names(t).select("doc_id", F.explode(text.invitations(F.col("x"))).alias("invitation"))
 
 
 @query()
@@ -95,16 +130,9 @@ def confusable_key(t: Tables) -> DataFrame:
     return t.file_attachments.select("id", text.group_key(F.col("filename")).alias("key"))
 
 
-@query("""SELECT doc_id, replace(replace(replace(replace(replace(regexp_replace(regexp_replace(text, '!?\\[([^\\]]+)\\]\\([^)]+\\)', '\\1', 'g'), '`([^`]+)`', '\\1', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') AS plain
-FROM documents WHERE text IS NOT NULL AND NOT contains(text, '*') AND NOT contains(text, '_')""")
-def strip_markdown(t: Tables) -> DataFrame:
-    """Texts without stars and underscores; the marks of those need look-around, which the check's SQL lacks."""
-    d = t.documents.filter("text is not null and not contains(text, '*') and not contains(text, '_')")
-    return d.select("doc_id", text.without_markdown(F.col("text")).alias("plain"))
-
-
 @query()
-def strip_markdown_all(t: Tables) -> DataFrame:
+def strip_markdown(t: Tables) -> DataFrame:
+    """Every text; the check's SQL lacks look-around, so a test compares all of them with an independent reading."""
     return t.documents.select("doc_id", text.without_markdown(F.col("text")).alias("plain"))
 
 
@@ -113,9 +141,9 @@ def mask(t: Tables) -> DataFrame:
     return t.system_info.select("id", text.masked(F.col("hwid")).alias("masked"))
 
 
-@query("SELECT p_partkey, format('{:,}', p_partkey * 1000) AS shown, CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN s // 60 || 'm ' || s % 60 || 's' ELSE s // 3600 || 'h ' || s % 3600 // 60 || 'm' END AS lasting FROM (SELECT p_partkey, p_partkey * 37 AS s FROM part)")
+@query("SELECT p_partkey, format('{:,}', p_partkey * 1000) AS shown, CASE WHEN p_size > 25 THEN format('{:,}', CAST(round_even(p_partkey * 1000.0 / (p_size - 25), 0) AS BIGINT)) || '/s' ELSE '—' END AS rate, CASE WHEN s < 60 THEN s || 's' WHEN s < 3600 THEN s // 60 || 'm ' || s % 60 || 's' ELSE s // 3600 || 'h ' || s % 3600 // 60 || 'm' END AS lasting FROM (SELECT p_partkey, p_size, p_partkey * 37 AS s FROM part)")
 def format_values(t: Tables) -> DataFrame:
-    return t.part.select("p_partkey", text.grouped_digits(F.col("p_partkey") * 1000).alias("shown"), text.duration(F.col("p_partkey") * 37).alias("lasting"))
+    return t.part.select("p_partkey", text.grouped_digits(F.col("p_partkey") * 1000).alias("shown"), text.rate(F.col("p_partkey") * 1000, F.col("p_size") - 25).alias("rate"), text.duration(F.col("p_partkey") * 37).alias("lasting"))
 
 
 @query("SELECT id, substr(regexp_replace(filename, '[^A-Za-z0-9._-]', '_', 'g'), 1, 200) AS name FROM file_attachments")
@@ -142,10 +170,6 @@ def explain(t: Tables) -> DataFrame:
     return _scored(t).select("s_suppkey", text.explanation(F.lit("rated"), F.col("won"), F.col("lost"), F.col("c")).alias("reason"))
 
 
-def _in(words) -> str:
-    return ", ".join(f"'{w}'" for w in words)
-
-
 @query(f"""WITH f AS (SELECT id, lower(coalesce(filename, '')) AS n, coalesce(mime_type, '') AS m, size, regexp_extract(lower(coalesce(filename, '')), '[^.]\\.([^.]*)$', 1) AS e FROM file_attachments)
 SELECT id, CASE WHEN e IN ({_in(files.REJECTED_ENDINGS)}) OR m IN ({_in(files.REJECTED_TYPES)}) THEN 'rejected' WHEN regexp_matches(n, '{files.SPLIT}') THEN 'split' WHEN e IN ({_in(files.ARCHIVE_ENDINGS)}) THEN 'archive'
  WHEN e = 'txt' AND regexp_matches(n, '{files.TEXT_NAMES}') THEN 'text' WHEN m IN ({_in(files.ARCHIVE_TYPES)}) THEN 'archive' WHEN m = 'application/octet-stream' AND size > 1048576 AND size < 524288000 THEN 'untyped' ELSE 'other' END AS class FROM f""")

@@ -28,13 +28,25 @@ def is_binary(content: Column) -> Column:
     return head.rlike("^(?:[0-9A-F]{2})*?000000") & ~head.rlike("^(FFFE|FEFF)")
 
 
+#: What Windows-1252 has in place of Latin-1's control characters, where it has anything.
+_SIGNED = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+_CONTROLS, _SIGNS = ("".join(x) for x in zip(*[pair for pair in _SIGNED if pair[1]]))
+
+
 def decoded(content: Column) -> Column:
-    """Text by byte-order mark, else UTF-8 if valid, else Latin-1."""
-    head = F.hex(F.substring(content, 1, 3))
+    """Text by byte-order mark, else UTF-16 if every other byte of its beginning is zero, else UTF-8 if valid.
+
+    Of the single-byte encodings Windows-1252 is taken if a byte of 80 to 9F
+    occurs, which Latin-1 has for control characters only.
+    """
+    head, start = F.hex(F.substring(content, 1, 3)), F.hex(F.substring(content, 1, 64))
     return (
         F.when(head.startswith("FFFE") | head.startswith("FEFF"), F.decode(content, "UTF-16"))
         .when(head == "EFBBBF", F.decode(F.substring(content, 4, 1 << 30), "UTF-8"))
+        .when(start.rlike("^(?:(?!00)[0-9A-F]{2}00)+$"), F.decode(content, "UTF-16LE"))
+        .when(start.rlike("^(?:00(?!00)[0-9A-F]{2})+$"), F.decode(content, "UTF-16BE"))
         .when(F.is_valid_utf8(content.cast("string")), content.cast("string"))
+        .when(F.hex(content).rlike("^(?:[0-9A-F]{2})*?[89]"), F.translate(F.decode(content, "ISO-8859-1"), _CONTROLS, _SIGNS))
         .otherwise(F.decode(content, "ISO-8859-1"))
     )
 
@@ -45,6 +57,20 @@ def read_texts(spark: SparkSession, folder: str, glob: str = "*.txt") -> DataFra
     return raw.filter(~is_binary(F.col("content"))).select("path", decoded(F.col("content")).alias("text"))
 
 
+def load_folder(spark: SparkSession, folder: str, target: str, glob: str = "*.txt") -> int:
+    """Parse the text files below a folder and append the records that the table at ``target`` lacks; returns how many.
+
+    A record is known by its address, name and keyed digest; of one that occurs
+    several times the first file by name has it.  Loading a folder again adds nothing.
+    """
+    from siltstone.operators.records import parse_texts
+    from siltstone.sources.sinks import append_new
+
+    found = parse_texts(read_texts(spark, folder, glob), "path", "text")
+    key = F.sha2(F.concat_ws("\u0001", "url", "username", "digest"), 256)
+    return append_new(found.withColumn("record_key", key), target, "record_key", F.struct("path", "record_no"))
+
+
 def line_chunks(texts: DataFrame, key: str, text: str, least: int = 100_000) -> DataFrame:
     """(key, chunk_no, chunk): texts cut into chunks of about ``least`` lines at blank or separator lines.
 

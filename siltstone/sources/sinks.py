@@ -26,6 +26,37 @@ def csv_lines(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(",", *cells).alias("line"))
 
 
+def export_records(records: DataFrame, query: str, pattern: str, fields: Sequence[str], shown: Sequence[str], limit: int = 50_000, **how) -> DataFrame:
+    """CSV lines of the records that a query and a pattern find, newest first, at most ``limit``.
+
+    ``*`` in the query stands for anything; without one a word may stand anywhere in
+    a field.  All conditions act before the limit.  A secret column is refused.
+    """
+    from siltstone.operators.search import matches_any, predicate
+
+    if held := [c for c in shown if c in SECRET]:
+        raise ValueError(f"no export has the columns {', '.join(held)}")
+    wild = query.replace("*", "%")
+    hits = records.filter(predicate(wild, whole="%" in wild, **how) & matches_any(pattern, fields))
+    return csv_lines(hits.orderBy(F.desc("created_at"), F.desc("id")).limit(limit).select(*shown))
+
+
+#: Rows of each result set in an export of several.
+SET_LIMITS = {"channels": 500, "messages": 1_000, "attachments": 1_000, "records": 5_000, "systems": 1_000, "documents": 1_000, "items": 500}
+
+
+def export_sets(sets: dict[str, DataFrame], orders: dict[str, Sequence[Column]], limits: dict[str, int] = SET_LIMITS) -> DataFrame:
+    """(set_name, n, limit, line): several results as JSON, each in its order up to its limit, which is told with the rows found."""
+    out = None
+    for name, df in sets.items():
+        df = public(df)
+        found = df.agg(F.count(F.lit(1)).alias("found"))
+        part = df.orderBy(*orders[name]).limit(limits[name])
+        one = part.select(F.lit(name).alias("set_name"), found.scalar().alias("found"), F.lit(limits[name]).alias("row_limit"), F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("line"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def to_json(df: DataFrame) -> DataFrame:
     """One JSON object a row, nulls kept."""
     df = public(df)

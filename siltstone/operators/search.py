@@ -14,9 +14,11 @@ import shlex
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siltstone.session import hadoop_path, workspace
+
 KEYS = ("domain", "stealer", "application", "email_domain", "username", "url", "since")
 COLUMNS = {"stealer": "stealer_type"}
 
@@ -46,10 +48,10 @@ def since_bound(value: str, now: str) -> Column | None:
     return None
 
 
-def predicate(q: str, columns: Sequence[str] = ("domain", "username", "email_domain"), now: str = "2017-03-31 00:00:00", time: str = "created_at") -> Column:
-    """The whole query as one condition."""
+def predicate(q: str, columns: Sequence[str] = ("domain", "username", "email_domain"), now: str = "2017-03-31 00:00:00", time: str = "created_at", whole: bool = False) -> Column:
+    """The whole query as one condition; with ``whole`` a term is a pattern for the whole field."""
     terms, filters = parse_query(q)
-    parts = [reduce(lambda a, b: a | b, [F.col(c).ilike(f"%{t}%") for c in columns]) for t in terms]
+    parts = [reduce(lambda a, b: a | b, [F.col(c).ilike(t if whole else f"%{t}%") for c in columns]) for t in terms]
     for key, values in filters.items():
         if key == "since":
             bounds = [b for v in values if (b := since_bound(v, now)) is not None]
@@ -110,17 +112,64 @@ def bm25(docs: DataFrame, key: str, text: str, terms: Sequence[str], k1: float =
     return both.select(key, F.round(score, 6).alias("score"))
 
 
-def trigrams(c: Column) -> Column:
-    low = F.lower(c)
-    return F.when(F.length(low) >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - 2), lambda i: F.substring(low, i, F.lit(3))))).otherwise(F.array().cast("array<string>"))
+#: Slots of the table that tells which grams any needle looks up.
+GRAM_SLOTS = 1 << 16
+
 
+def _grams(low: Column, n: int) -> Column:
+    return F.when(F.length(low) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - (n - 1)), lambda i: F.substring(low, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
 
-def contains_many(rows: DataFrame, key: str, text: str, needles: DataFrame, needle_key: str, needle: str) -> DataFrame:
-    """(key, needle_key) wherever a text contains a needle, for many needles of three characters or more.
 
-    Each needle is looked up by its rarest-by-hash trigram, an equality join,
-    instead of comparing every text with every needle.
+def contains_many(rows: DataFrame, keys: Sequence[str], text: str, needles: DataFrame, needle_key: str, needle: str, on: Sequence[str] = ()) -> DataFrame:
+    """(keys, needle_key) wherever a text contains a needle, case ignored, for any number of needles.
+
+    Each needle is looked up by one of its grams of three characters (or the
+    whole of a shorter needle), an equality join, instead of comparing every text
+    with every needle.  A broadcast of at most GRAM_SLOTS slots of grams drops
+    most grams of a text before they are shuffled, and adaptive execution
+    splits a gram that very many texts have.  Columns in ``on`` must agree, too.
+    An empty needle is in no text.
     """
-    n = needles.select(needle_key, needle, F.array_min(F.transform(trigrams(F.col(needle)), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g")))).alias("m")).select(needle_key, needle, F.col("m.g").alias("g"))
-    t = rows.select(key, text, F.explode(trigrams(F.col(text))).alias("g"))
-    return t.join(n, "g").filter(F.contains(F.lower(text), F.lower(needle))).select(key, needle_key)
+    low = F.lower(F.col(needle))
+    asked = needles.filter(F.length(needle) > 0).select(needle_key, *on, low.alias("_needle"), F.array_min(F.transform(F.when(F.length(low) >= 3, _grams(low, 3)).otherwise(F.array(low)), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g")))).alias("m")).select(needle_key, *on, "_needle", F.col("m.g").alias("_g"))
+    slot = lambda g: F.pmod(F.xxhash64(g), F.lit(GRAM_SLOTS)).cast("int")
+    slots = asked.select(slot(F.col("_g")).alias("_slot")).distinct()
+    sizes = [r[0] for r in asked.select(F.length("_g")).distinct().collect()]  # 1, 2 and 3 at most
+    if not sizes:
+        return rows.select(*keys, F.lit(None).cast(dict(needles.dtypes)[needle_key]).alias(needle_key)).limit(0)
+    grams = F.explode(F.flatten(F.array(*[_grams(F.lower(F.col(text)), k) for k in sorted(sizes)])))
+    wide = rows.select(*keys, *on, F.lower(F.col(text)).alias("_low"), grams.alias("_g")).withColumn("_slot", slot(F.col("_g")))
+    held = wide.join(F.broadcast(slots), "_slot", "left_semi")
+    return held.join(asked, ["_g", *on]).filter(F.contains("_low", "_needle")).select(*keys, needle_key)
+
+
+class SavedSearches:
+    """Queries kept under a name in the shared folder; saving a name again replaces it."""
+
+    SCHEMA = "name string, query string, version long"
+
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        self.spark, self.root = spark, root or workspace(spark, "searches")
+
+    def _versions(self) -> DataFrame:
+        fs, p = hadoop_path(self.spark, self.root)
+        return self.spark.read.schema(self.SCHEMA).parquet(self.root) if fs.exists(p) else self.spark.createDataFrame([], self.SCHEMA)
+
+    def _append(self, name: str, query: str | None) -> None:
+        version = (self._versions().agg(F.max("version")).first()[0] or 0) + 1
+        self.spark.createDataFrame([(name, query, version)], self.SCHEMA).coalesce(1).write.mode("append").parquet(self.root)
+
+    def save(self, name: str, query: str) -> None:
+        self._append(name, query)
+
+    def remove(self, name: str) -> None:
+        self._append(name, None)
+
+    def all(self) -> DataFrame:
+        """(name, query) by name."""
+        return self._versions().groupBy("name").agg(F.max_by("query", "version").alias("query")).filter("query is not null").orderBy("name")
+
+    def run(self, records: DataFrame, **how) -> DataFrame:
+        """Hits of every saved query, with its name; each query is one predicate over the one scan."""
+        found = [F.when(predicate(r["query"], **how), F.lit(r["name"])) for r in self.all().collect()]  # as many as users saved
+        return records.withColumn("name", F.explode(F.array_compact(F.array(*found) if found else F.array().cast("array<string>"))))

@@ -130,6 +130,37 @@ def discard(*tables: DataFrame) -> None:
             remove(df.sparkSession, path)
 
 
+class Versioned:
+    """A small table that is replaced as a whole; the newest complete version counts, in any session.
+
+    A version is written to a folder of another name and appears by one rename.
+    The one before stays for readers that still have it.
+    """
+
+    def __init__(self, spark: SparkSession, label: str, root: str | None = None):
+        self.spark, self.root = spark, root or workspace(spark, label)
+
+    def versions(self) -> list[int]:
+        fs, p = hadoop_path(self.spark, self.root)
+        return sorted(int(n[1:]) for s in (fs.listStatus(p) if fs.exists(p) else []) if (n := s.getPath().getName())[0] == "v" and n[1:].isdigit())
+
+    def read(self, schema: str | StructType) -> DataFrame:
+        found = self.versions()
+        return self.spark.read.schema(schema).parquet(f"{self.root}/v{found[-1]}") if found else self.spark.createDataFrame([], schema)
+
+    def write(self, rows: DataFrame) -> None:
+        found = self.versions()
+        to, held = f"{self.root}/v{found[-1] + 1 if found else 0}", f"{self.root}/_{uuid.uuid4().hex[:12]}"
+        with short_shuffles(self.spark):
+            rows.write.parquet(held)
+        fs, old = hadoop_path(self.spark, held)
+        _, new = hadoop_path(self.spark, to)
+        if fs.exists(new) or not fs.rename(old, new):
+            raise RuntimeError(f"another writer made {to} first")
+        for v in found[:-1]:
+            remove(self.spark, f"{self.root}/v{v}")
+
+
 class Buckets:
     """A growing table in the shared folder, bucketed by one column and so never shuffled by it again.
 

@@ -6,16 +6,15 @@ ended; every writer is idempotent for a batch id or a key.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
-from siltstone.session import hadoop_path, workspace
+from siltstone.session import Versioned, hadoop_path, materialise, remove, workspace
 
 
 def file_stream(spark: SparkSession, folder: str, schema: StructType, per_trigger: int = 1) -> DataFrame:
@@ -46,48 +45,124 @@ def tumbling(stream: DataFrame, time: str, width: str, delay: str = "1 hour") ->
 def first_seen(stream: DataFrame, key: str, time: str, place: str) -> DataFrame:
     """(key, first, place, duplicates): updated as rows arrive; an earlier late row moves the first.
 
-    Rows without a time come after all that have one, and at one time those
-    without a place last. Nulls pass the state as a flag and nought, so that no
-    number turns into a float on its way through pandas.
+    A streaming aggregate, so its state stays in the JVM and takes one partial
+    row for each key and task.  Rows without a time come after all that have one,
+    and at one time those without a place last.
     """
-
-    def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best, n = (state.get[:4], state.get[4]) if state.exists else (None, 0)
-        for pdf in frames:
-            for no_time, us, no_place, p in zip(pdf["_no_time"], pdf["_us"], pdf["_no_place"], pdf["_place"]):
-                n += 1
-                row = (bool(no_time), int(us), bool(no_place), int(p))
-                best = row if best is None or row < tuple(best) else best
-        state.update((*best, n))
-        yield pd.DataFrame([(k[0], *best, n - 1)], columns=[key, "_no_time", "_us", "_no_place", "_place", "_again"])
-
     us, at = F.unix_micros(F.col(time).cast("timestamp")), F.col(place).cast("long")
-    rows = stream.filter(F.col(key).isNotNull()).select(key, us.isNull().alias("_no_time"), F.coalesce(us, F.lit(0)).alias("_us"), at.isNull().alias("_no_place"), F.coalesce(at, F.lit(0)).alias("_place"))
-    kind, held = stream.schema[key].dataType.simpleString(), "_no_time boolean, _us long, _no_place boolean, _place long, _again long"
-    found = rows.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, {held}", held, "update", GroupStateTimeout.NoTimeout)
-    return found.select(key, F.when(~F.col("_no_time"), F.col("_us")).alias("first_us"), F.when(~F.col("_no_place"), F.col("_place")).alias(place), F.col("_again").alias("duplicates"))
+    order = F.struct(us.isNull().alias("no_time"), us.alias("us"), at.isNull().alias("no_place"), at.alias("place"))
+    by = stream.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(order).alias("f"), (F.count(F.lit(1)) - 1).alias("duplicates"))
+    return by.select(key, F.col("f.us").alias("first_us"), F.col("f.place").alias(place), "duplicates")
 
 
 class LatestTable:
-    """The latest version of a keyed result, rewritten whole for each micro-batch.
+    """The latest version of a keyed result, from the updates of each micro-batch.
+
+    Each micro-batch writes its updates to a folder of its own; a read takes the
+    latest of each key.  After ``fold_after`` micro-batches they are folded into
+    one base, which appears by a rename.  What is there is told by the folders'
+    names alone, so another instance over the same root goes on, and a batch
+    repeated after a failure replaces itself.
+    """
+
+    def __init__(self, spark: SparkSession, key: str, order: str, root: str | None = None, fold_after: int = 16):
+        self.spark, self.key, self.order, self.root, self.fold_after = spark, key, order, root or workspace(spark, "latest"), fold_after
 
-    Versions are directories; a pointer names the current one, so a batch that
-    is repeated after a failure writes the same version again.
+    def _folders(self) -> tuple[int, list[int]]:
+        """The newest base and the updates after it."""
+        fs, p = hadoop_path(self.spark, self.root)
+        names = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+        numbers = lambda kind: sorted(int(n.removeprefix(kind)) for n in names if n.startswith(kind))
+        base = max(numbers("base-"), default=-1)
+        return base, [n for n in numbers("update-") if n > base]
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("_b", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{self.root}/update-{batch_id}")
+        if len(self._folders()[1]) >= self.fold_after:
+            self.fold()
+
+    def _latest(self) -> DataFrame | None:
+        base, updates = self._folders()
+        dirs = [f"{self.root}/base-{base}"] * (base >= 0) + [f"{self.root}/update-{n}" for n in updates]
+        if not dirs:
+            return None
+        rows = self.spark.read.parquet(*dirs)
+        return rows.groupBy(self.key).agg(F.max_by(F.struct(*[c for c in rows.columns if c != self.key]), F.struct("_b", self.order)).alias("s")).select(self.key, "s.*")
+
+    def fold(self) -> None:
+        base, updates = self._folders()
+        if not updates:
+            return
+        held = f"{self.root}/_{uuid.uuid4().hex[:12]}"
+        self._latest().write.parquet(held)
+        fs, p = hadoop_path(self.spark, held)
+        fs.rename(p, hadoop_path(self.spark, f"{self.root}/base-{updates[-1]}")[1])
+        for old in [f"base-{base}"] * (base >= 0) + [f"update-{n}" for n in updates]:
+            remove(self.spark, f"{self.root}/{old}")
+
+    def read(self, schema: StructType | None = None) -> DataFrame:
+        rows = self._latest()
+        return self.spark.createDataFrame([], schema) if rows is None else rows.drop("_b")
+
+
+class Marks:
+    """High-water marks by name, kept in the shared folder and moved only after the work has succeeded."""
+
+    SCHEMA = "name string, mark long"
+
+    def __init__(self, spark: SparkSession, root: str | None = None):
+        self.state = Versioned(spark, "marks", root)
+
+    def get(self, name: str) -> int | None:
+        row = self.state.read(self.SCHEMA).filter(F.col("name") == name).first()
+        return row["mark"] if row else None
+
+    def scan(self, rows: DataFrame, name: str, column: str, work: Callable[[DataFrame], None]) -> int | None:
+        """Give ``work`` the rows beyond the mark, then move the mark to the greatest of them; returns it."""
+        mark = self.get(name)
+        fresh = rows if mark is None else rows.filter(F.col(column) > mark)
+        top = fresh.agg(F.max(column)).first()[0]
+        if top is None:
+            return mark
+        # what arrives meanwhile is left to the next scan
+        work(fresh.filter(F.col(column) <= top))
+        others = self.state.read(self.SCHEMA).filter(F.col("name") != name)
+        self.state.write(others.unionByName(rows.sparkSession.createDataFrame([(name, int(top))], self.SCHEMA)).coalesce(1))
+        return top
+
+
+class WatchCounts:
+    """Counters of watch items kept up from a stream of records: each micro-batch adds its hits to both counters of an item.
+
+    Items that were never checked stay as they are.  A repeated micro-batch is known by its number and changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, key: str, order: str):
-        self.spark, self.key, self.order, self.root, self.version = spark, key, order, workspace(spark, "latest"), -1
+    SCHEMA = "item_id long, total long, new long, mark timestamp, batch long"
+
+    def __init__(self, items: DataFrame, identity: Column, time: str = "created_at", root: str | None = None):
+        self.items, self.identity, self.time = items, identity, time
+        self.hits = Appender(items.sparkSession, "watch-hits")
+        self.state = Versioned(items.sparkSession, "watch-counts", root)
+
+    def counts(self) -> DataFrame:
+        """(item_id, total, new, mark, batch) as of the last micro-batch."""
+        if not self.state.versions():
+            return self.items.select("item_id", F.col("last_count").alias("total"), F.col("new_count").alias("new"), F.col("last_checked_at").alias("mark"), F.lit(-1).cast("long").alias("batch"))
+        return self.state.read(self.SCHEMA)
 
     def write(self, batch: DataFrame, batch_id: int) -> None:
-        w = batch.withColumn("_b", F.lit(batch_id))
-        if self.version >= 0:
-            w = w.unionByName(self.spark.read.parquet(f"{self.root}/{self.version}"))
-        w = w.groupBy(self.key).agg(F.max_by(F.struct(*[c for c in w.columns if c != self.key]), F.struct("_b", self.order)).alias("s")).select(self.key, "s.*")
-        w.write.mode("overwrite").parquet(f"{self.root}/{batch_id}")
-        self.version = batch_id
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{self.version}").drop("_b")
+        from siltstone.operators import watch
+
+        now = self.counts()
+        if now.filter(F.col("batch") >= batch_id).limit(1).count():
+            return
+        marked = self.items.join(now.select("item_id", "mark"), "item_id").filter("mark is not null")
+        found = materialise(watch.hits(marked, batch).filter(F.col(self.time) > F.col("last_checked_at")), "watch-batch")
+        self.hits.write(found.select("item_id", "id"), batch_id)
+        more = found.groupBy("item_id").agg(F.count_distinct(self.identity).alias("delta"), F.max(self.time).alias("seen"))
+        delta = F.coalesce("delta", F.lit(0))
+        checked = F.when(F.col("mark").isNotNull(), F.greatest("mark", "seen"))
+        self.state.write(now.join(more, "item_id", "left").select("item_id", (F.col("total") + delta).alias("total"), (F.col("new") + delta).alias("new"), checked.alias("mark"), F.lit(batch_id).cast("long").alias("batch")))
 
 
 class Appender:

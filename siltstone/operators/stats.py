@@ -27,8 +27,13 @@ def percent(part: Column, whole: Column) -> Column:
 
 
 def late_lookup(top: DataFrame, dim: DataFrame, on: Column) -> DataFrame:
-    """Names for a short list: the list is limited first, so it is the side to broadcast."""
-    return dim.join(F.broadcast(top), on, "right")
+    """Names for a short list: the list is limited first and sent to the dimension, whose few hits are then sent back.
+
+    ``on`` names columns of either side once each; a key is unique in the
+    dimension, so the hits are at most as many as the list has rows.
+    """
+    hits = dim.join(F.broadcast(top), on, "left_semi")
+    return top.join(F.broadcast(hits), on, "left")
 
 
 def daily(df: DataFrame, column: str, days: int = 30) -> DataFrame:
@@ -55,11 +60,17 @@ def top_per_group(counted: DataFrame, group: str, key: str, n: int, measure: str
 
 
 def monthly_pivot(df: DataFrame, column: str, kind: str, kinds: Sequence[str], months: int = 12) -> DataFrame:
-    """Months by kinds with a total, the last months first cut, then pivoted."""
-    by = df.filter(F.col(column).isNotNull()).groupBy(F.date_format(column, "yyyy-MM").alias("month")).pivot(kind, list(kinds)).agg(F.count(F.lit(1)))
-    filled = by.select("month", *[F.coalesce(F.col(f"`{k}`"), F.lit(0)).alias(k) for k in kinds])
-    total = sum((F.col(f"`{k}`") for k in kinds), F.lit(0))
-    return filled.withColumn("total", total).orderBy(F.desc("month")).limit(months)
+    """The last months by kinds, with all other kinds as "other" and a total of all rows that have a kind."""
+    known = F.when(F.col(kind).isin(*kinds), F.col(kind)).when(F.col(kind).isNotNull(), "other")
+    columns = [*kinds, "other"]
+    counts = [F.count_if(known == k).alias(k) for k in columns]
+    by = df.filter(F.col(column).isNotNull()).groupBy(F.date_format(column, "yyyy-MM").alias("month")).agg(*counts, F.count(kind).alias("total"))
+    return by.orderBy(F.desc("month")).limit(months)
+
+
+def preferred_estimate(*statistics: Column) -> Column:
+    """The greatest of several row counts; missing and non-positive ones count as none."""
+    return F.greatest(*[F.coalesce(s, F.lit(0)) for s in statistics], F.lit(0)).cast("long")
 
 
 def hours_between(later: Column, earlier: Column) -> Column:

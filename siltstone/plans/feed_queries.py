@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from siltstone.operators import grouping, records
-from siltstone.plans import pipeline
+from siltstone.functions import text
+from siltstone.operators import grouping, records, search
+from siltstone.plans import feed_problems, function_queries, pipeline
 from siltstone.plans.registry import Registry, Tables
-from siltstone.sources import sinks
+from siltstone.plans.search_queries import HIT, ITEM_SQL, RECORDS, SOFT, watch_items
+from siltstone.plans.stats_queries import once
+from siltstone.session import workspace
+from siltstone.sources import files, sinks
 from siltstone.streaming import feeds
 
 registry = Registry()
@@ -61,9 +66,22 @@ def export_csv(t: Tables) -> DataFrame:
     return sinks.csv_lines(t.file_attachments.select("id", "filename", "mime_type"))
 
 
-@query()
+#: Result sets of the export, with the order of their rows.
+SETS = {
+    "channels": ("channels", ("platform_id", "title", "username", "conversation_type", "is_member"), "platform_id"),
+    "messages": ("messages", ("delivery_id", "conversation_id", "platform_id", "post_author"), "delivery_id"),
+    "attachments": ("file_attachments", ("id", "conversation_id", "message_id", "filename", "mime_type"), "id"),
+    "records": ("parsed_credentials", ("id", "domain", "email_domain", "application", "source_file", "line_number"), "id"),
+    "systems": ("system_info", ("id", "extraction_job_id", "country", "os"), "id"),
+    "documents": ("documents", ("doc_id", "lang", "source", "n_chars"), "doc_id"),
+    "items": ("benchmark_items", ("item_id", "suite", "n_words"), "item_id"),
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{name}' AS set_name, (SELECT count(*) FROM {table}) AS found, {sinks.SET_LIMITS[name]} AS row_limit, line FROM (SELECT to_json({{{', '.join(f'{chr(39)}{c}{chr(39)}: {c}' for c in cs)}}}) AS line FROM {table} ORDER BY {o} DESC LIMIT {sinks.SET_LIMITS[name]})" for name, (table, cs, o) in SETS.items()))
 def export_json(t: Tables) -> DataFrame:
-    return sinks.to_json(t.channels)
+    """Seven result sets as JSON lines, each newest first up to its limit, which goes with it."""
+    return sinks.export_sets({name: getattr(t, table).select(*cs) for name, (table, cs, _) in SETS.items()}, {name: [F.desc(o)] for name, (_, _, o) in SETS.items()})
 
 
 @query("SELECT '| ' || concat_ws(' | ', CAST(platform_id AS VARCHAR), replace(replace(coalesce(title, ''), '|', '\\|'), chr(10), '<br>'), replace(coalesce(username, ''), '|', '\\|')) || ' |' AS line FROM channels")
@@ -71,9 +89,56 @@ def export_md(t: Tables) -> DataFrame:
     return sinks.markdown_lines(t.channels.select("platform_id", "title", "username"))
 
 
-@query("SELECT platform_id, title, member_count FROM channels ORDER BY member_count DESC NULLS LAST, platform_id LIMIT 100")
+TOTALS = (("channels", "channels"), ("messages", "messages"), ("attachments", "file_attachments"), ("records", "parsed_credentials"))
+
+
+@query(" UNION ALL ".join(f"SELECT 'total' AS section, CAST({i} AS BIGINT) AS place, '{name}' AS title, (SELECT count(*) FROM {table}) AS amount" for i, (name, table) in enumerate(TOTALS, 1)) + """
+ UNION ALL SELECT 'channel', row_number() OVER (ORDER BY member_count DESC NULLS LAST, platform_id), coalesce(title, '(no title)'), member_count FROM channels
+ UNION ALL SELECT * FROM (SELECT 'candidate', row_number() OVER (ORDER BY n DESC, src), CAST(src AS VARCHAR), n FROM (SELECT forwarded_from_id AS src, count(DISTINCT (conversation_id, platform_id)) AS n FROM messages WHERE conversation_id IS NOT NULL AND platform_id IS NOT NULL AND forwarded_from_id IS NOT NULL AND forwarded_from_id NOT IN (SELECT platform_id FROM channels) GROUP BY 1) ORDER BY n DESC, src LIMIT 100)""")
 def channel_report(t: Tables) -> DataFrame:
-    return t.channels.select("platform_id", "title", "member_count").orderBy(F.desc_nulls_last("member_count"), "platform_id").limit(100)
+    """Totals, all channels by members (unknown last), and the hundred unknown channels that are forwarded most."""
+    out = None
+    for i, (name, table) in enumerate(TOTALS, 1):
+        one = getattr(t, table).agg(F.count(F.lit(1)).alias("amount")).select(F.lit("total").alias("section"), F.lit(i).cast("long").alias("place"), F.lit(name).alias("title"), "amount")
+        out = one if out is None else out.unionByName(one)
+    # the channels of a registry: one row each, all of them on the report
+    ranked = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc_nulls_last("member_count"), "platform_id")).cast("long")
+    channels = t.channels.select(F.lit("channel").alias("section"), ranked.alias("place"), F.coalesce("title", F.lit("(no title)")).alias("title"), F.col("member_count").cast("long").alias("amount"))
+    unknown = once(t).filter("src is not null").join(t.channels.select(F.col("platform_id").alias("src")), "src", "left_anti").groupBy("src").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "src").limit(100)
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "src")).cast("long")
+    candidates = unknown.select(F.lit("candidate").alias("section"), place.alias("place"), F.col("src").cast("string").alias("title"), F.col("n").alias("amount"))
+    return out.unionByName(channels).unionByName(candidates)
+
+
+@query("SELECT count(*) AS first_load, CAST(0 AS BIGINT) AS second_load FROM orders")
+def folder_load(t: Tables) -> DataFrame:
+    """Orders written as text files of labelled blocks, loaded as a folder, and loaded again: then nothing is new."""
+    at = workspace(t.spark, "folder")
+    block = F.concat(F.lit("URL: https://shop.test/"), F.col("o_orderkey").cast("string"), F.lit("\nUser: customer"), F.col("o_custkey").cast("string"), F.lit("\nPassword: "), F.col("o_totalprice").cast("string"), F.lit("\n"))
+    t.orders.select(block.alias("value")).write.text(f"{at}/in")
+    loads = [files.load_folder(t.spark, f"{at}/in", f"{at}/records") for _ in range(2)]
+    return t.spark.createDataFrame([tuple(loads)], "first_load long, second_load long")
+
+
+@query("SELECT max(id) AS mark, count(*) AS rows, CAST(2 AS BIGINT) AS scans FROM parsed_credentials")
+def scan_marks(t: Tables) -> DataFrame:
+    """Two scans behind a mark, the first of half the rows, a third that fails and a fourth that finds nothing new."""
+    out, marks = feeds.Appender(t.spark, "scan-marks"), feeds.Marks(t.spark)
+    p = t.parsed_credentials.select("id")
+    half = p.agg(F.max("id")).first()[0] // 2
+
+    def broken(rows: DataFrame) -> None:
+        raise RuntimeError("no work is done")
+
+    for k, rows in enumerate((p.filter(F.col("id") <= half), p)):
+        try:
+            marks.scan(rows, "records", "id", broken)
+        except RuntimeError:
+            pass
+        marks.scan(rows, "records", "id", lambda fresh, k=k: out.write(fresh, k))
+    marks.scan(p, "records", "id", broken)
+    done = out.read(p.schema).agg(F.count(F.lit(1)).alias("rows"))
+    return done.select(F.lit(marks.get("records")).cast("long").alias("mark"), "rows", F.lit(2).cast("long").alias("scans"))
 
 
 # -- streams, each over the whole table ----------------------------------------------
@@ -109,39 +174,52 @@ def stream_hourly(t: Tables) -> DataFrame:
     return out.read()
 
 
-@query("SELECT h, min(us) AS first_us, arg_min(conversation_id, (us, conversation_id)) AS conversation_id, count(*) - 1 AS duplicates FROM (SELECT sha256(text) AS h, epoch_us(platform_timestamp) AS us, conversation_id FROM documents WHERE text IS NOT NULL AND platform_timestamp IS NOT NULL AND conversation_id IS NOT NULL) GROUP BY 1")
-def stream_first_seen(t: Tables) -> DataFrame:
-    return _first_seen(t, _stream(t, "documents").filter("platform_timestamp is not null and conversation_id is not null"), "stream-first-seen")
-
-
 @query("SELECT h, f.us AS first_us, f.c AS conversation_id, duplicates FROM (SELECT h, arg_min({'us': us, 'c': c}, (us IS NULL, us, c IS NULL, c)) AS f, count(*) - 1 AS duplicates FROM (SELECT sha256(text) AS h, epoch_us(platform_timestamp) AS us, conversation_id AS c FROM documents WHERE text IS NOT NULL) GROUP BY 1)")
-def stream_first_seen_all(t: Tables) -> DataFrame:
-    """Every text; stream_first_seen and its SQL leave out rows without a time or a conversation."""
-    return _first_seen(t, _stream(t, "documents"), "stream-first-seen-all")
-
-
-def _first_seen(t: Tables, documents: DataFrame, label: str) -> DataFrame:
-    s = feeds.first_seen(documents.withColumn("h", F.sha2("text", 256)), "h", "platform_timestamp", "conversation_id")
+def stream_first_seen(t: Tables) -> DataFrame:
+    """Every text; rows without a time come last, a conversation may be null."""
+    s = feeds.first_seen(_stream(t, "documents").withColumn("h", F.sha2("text", 256)), "h", "platform_timestamp", "conversation_id")
     out = feeds.LatestTable(t.spark, "h", "duplicates")
-    feeds.run(s, out.write, label, "update")
+    feeds.run(s, out.write, "stream-first-seen", "update")
     return out.read()
 
 
-@query("SELECT id, CAST(epoch_us(created_at) AS BIGINT) AS us FROM parsed_credentials WHERE domain ILIKE '%shop%'")
+@query(f"SELECT item_id, id FROM {ITEM_SQL} JOIN parsed_credentials p ON ({HIT}) AND created_at > mark_at WHERE mark_at IS NOT NULL")
 def stream_watch(t: Tables) -> DataFrame:
-    """Hits of a watched word as they arrive."""
-    s = _stream(t, "parsed_credentials").filter(F.col("domain").ilike("%shop%")).select("id", F.unix_micros("created_at").alias("us"))
-    out = feeds.Appender(t.spark, "stream-watch")
-    feeds.run(s, out.write, "stream-watch")
-    return out.read(s.schema)
-
-
-@query()
+    """Hits of every watch item as records arrive; counters and marks are kept beside them."""
+    counts = feeds.WatchCounts(watch_items(t), search.identity())
+    feeds.run(_stream(t, "parsed_credentials").select(RECORDS), counts.write, "stream-watch")
+    return counts.hits.read(StructType.fromDDL("item_id long, id long"))
+
+
+@query(f"SELECT item_id, any_value(last_count) + count(DISTINCT CASE WHEN p.id IS NOT NULL THEN {SOFT} END) AS total, any_value(new_count) + count(DISTINCT CASE WHEN p.id IS NOT NULL THEN {SOFT} END) AS new FROM {ITEM_SQL} LEFT JOIN parsed_credentials p ON ({HIT}) AND created_at > mark_at AND mark_at IS NOT NULL GROUP BY 1")
+def stream_watch_counts(t: Tables) -> DataFrame:
+    """The counters of the items after the stream; identities count once a micro-batch, and a single file is one."""
+    counts = feeds.WatchCounts(watch_items(t), search.identity())
+    feeds.run(_stream(t, "parsed_credentials").select(RECORDS), counts.write, "stream-watch-counts")
+    return counts.counts().select("item_id", "total", "new")
+
+
+_VALID = f"(source_file, line_number) NOT IN (SELECT (source_file, line_number) FROM ({feed_problems.oracle_sql()['p2_found']}))"
+_CLASS = function_queries.registry.oracle_sql()["classify_file"]
+_CANDIDATES = f"(SELECT a.* FROM file_attachments a JOIN ({_CLASS}) k ON k.id = a.id WHERE k.class IN ('split', 'archive', 'text', 'untyped'))"
+_PLANNED = f"(SELECT a.* FROM {_CANDIDATES} a WHERE EXISTS (SELECT 1 FROM messages m WHERE m.conversation_id = a.conversation_id AND m.platform_id = a.message_id) AND a.id IN (SELECT id FROM ({function_queries.registry.oracle_sql()['split_name']}) WHERE base IS NOT NULL))"
+_NAMES_IN_TEXT = f"SELECT DISTINCT unnest(list_distinct(list_filter(list_concat(list_transform(regexp_extract_all(text, '@({text.HANDLE})', 1), lambda y: lower(y)), list_transform(regexp_extract_all(text, '{text.NAME_LINK}', 1), lambda y: lower(y))), lambda y: y NOT IN ({', '.join(repr(w) for w in text.NO_CHANNELS)}) AND NOT list_contains(list_transform(regexp_extract_all(text, '[A-Za-z0-9._%+-]@({text.HANDLE})', 1), lambda z: lower(z)), y)))) AS name FROM documents"
+
+
+@query(f"""WITH made AS (
+ SELECT 'ingest' AS stage, (SELECT count(DISTINCT (conversation_id, platform_id)) FROM messages WHERE conversation_id IS NOT NULL AND platform_id IS NOT NULL) + (SELECT count(*) FROM messages WHERE conversation_id IS NULL OR platform_id IS NULL) AS rows
+ UNION ALL SELECT 'channel_discover', count(DISTINCT c) FROM (SELECT CAST(platform_id AS VARCHAR) AS c FROM channels WHERE is_member UNION ALL SELECT CAST(forwarded_from_id AS VARCHAR) FROM messages UNION ALL SELECT CAST(conversation_id AS VARCHAR) FROM file_attachments
+  UNION ALL SELECT coalesce(CAST(b.id AS VARCHAR), '@' || n.name) FROM ({_NAMES_IN_TEXT}) n LEFT JOIN (SELECT lower(username) AS name, min(platform_id) AS id FROM channels GROUP BY 1) b ON b.name = n.name)
+ UNION ALL SELECT 'discover', count(*) FROM file_attachments
+ UNION ALL SELECT 'plan', count(*) FROM {_PLANNED}
+ UNION ALL SELECT 'acquire', count(*) FROM {_PLANNED}
+ UNION ALL SELECT 'enrich', count(*) FROM (SELECT conversation_id, platform_id FROM (SELECT *, row_number() OVER (PARTITION BY conversation_id, platform_id ORDER BY edit_date DESC NULLS LAST, delivered_at DESC NULLS LAST, delivery_id DESC) AS r FROM messages WHERE conversation_id IS NOT NULL AND platform_id IS NOT NULL) w
+  WHERE r = 1 AND is_forwarded AND forwarded_from_id IS NOT NULL AND EXISTS (SELECT 1 FROM {_CANDIDATES} a WHERE a.conversation_id = w.conversation_id AND a.message_id = w.platform_id))
+ UNION ALL SELECT 'parse', count(DISTINCT raw_text) FROM raw_lines WHERE {_VALID}
+ UNION ALL SELECT 'finalise', count(DISTINCT text) FROM documents
+ UNION ALL SELECT 'count_records', count(DISTINCT extraction_job_id) FROM parsed_credentials
+ UNION ALL SELECT 'prune', count(*) FROM system_info WHERE extraction_job_id IS NULL OR extraction_job_id NOT IN (SELECT extraction_job_id FROM parsed_credentials WHERE extraction_job_id IS NOT NULL))
+SELECT stage, 'made' AS state, rows FROM made""")
 def pipeline_stages(t: Tables) -> DataFrame:
-    """Rows that each stage of the pipeline makes."""
-    run = pipeline.run_pipeline(t)
-    out = None
-    for name, df in run.made.items():
-        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Rows that each stage of the pipeline makes; a stage that fails is told as failed."""
+    return pipeline.report(t, pipeline.run_pipeline(t))

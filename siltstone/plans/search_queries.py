@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions import text
 from siltstone.operators import dedup, search, watch
 from siltstone.operators.stats import late_lookup
 from siltstone.plans.registry import Registry, Tables
-from siltstone.plans.stats_queries import once
+from siltstone.plans.stats_queries import ONCE, once
+from siltstone.sources import sinks
 
 registry = Registry()
 query = registry.query
@@ -46,27 +49,65 @@ def search_keyset(t: Tables) -> DataFrame:
     return t.parsed_credentials.filter(search.predicate("post") & (F.col("id") < 5000)).select(SHOWN).orderBy(F.desc("id")).limit(50)
 
 
-@query("SELECT id, domain, username, stealer_type FROM parsed_credentials WHERE coalesce(regexp_matches(domain, '(?i)^(shop|mail)\\.'), false) OR coalesce(regexp_matches(username, '(?i)^(shop|mail)\\.'), false) OR coalesce(regexp_matches(url, '(?i)^(shop|mail)\\.'), false)")
+#: The eight fields that a word or pattern is looked for in.
+EIGHT = ("url", "domain", "username", "email_domain", "application", "profile", "source_file", "stealer_type")
+
+
+@query("SELECT id, domain, username, stealer_type FROM parsed_credentials WHERE " + " OR ".join(f"coalesce(regexp_matches({c}, '(?i)^(shop|mail|elm)\\.?'), false)" for c in EIGHT))
 def search_regex(t: Tables) -> DataFrame:
-    return t.parsed_credentials.filter(search.matches_any(r"^(shop|mail)\.", ("domain", "username", "url"))).select(SHOWN)
+    return t.parsed_credentials.filter(search.matches_any(r"^(shop|mail|elm)\.?", EIGHT)).select(SHOWN)
+
+
+@query("SELECT id FROM parsed_credentials WHERE " + " OR ".join(f"{c} ILIKE '%hub%'" for c in EIGHT))
+def like_any(t: Tables) -> DataFrame:
+    """A word in any of eight fields: one condition, one scan."""
+    return t.parsed_credentials.filter(search.predicate("hub", EIGHT)).select("id")
+
 
+SAVED = (("hubs", "hub"), ("late mail", "mail since:2017-03-10"), ("shops of elm", "domain:shop stealer:elm"))
 
-FEDERATED = (("channels", "platform_id", "title"), ("messages", "delivery_id", "text"), ("file_attachments", "id", "filename"), ("parsed_credentials", "id", "domain"), ("system_info", "id", "hostname"), ("documents", "doc_id", "text"), ("benchmark_items", "item_id", "text"))
 
+@query(f"SELECT 'hubs' AS name, id FROM parsed_credentials WHERE {ANY.format('hub')} UNION ALL SELECT 'late mail', id FROM parsed_credentials WHERE {ANY.format('mail')} AND created_at >= TIMESTAMP '2017-03-10' UNION ALL SELECT 'shops of elm', id FROM parsed_credentials WHERE domain ILIKE '%shop%' AND stealer_type ILIKE '%elm%'")
+def saved_searches(t: Tables) -> DataFrame:
+    """Searches saved, one of them anew, one removed, and all that are left run in one scan."""
+    held = search.SavedSearches(t.spark)
+    held.save("hubs", "something else")
+    held.save("gone", "x")
+    for name, q in SAVED:
+        held.save(name, q)
+    held.remove("gone")
+    return held.run(t.parsed_credentials).select("name", "id")
 
-@query(" UNION ALL ".join(f"SELECT '{n}' AS entity, CAST({k} AS BIGINT) AS key, md5({c}) AS shown FROM {n} WHERE {c} ILIKE '%archive%'" for n, k, c in FEDERATED))
+
+FEDERATED = (
+    ("channels", "platform_id", ("title", "username")),
+    ("messages", "delivery_id", ("text", "caption", "post_author")),
+    ("file_attachments", "id", ("filename", "mime_type")),
+    ("parsed_credentials", "id", ("domain", "username", "email_domain", "application", "source_file")),
+    ("system_info", "id", ("hostname", "username", "country", "os")),
+    ("documents", "doc_id", ("text", "source")),
+    ("benchmark_items", "item_id", ("text", "suite")),
+)
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS entity, CAST({k} AS BIGINT) AS key, array_to_string(list_filter([{', '.join(f'CASE WHEN {c} ILIKE {chr(39)}%archive%{chr(39)} THEN {chr(39)}{c}{chr(39)} END' for c in cs)}], lambda x: x IS NOT NULL), ',') AS fields FROM {n} WHERE {' OR '.join(f'{c} ILIKE {chr(39)}%archive%{chr(39)}' for c in cs)}" for n, k, cs in FEDERATED))
 def search_federated(t: Tables) -> DataFrame:
-    """Seven entities under one schema."""
+    """Seven entities under one schema, each searched in all its columns of text."""
     out = None
-    for name, key, column in FEDERATED:
-        part = getattr(t, name).filter(F.col(column).ilike("%archive%")).select(F.lit(name).alias("entity"), F.col(key).cast("long").alias("key"), F.md5(column).alias("shown"))
+    for name, key, columns in FEDERATED:
+        where = F.array_compact(F.array(*[F.when(F.col(c).ilike("%archive%"), F.lit(c)) for c in columns]))
+        part = getattr(t, name).filter(search.predicate("archive", columns)).select(F.lit(name).alias("entity"), F.col(key).cast("long").alias("key"), F.array_join(where, ",").alias("fields"))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-@query("SELECT delivery_id FROM messages WHERE (text ILIKE '%folder%' OR caption ILIKE '%folder%' OR post_author ILIKE '%folder%') ORDER BY platform_timestamp DESC, delivery_id DESC LIMIT 100")
+MESSAGES = "(text ILIKE '%folder%' OR caption ILIKE '%folder%' OR post_author ILIKE '%folder%')"
+
+
+@query(f"SELECT delivery_id FROM messages WHERE {MESSAGES} AND (conversation_id IS NULL OR conversation_id NOT IN (SELECT platform_id FROM channels WHERE lower(title) LIKE '%folder%' OR lower(username) LIKE '%folder%')) ORDER BY platform_timestamp DESC, delivery_id DESC LIMIT 100")
 def search_messages(t: Tables) -> DataFrame:
-    hits = t.messages.filter(search.predicate("folder", ("text", "caption", "post_author")))
+    """Text, caption and author, without the channels that are left out; these go before the limit."""
+    hits = search.without_sources(t.messages.filter(search.predicate("folder", ("text", "caption", "post_author"))), "conversation_id", _excluded(t))
     return hits.orderBy(F.desc("platform_timestamp"), F.desc("delivery_id")).limit(100).select("delivery_id")
 
 
@@ -127,18 +168,19 @@ def attachments_without_message(t: Tables) -> DataFrame:
     return t.file_attachments.join(m, ["conversation_id", "message_id"], "left_anti").select("id")
 
 
-@query("SELECT c.platform_id, coalesce(m.n, 0) AS messages, coalesce(r.n, 0) AS records FROM channels c LEFT JOIN (SELECT conversation_id, count(*) AS n FROM messages GROUP BY 1) m ON m.conversation_id = c.platform_id LEFT JOIN (SELECT source_conversation_id, count(*) AS n FROM parsed_credentials GROUP BY 1) r ON r.source_conversation_id = c.platform_id")
+@query(f"SELECT c.platform_id, coalesce(m.n, 0) AS messages, coalesce(r.n, 0) AS records FROM channels c LEFT JOIN (SELECT conversation_id, count(*) AS n FROM {ONCE} GROUP BY 1) m ON m.conversation_id = c.platform_id LEFT JOIN (SELECT source_conversation_id, count(*) AS n FROM parsed_credentials GROUP BY 1) r ON r.source_conversation_id = c.platform_id")
 def channel_counts(t: Tables) -> DataFrame:
-    """Each fact is counted before it meets the dimension."""
-    m = t.messages.groupBy(F.col("conversation_id").alias("platform_id")).agg(F.count(F.lit(1)).alias("m"))
+    """Each fact is counted before it meets the dimension; a message counts once."""
+    m = once(t).groupBy(F.col("conversation_id").alias("platform_id")).agg(F.count(F.lit(1)).alias("m"))
     r = t.parsed_credentials.groupBy(F.col("source_conversation_id").alias("platform_id")).agg(F.count(F.lit(1)).alias("r"))
     return t.channels.select("platform_id").join(m, "platform_id", "left").join(r, "platform_id", "left").select("platform_id", F.coalesce("m", F.lit(0)).alias("messages"), F.coalesce("r", F.lit(0)).alias("records"))
 
 
-@query("SELECT c.platform_id, c.title, count(DISTINCT m.platform_id) AS messages, count(m.forwarded_from_id) AS forwarded, max(m.platform_timestamp) AS latest FROM channels c LEFT JOIN messages m ON m.conversation_id = c.platform_id GROUP BY ALL")
+@query(f"SELECT c.platform_id, c.title, count(m.platform_id) AS messages, count(src) AS forwarded, max(ts) AS latest FROM channels c LEFT JOIN {ONCE} m ON m.conversation_id = c.platform_id GROUP BY ALL")
 def conversation_detail(t: Tables) -> DataFrame:
-    m = t.messages.select(F.col("conversation_id").alias("c"), F.col("platform_id").alias("m"), "forwarded_from_id", "platform_timestamp")
-    return t.channels.select("platform_id", "title").join(m, F.col("c") == F.col("platform_id"), "left").groupBy("platform_id", "title").agg(F.count_distinct("m").alias("messages"), F.count("forwarded_from_id").alias("forwarded"), F.max("platform_timestamp").alias("latest"))
+    m = once(t).groupBy(F.col("conversation_id").alias("platform_id")).agg(F.count(F.lit(1)).alias("m"), F.count("src").alias("f"), F.max("ts").alias("latest"))
+    count = lambda c, name: F.coalesce(c, F.lit(0)).alias(name)
+    return t.channels.select("platform_id", "title").join(m, "platform_id", "left").select("platform_id", "title", count("m", "messages"), count("f", "forwarded"), "latest")
 
 
 @query("SELECT o_orderkey, bool_or(l_linestatus <> 'F') AS open FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey GROUP BY 1")
@@ -196,12 +238,28 @@ def dup_accounting(t: Tables) -> DataFrame:
     return dedup.accounting(t.parsed_credentials, "credential_hash", "batch_id")
 
 
-@query(ACCOUNT + ", d AS (SELECT batch_id, (new + dup >= 5 AND dup >= 0.05 * (new + dup)) AS flag FROM a), c AS (SELECT *, coalesce(CAST(flag <> lag(flag) OVER (ORDER BY batch_id) AS INT), 1) AS ch FROM d), g AS (SELECT *, sum(ch) OVER (ORDER BY batch_id) AS run FROM c) SELECT flag AS full_of_copies, min(batch_id) AS first, max(batch_id) AS last, count(*) AS length FROM g GROUP BY run, flag")
+LOADS = """WITH f AS (SELECT *, min(id) OVER (PARTITION BY credential_hash) AS first_id FROM parsed_credentials),
+ a AS (SELECT extraction_job_id AS job, batch_id, count(*) AS n, count(*) FILTER (credential_hash IS NULL OR id = first_id) AS new, count(*) FILTER (credential_hash IS NOT NULL AND id <> first_id) AS dup FROM f GROUP BY ALL),
+ d AS (SELECT *, new + dup >= {0} / 2 AND dup >= {1} * (new + dup) AS full_of_copies FROM a),
+ r AS (SELECT *, sum(CAST(full_of_copies AS INT)) OVER (PARTITION BY job ORDER BY batch_id ROWS BETWEEN {2} PRECEDING AND CURRENT ROW) = {2} + 1 AS stop FROM d)
+SELECT job AS extraction_job_id, batch_id, full_of_copies, coalesce(bool_or(stop) OVER (PARTITION BY job ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS skipped FROM r"""
+
+
+def _skips(t: Tables, size, share: float, after: int) -> DataFrame:
+    a = dedup.load_accounting(t.parsed_credentials.select("id", "extraction_job_id", "batch_id", "credential_hash"), "credential_hash", "extraction_job_id", "batch_id", "id")
+    return dedup.early_skips(a, "extraction_job_id", "batch_id", size, share, after).select("extraction_job_id", "batch_id", F.col("full").alias("full_of_copies"), "skipped")
+
+
+@query(LOADS.format("20000", "0.95", "2"))
 def early_skip_runs(t: Tables) -> DataFrame:
-    """Runs of batches that were mostly copies; three in a row would end a load early."""
-    a = dedup.accounting(t.parsed_credentials, "credential_hash", "batch_id")
-    flagged = a.select("batch_id", dedup.is_dup_batch(F.col("new"), F.col("dup"), F.lit(10), 0.05).alias("full_of_copies"))
-    return dedup.runs_of(flagged, "full_of_copies", "batch_id")
+    """Batches of a load that were seen at least by half and were duplicates for 95 percent; behind three in a row the load is skipped."""
+    return _skips(t, F.lit(20_000), 0.95, 3)
+
+
+@query(LOADS.format("n", "0.5", "1"))
+def early_skip_small(t: Tables) -> DataFrame:
+    """The same for the batches of these tables: half duplicates, two in a row."""
+    return _skips(t, F.col("n"), 0.5, 2)
 
 
 @query("SELECT doc_id FROM documents WHERE sha256(text) NOT IN (SELECT sha256(text) FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) - 1 >= 2)")
@@ -212,33 +270,23 @@ def preskip_files(t: Tables) -> DataFrame:
     return d.join(known, "h", "left_anti").select("doc_id")
 
 
-@query("SELECT source_file, line_number FROM raw_lines r WHERE NOT EXISTS (SELECT 1 FROM (SELECT source_file FROM raw_lines GROUP BY 1 HAVING count(*) > 100) f WHERE f.source_file = r.source_file)")
+@query("SELECT id FROM parsed_credentials p WHERE NOT EXISTS (SELECT 1 FROM parsed_credentials o WHERE o.batch_id <= 12 AND o.extraction_job_id = p.extraction_job_id AND o.source_file = p.source_file) AND batch_id > 12")
 def skip_parsed_files(t: Tables) -> DataFrame:
-    done = t.raw_lines.groupBy("source_file").agg(F.count(F.lit(1)).alias("n")).filter("n > 100")
-    return t.raw_lines.join(done, "source_file", "left_anti").select("source_file", "line_number")
-
-
-@query("SELECT h, min(platform_timestamp) AS first, arg_min(conversation_id, (platform_timestamp, doc_id)) AS conversation_id, arg_min(doc_id, (platform_timestamp, doc_id)) AS doc_id, count(*) - 1 AS duplicates FROM (SELECT *, sha256(text) AS h FROM documents WHERE text IS NOT NULL AND platform_timestamp IS NOT NULL AND conversation_id IS NOT NULL) GROUP BY 1")
-def first_seen(t: Tables) -> DataFrame:
-    d = t.documents.filter("conversation_id is not null and platform_timestamp is not null")
-    return dedup.first_seen(d, F.sha2("text", 256), "platform_timestamp", ["conversation_id", "doc_id"], "doc_id")
+    """Rows of files that no earlier load of the same job has parsed; a row without a job or file is never known."""
+    p = t.parsed_credentials.select("id", "batch_id", "extraction_job_id", "source_file")
+    parsed = p.filter("batch_id <= 12").select("extraction_job_id", "source_file").distinct()
+    return p.filter("batch_id > 12").join(parsed, ["extraction_job_id", "source_file"], "left_anti").select("id")
 
 
 @query("SELECT h, f.at AS first, f.conversation_id AS conversation_id, f.doc_id AS doc_id, duplicates FROM (SELECT sha256(text) AS h, arg_min({'at': platform_timestamp, 'conversation_id': conversation_id, 'doc_id': doc_id}, (platform_timestamp IS NULL, platform_timestamp, doc_id)) AS f, count(*) - 1 AS duplicates FROM documents WHERE text IS NOT NULL GROUP BY 1)")
-def first_seen_all(t: Tables) -> DataFrame:
-    """Every text; first_seen and its SQL leave out rows without a time or a conversation."""
+def first_seen(t: Tables) -> DataFrame:
+    """Every text; rows without a time come last, a conversation may be null."""
     return dedup.first_seen(t.documents, F.sha2("text", 256), "platform_timestamp", ["conversation_id", "doc_id"], "doc_id")
 
 
-@query("SELECT k, min(id) AS id FROM (SELECT lower(trim(hostname)) AS k, id FROM system_info WHERE hostname IS NOT NULL AND NOT regexp_matches(hostname, '[^\\x00-\\x7F]')) GROUP BY 1")
+@query(r"SELECT lower(regexp_replace(hostname, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) AS k, min(id) AS id FROM system_info WHERE hostname IS NOT NULL GROUP BY 1")
 def keep_first_ci(t: Tables) -> DataFrame:
-    s = t.system_info.filter("hostname is not null").filter(~F.col("hostname").rlike(r"[^\x00-\x7F]")).withColumn("k", F.lower(F.trim("hostname")))
-    return search.keep_first(s, F.col("k"), F.col("id")).select("k", "id")
-
-
-@query("SELECT lower(trim(hostname)) AS k, min(id) AS id FROM system_info WHERE hostname IS NOT NULL GROUP BY 1")
-def keep_first_ci_all(t: Tables) -> DataFrame:
-    """All hostnames, non-ASCII ones too, which keep_first_ci and its SQL leave out."""
+    """Every hostname, those of other scripts as well."""
     s = t.system_info.filter("hostname is not null").withColumn("k", F.lower(text.stripped(F.col("hostname"))))
     return search.keep_first(s, F.col("k"), F.col("id")).select("k", "id")
 
@@ -254,22 +302,52 @@ def upsert_latest(t: Tables) -> DataFrame:
     return dedup.latest(t.system_info, "hostname", F.desc_nulls_last("log_date"), F.desc("id")).select("hostname", "id", "country")
 
 
-@query("""WITH d AS (SELECT platform_id AS c, 0 AS p, 'member' AS origin FROM channels WHERE is_member UNION ALL SELECT DISTINCT forwarded_from_id, 1, 'forwarded' FROM messages WHERE forwarded_from_id IS NOT NULL UNION ALL SELECT DISTINCT conversation_id, 2, 'attachment' FROM file_attachments WHERE conversation_id IS NOT NULL)
+NAMED = "coalesce(text, '') || ' @' || source || ' t.me/' || source || '_x1'"
+
+
+@query(f"""WITH x AS (SELECT {NAMED} AS x FROM documents), n AS (SELECT DISTINCT unnest(list_distinct(list_filter(list_concat(list_transform(regexp_extract_all(x, '@({text.HANDLE})', 1), lambda y: lower(y)), list_transform(regexp_extract_all(x, '{text.NAME_LINK}', 1), lambda y: lower(y))), lambda y: y NOT IN ({', '.join(repr(w) for w in text.NO_CHANNELS)})))) AS name FROM x),
+ b AS (SELECT lower(username) AS name, min(platform_id) AS id FROM channels GROUP BY 1),
+ d AS (SELECT CAST(platform_id AS VARCHAR) AS c, 0 AS p, 'member' AS origin FROM channels WHERE is_member UNION ALL SELECT DISTINCT CAST(forwarded_from_id AS VARCHAR), 1, 'forwarded' FROM messages WHERE forwarded_from_id IS NOT NULL
+ UNION ALL SELECT coalesce(CAST(b.id AS VARCHAR), '@' || n.name), 2, 'mention' FROM n LEFT JOIN b ON b.name = n.name UNION ALL SELECT DISTINCT CAST(conversation_id AS VARCHAR), 3, 'attachment' FROM file_attachments WHERE conversation_id IS NOT NULL)
 SELECT c AS channel, arg_min(origin, p) AS origin FROM d GROUP BY 1""")
 def discovery_union(t: Tables) -> DataFrame:
-    member = t.channels.filter("is_member").select(F.col("platform_id").alias("channel"), F.lit("member").alias("origin"))
-    forwarded = t.messages.filter("forwarded_from_id is not null").select(F.col("forwarded_from_id").alias("channel"), F.lit("forwarded").alias("origin")).distinct()
-    attached = t.file_attachments.filter("conversation_id is not null").select(F.col("conversation_id").alias("channel"), F.lit("attachment").alias("origin")).distinct()
-    return dedup.union_by_priority([member, forwarded, attached], "channel")
+    """Channels by four sources, the first that has one: membership, forwards, names mentioned or linked, attachments.
+
+    A name that belongs to a known channel stands for its number, any other for itself.
+    """
+    return discovery(t.channels, t.messages, t.documents.select(F.concat(F.coalesce("text", F.lit("")), F.lit(" @"), "source", F.lit(" t.me/"), "source", F.lit("_x1")).alias("x")), "x", t.file_attachments)
+
+
+def discovery(channels: DataFrame, messages: DataFrame, texts: DataFrame, column: str, attachments: DataFrame) -> DataFrame:
+    number = lambda df, c, origin: df.filter(F.col(c).isNotNull()).select(F.col(c).cast("string").alias("channel"), F.lit(origin).alias("origin")).distinct()
+    names = texts.select(F.explode(F.array_union(text.mentions(F.col(column)), text.linked_names(F.col(column)))).alias("name")).distinct()
+    known = channels.filter("username is not null").groupBy(F.lower("username").alias("name")).agg(F.min("platform_id").cast("string").alias("id"))
+    mentioned = names.join(known, "name", "left").select(F.coalesce("id", F.concat(F.lit("@"), "name")).alias("channel"), F.lit("mention").alias("origin"))
+    return dedup.union_by_priority([number(channels.filter("is_member"), "platform_id", "member"), number(messages, "forwarded_from_id", "forwarded"), mentioned, number(attachments, "conversation_id", "attachment")], "channel")
 
 
-@query("""WITH k AS (SELECT platform_id, username, title FROM channels), c AS (SELECT doc_id, conversation_id AS platform_id, source AS username FROM documents),
- u AS (SELECT username, min(platform_id) AS i FROM k WHERE username IS NOT NULL GROUP BY 1)
-SELECT doc_id, coalesce(k.platform_id, u.i) AS resolved FROM c LEFT JOIN k ON k.platform_id = c.platform_id LEFT JOIN u ON u.username = c.username""")
+RESOLVED = """WITH k AS (SELECT platform_id, lower(username) AS name, lower(title) AS title FROM channels), c AS (SELECT doc_id, conversation_id AS platform_id, lower(source) AS name, lower(lang) AS lang, text FROM documents),
+ u AS (SELECT name, min(platform_id) AS i FROM k WHERE name IS NOT NULL GROUP BY 1), l AS (SELECT title, min(platform_id) AS i FROM k WHERE title IS NOT NULL GROUP BY 1),
+ r AS (SELECT c.*, coalesce(k.platform_id, u.i, l.i) AS resolved FROM c LEFT JOIN k ON k.platform_id = c.platform_id LEFT JOIN u ON u.name = c.name LEFT JOIN l ON l.title = c.name)"""
+
+
+def _resolved(t: Tables) -> DataFrame:
+    c = t.documents.select("doc_id", F.col("conversation_id").alias("platform_id"), F.lower("source").alias("name"), F.lower("source").alias("link"))
+    k = t.channels.select(F.col("platform_id").alias("pid"), "platform_id", F.lower("username").alias("name"), F.lower("title").alias("link"))
+    return dedup.resolve(c, k, ["platform_id", "name", "link"], "pid")
+
+
+@query(RESOLVED + " SELECT doc_id, resolved FROM r")
 def entity_resolve(t: Tables) -> DataFrame:
-    c = t.documents.select("doc_id", F.col("conversation_id").alias("platform_id"), F.col("source").alias("username"))
-    k = t.channels.select(F.col("platform_id").alias("pid"), "platform_id", "username")
-    return dedup.resolve(c, k, ["platform_id", "username"], "pid").select("doc_id", "resolved")
+    """By number, else by name in lower case, else by what stands for an invitation link, the title."""
+    return _resolved(t).select("doc_id", "resolved")
+
+
+@query(RESOLVED + " SELECT h.platform_id, coalesce(h.username, f.name) AS username, h.title FROM channels h LEFT JOIN (SELECT resolved, arg_min(name, doc_id) AS name FROM r WHERE name IS NOT NULL AND resolved IS NOT NULL GROUP BY 1) f ON f.resolved = h.platform_id")
+def entity_fill(t: Tables) -> DataFrame:
+    """Known channels take what they lack from what was resolved to them, and keep what they have."""
+    found = _resolved(t).select(F.col("resolved").alias("platform_id"), F.col("name").alias("username"), "doc_id")
+    return dedup.fill_missing(t.channels.select("platform_id", "username", "title"), found, "platform_id", ["username"], "doc_id")
 
 
 @query("SELECT p.id, coalesce(p.stealer_type, s.t) AS stealer_type FROM parsed_credentials p LEFT JOIN (SELECT extraction_job_id AS j, min(stealer_type) AS t FROM system_info WHERE stealer_type IS NOT NULL GROUP BY 1) s ON s.j = p.extraction_job_id")
@@ -310,7 +388,7 @@ ITEM_SQL = "(VALUES " + ", ".join(f"({i}, '{q}', '{m}', {k}, {n}, {'NULL' if at
 HIT = " OR ".join(f"({'match_type NOT IN (' + chr(39) + 'domain' + chr(39) + ', ' + chr(39) + 'user' + chr(39) + ', ' + chr(39) + 'url' + chr(39) + ')' if k == 'any' else f'match_type = {k!r}'} AND ({' OR '.join(f'contains(lower({c}), lower(query))' for c in cols)}))" for k, cols in watch.BY_TYPE.items())
 
 
-def _items(t: Tables) -> DataFrame:
+def watch_items(t: Tables) -> DataFrame:
     df = t.spark.createDataFrame([tuple(r) for r in ITEMS], "item_id long, query string, match_type string, last_count long, new_count long, at string")
     return df.withColumn("last_checked_at", F.col("at").cast("timestamp")).drop("at")
 
@@ -320,24 +398,35 @@ RECORDS = ["id", "domain", "username", "url", "email_domain", "created_at", "sof
 
 @query(f"SELECT item_id, count(DISTINCT {SOFT}) AS total, greatest(0, count(DISTINCT {SOFT}) - any_value(last_count)) AS new FROM {ITEM_SQL} LEFT JOIN parsed_credentials p ON {HIT} GROUP BY 1".replace(f"count(DISTINCT {SOFT})", f"count(DISTINCT CASE WHEN p.id IS NOT NULL THEN {SOFT} END)"))
 def theta_watch_counts(t: Tables) -> DataFrame:
-    return watch.sweep(_items(t), t.parsed_credentials.select(RECORDS), search.identity())
+    return watch.sweep(watch_items(t), t.parsed_credentials.select(RECORDS), search.identity())
 
 
 @query(f"SELECT item_id, any_value(last_count) + count(DISTINCT CASE WHEN p.id IS NOT NULL THEN {SOFT} END) AS total, any_value(new_count) + count(DISTINCT CASE WHEN p.id IS NOT NULL THEN {SOFT} END) AS new, greatest(any_value(mark_at), max(created_at)) AS mark FROM {ITEM_SQL} LEFT JOIN parsed_credentials p ON ({HIT}) AND created_at > mark_at WHERE mark_at IS NOT NULL GROUP BY 1")
 def watch_incremental(t: Tables) -> DataFrame:
-    return watch.sweep_since(_items(t), t.parsed_credentials.select(RECORDS), search.identity())
+    return watch.sweep_since(watch_items(t), t.parsed_credentials.select(RECORDS), search.identity())
 
 
 @query(f"""WITH h AS (SELECT item_id, id, created_at, {SOFT} AS i FROM {ITEM_SQL} JOIN parsed_credentials p ON ({HIT}) AND created_at >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY),
  o AS (SELECT *, row_number() OVER (PARTITION BY item_id, i ORDER BY created_at DESC, id DESC) AS r FROM h)
 SELECT item_id, id, k AS rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY created_at DESC, id DESC) AS k FROM o WHERE r = 1) WHERE k <= 5""")
 def watch_hits(t: Tables) -> DataFrame:
-    return watch.samples(_items(t), t.parsed_credentials.select(RECORDS), search.identity(), NOW).select("item_id", "id", "rank")
+    return watch.samples(watch_items(t), t.parsed_credentials.select(RECORDS), search.identity(), NOW).select("item_id", "id", "rank")
+
+
+@query(f"""WITH h AS (SELECT item_id, id, created_at, {SOFT} AS i FROM {ITEM_SQL} JOIN parsed_credentials p ON ({HIT}) AND created_at > TIMESTAMP '2017-03-20' AND created_at <= TIMESTAMP '{NOW}'),
+ c AS (SELECT item_id, count(DISTINCT i) AS new FROM h GROUP BY 1), o AS (SELECT *, row_number() OVER (PARTITION BY item_id, i ORDER BY created_at DESC, id DESC) AS r FROM h WHERE created_at >= TIMESTAMP '{NOW}' - INTERVAL 7 DAY),
+ s AS (SELECT item_id, id, row_number() OVER (PARTITION BY item_id ORDER BY created_at DESC, id DESC) AS rank FROM o WHERE r = 1)
+SELECT c.item_id, new, s.id, s.rank FROM c LEFT JOIN s ON s.item_id = c.item_id AND s.rank <= 5""")
+def watch_alerts(t: Tables) -> DataFrame:
+    """A first run that only sets the marks, then one that tells of what came since."""
+    alerts, records = watch.Alerts(t.spark), t.parsed_credentials.select(RECORDS)
+    alerts.run(watch_items(t), records, search.identity(), "2017-03-20 00:00:00")
+    return alerts.run(watch_items(t), records, search.identity(), NOW)
 
 
 @query(f"SELECT coalesce(sum(new_count), 0) AS badge FROM {ITEM_SQL} WHERE mark_at IS NOT NULL")
 def watch_badge(t: Tables) -> DataFrame:
-    return _items(t).filter("last_checked_at is not null").agg(F.coalesce(F.sum("new_count"), F.lit(0)).alias("badge"))
+    return watch_items(t).filter("last_checked_at is not null").agg(F.coalesce(F.sum("new_count"), F.lit(0)).alias("badge"))
 
 
 # -- work lists ------------------------------------------------------------------------
@@ -357,10 +446,20 @@ def triage_summary(t: Tables) -> DataFrame:
     return t.orders.agg(F.count_if(s == "F").alias("failed"), F.count_if(s == "P").alias("pending"), F.count_if(s == "O").alias("open"))
 
 
-@query("SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'P' ELSE o_orderstatus END AS status FROM orders")
+@query(f"""SELECT k AS o_orderkey, status FROM (SELECT o_orderkey AS k, CASE WHEN o_orderstatus = 'F' AND coalesce(n, 0) <= 3 THEN 'P' WHEN o_orderstatus = 'O' AND o_orderdate < TIMESTAMP '1997-01-01' - INTERVAL 24 HOUR THEN 'P' ELSE o_orderstatus END AS status
+ FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey)""")
 def retry_failed(t: Tables) -> DataFrame:
-    """A state change is a projection of the status column."""
-    return t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", "P").otherwise(F.col("o_orderstatus")).alias("status"))
+    """What a restart makes of the work at hand: failed work with tries left waits again, and so does what has been under way for too long."""
+    tries = t.lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    work = t.orders.join(tries, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+    states = restart_states(F.col("o_orderstatus"), F.coalesce("n", F.lit(0)), F.col("o_orderdate"), "1997-01-01 00:00:00", 3, 24)
+    return work.select("o_orderkey", states.alias("status"))
+
+
+def restart_states(status: Column, tries: Column, since: Column, now: str, most: int, hours: int) -> Column:
+    """Status columns are the checkpoint: the state from which each piece of work (F failed, O under way, P waiting) goes on."""
+    stuck = since < F.lit(now).cast("timestamp") - F.expr(f"interval {hours} hours")
+    return F.when((status == "F") & (tries <= most), "P").when((status == "O") & stuck, "P").otherwise(status)
 
 
 @query("""WITH me AS (SELECT * FROM parsed_credentials WHERE id = (SELECT min(id) FROM parsed_credentials WHERE domain IS NOT NULL AND source_archive IS NOT NULL)),
@@ -375,10 +474,18 @@ def related(t: Tables) -> DataFrame:
     return p.filter(F.col("id") != own).select("id", way.alias("way")).filter("way is not null").orderBy("way", F.desc("id")).limit(10)
 
 
-@query("SELECT p_partkey FROM part ORDER BY p_size DESC NULLS LAST, p_retailprice, p_partkey LIMIT 30 OFFSET 30")
+def _modes() -> dict:
+    up, down = F.asc, F.desc_nulls_last
+    return {"size": [down("p_size"), up("p_retailprice"), up("p_partkey")], "price": [down("p_retailprice"), up("p_partkey")], "brand": [up("p_brand"), up("p_size"), up("p_partkey")], "id": [up("p_partkey")]}
+
+
+ORDERS = {"size": "p_size DESC NULLS LAST, p_retailprice, p_partkey", "price": "p_retailprice DESC NULLS LAST, p_partkey", "brand": "p_brand, p_size, p_partkey", "id": "p_partkey"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{m}' AS mode, p_partkey FROM (SELECT p_partkey FROM part ORDER BY {o} LIMIT 30 OFFSET 30)" for m, o in ORDERS.items()))
 def multi_mode_sort(t: Tables) -> DataFrame:
-    modes = {"size": [F.desc_nulls_last("p_size"), F.col("p_retailprice"), F.col("p_partkey")], "price": [F.desc("p_retailprice"), F.col("p_partkey")], "id": [F.col("p_partkey")]}
-    return search.page(t.part, modes["size"], 30, 2).select("p_partkey")
+    """The second page in each of four orders."""
+    return reduce(DataFrame.unionByName, [search.page(t.part, order, 30, 2).select(F.lit(mode).alias("mode"), "p_partkey") for mode, order in _modes().items()])
 
 
 # -- event time -------------------------------------------------------------------------
@@ -411,9 +518,16 @@ def dedup_triples(t: Tables) -> DataFrame:
     return by.select("url", "username", F.md5("password").alias("secret_md5"), "id")
 
 
-@query("SELECT m.forwarded_from_id, c.title, count(*) AS n, min(m.platform_timestamp) AS first FROM messages m LEFT JOIN channels c ON c.platform_id = m.forwarded_from_id WHERE m.forwarded_from_id IS NOT NULL GROUP BY ALL")
+@query(f"SELECT src AS forwarded_from_id, c.title, count(*) AS n, min(ts) AS first FROM {ONCE} m LEFT JOIN channels c ON c.platform_id = src WHERE src IS NOT NULL GROUP BY ALL")
 def forwarded_named(t: Tables) -> DataFrame:
     """Forward sources with their names, if known; counted before the names are looked up."""
-    n = t.messages.filter("forwarded_from_id is not null").groupBy("forwarded_from_id").agg(F.count(F.lit(1)).alias("n"), F.min("platform_timestamp").alias("first"))
+    n = once(t).filter("src is not null").groupBy(F.col("src").alias("forwarded_from_id")).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first"))
     c = t.channels.select(F.col("platform_id").alias("forwarded_from_id"), "title")
     return n.join(c, "forwarded_from_id", "left").select("forwarded_from_id", "title", "n", "first")
+
+
+@query("""SELECT concat_ws(',', '"' || id || '"', '"' || replace(coalesce(url, ''), '"', '""') || '"', '"' || replace(coalesce(domain, ''), '"', '""') || '"', '"' || replace(coalesce(username, ''), '"', '""') || '"', '"' || replace(coalesce(application, ''), '"', '""') || '"') AS line
+FROM (SELECT * FROM parsed_credentials WHERE (domain ILIKE 'shop%' OR username ILIKE 'shop%' OR email_domain ILIKE 'shop%') AND (coalesce(regexp_matches(url, '(?i)/(login|auth)'), false) OR coalesce(regexp_matches(application, '(?i)/(login|auth)'), false)) ORDER BY created_at DESC, id DESC LIMIT 50000)""")
+def export_records(t: Tables) -> DataFrame:
+    """Records by query with a wildcard, then by pattern, newest first up to the export's limit, as lines without a secret."""
+    return sinks.export_records(t.parsed_credentials, "shop*", r"/(login|auth)", ("url", "application"), ["id", "url", "domain", "username", "application"])

@@ -9,38 +9,79 @@ customer (channel) and orders (message).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from siltstone.operators.stats import bursts, daily, hours_between, late_lookup, monthly_pivot, percent, since, top_n, top_per_group
+from siltstone.operators.search import without_sources
+from siltstone.operators.stats import bursts, daily, hours_between, late_lookup, monthly_pivot, percent, preferred_estimate, since, top_n, top_per_group
 from siltstone.plans.registry import Registry, Tables
+from siltstone.sources.tables import row_statistics
 
 registry = Registry()
 query = registry.query
 NOW, N = "2017-03-31 00:00:00", 20
-TYPES = ("alder", "birch", "dogwood", "elm")
+TYPES = ("alder", "birch", "cedar", "dogwood", "elm")
 
 
 def n_rows():
     return F.count(F.lit(1))
 
 
-ONCE = "(SELECT conversation_id, platform_id, min(platform_timestamp) AS ts, bool_or(is_forwarded) AS fwd, max(forwarded_from_id) AS src FROM messages WHERE conversation_id IS NOT NULL AND platform_id IS NOT NULL GROUP BY 1, 2)"
+ONCE = "(SELECT conversation_id, platform_id, max(platform_timestamp) AS ts, bool_or(is_forwarded) AS fwd, max(forwarded_from_id) AS src FROM messages WHERE conversation_id IS NOT NULL AND platform_id IS NOT NULL GROUP BY 1, 2)"
+
+
+def once(t: Tables, days: int = 0, left_out: DataFrame | None = None) -> DataFrame:
+    """One row for each message, whatever its number of deliveries.
+
+    ``ts`` is the latest instant told, so messages of the last ``days`` days are
+    those with a delivery that tells one: the condition acts on the scan, before
+    anything is grouped.  Channels in ``left_out`` are dropped there as well.
+    """
+    m = since(t.messages, "platform_timestamp", NOW, days).filter("conversation_id is not null and platform_id is not null")
+    if left_out is not None:
+        m = without_sources(m, "conversation_id", left_out)
+    return m.groupBy("conversation_id", "platform_id").agg(F.max("platform_timestamp").alias("ts"), F.bool_or("is_forwarded").alias("fwd"), F.max("forwarded_from_id").alias("src"))
+
+
+def channel_messages(t: Tables, days: int = 0, left_out: DataFrame | None = None) -> DataFrame:
+    return t.channels.select(F.col("platform_id").alias("conversation_id"), "title").join(once(t, days, left_out), "conversation_id")
+
+
+#: Panels take a number of days (0 for all) and channels to leave out; each has queries of its own.
+PANEL_DAYS = (0, 7, 30, 90)
+LEFT_OUT = "SELECT platform_id FROM channels WHERE title ILIKE '%ledger%'"
 
 
-def once(t: Tables) -> DataFrame:
-    """One row for each message, whatever its number of deliveries."""
-    m = t.messages.filter("conversation_id is not null and platform_id is not null")
-    return m.groupBy("conversation_id", "platform_id").agg(F.min("platform_timestamp").alias("ts"), F.bool_or("is_forwarded").alias("fwd"), F.max("forwarded_from_id").alias("src"))
+def _left_out(t: Tables) -> DataFrame:
+    return t.channels.filter(F.col("title").ilike("%ledger%")).select("platform_id")
 
 
-def channel_messages(t: Tables) -> DataFrame:
-    return t.channels.select(F.col("platform_id").alias("conversation_id"), "title").join(once(t), "conversation_id")
+def once_sql(days: int, filtered: bool) -> str:
+    more = (f" AND platform_timestamp >= TIMESTAMP '{NOW}' - INTERVAL {days} DAY" if days else "") + (f" AND conversation_id NOT IN ({LEFT_OUT})" if filtered else "")
+    return ONCE.replace(" GROUP BY", more + " GROUP BY")
 
 
-@query(f"SELECT c.platform_id AS conversation_id, c.title, count(*) AS n FROM channels c JOIN {ONCE} m ON m.conversation_id = c.platform_id WHERE m.ts >= TIMESTAMP '{NOW}' - INTERVAL 30 DAY GROUP BY ALL ORDER BY n DESC, 1, 2 LIMIT {N}")
-def top_by_messages(t: Tables) -> DataFrame:
-    return top_n(since(channel_messages(t), "ts", NOW, 30), ["conversation_id", "title"], n_rows(), N)
+def panel(sql: str, default: int = 0):
+    """Registers a panel under its name with ``default`` days, with each other number of days, and with channels left out."""
+
+    def add(f):
+        for days, filtered in [(default, True), *[(d, False) for d in PANEL_DAYS]]:
+            name = f.__name__ + ("_some" if filtered else f"_{days}d" if days != default else "")
+            query(sql.replace("$ONCE", once_sql(days, filtered)), name)(lambda t, days=days, filtered=filtered: f(t, days, _left_out(t) if filtered else None))
+        return f
+
+    return add
+
+
+TOP = f"SELECT c.platform_id AS conversation_id, c.title, {{0}} AS n FROM channels c JOIN $ONCE m ON m.conversation_id = c.platform_id {{1}} GROUP BY ALL ORDER BY n DESC, 1, 2 LIMIT {N}"
+
+
+@panel(TOP.format("count(*)", ""), 30)
+def top_by_messages(t: Tables, days: int, left_out: DataFrame | None) -> DataFrame:
+    n = once(t, days, left_out).groupBy("conversation_id").agg(n_rows().alias("n"))
+    return t.channels.select(F.col("platform_id").alias("conversation_id"), "title").join(n, "conversation_id").orderBy(F.desc("n"), "conversation_id", "title").limit(N)
 
 
 def attached(t: Tables) -> DataFrame:
@@ -69,35 +110,36 @@ def top_by_records(t: Tables) -> DataFrame:
     return c.join(n, "conversation_id").orderBy(F.desc("n"), "conversation_id", "title").limit(N)
 
 
-@query(f"SELECT * FROM (SELECT src AS forwarded_from_id, count(*) AS n FROM {ONCE} m WHERE fwd GROUP BY 1 ORDER BY n DESC, 1 NULLS FIRST LIMIT {N}) WHERE forwarded_from_id IS NOT NULL")
-def forwarded_sources(t: Tables) -> DataFrame:
+@panel(f"SELECT * FROM (SELECT src AS forwarded_from_id, count(*) AS n FROM $ONCE m WHERE fwd GROUP BY 1 ORDER BY n DESC, 1 NULLS FIRST LIMIT {N}) WHERE forwarded_from_id IS NOT NULL")
+def forwarded_sources(t: Tables, days: int, left_out: DataFrame | None) -> DataFrame:
     """The limit comes before nulls are dropped, so one row fewer may come out."""
-    top = once(t).filter("fwd").groupBy(F.col("src").alias("forwarded_from_id")).agg(n_rows().alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("forwarded_from_id")).limit(N)
+    top = once(t, days, left_out).filter("fwd").groupBy(F.col("src").alias("forwarded_from_id")).agg(n_rows().alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("forwarded_from_id")).limit(N)
     return top.filter("forwarded_from_id is not null")
 
 
-@query(f"SELECT c.platform_id AS conversation_id, c.title, count(*) AS n FROM channels c JOIN {ONCE} m ON m.conversation_id = c.platform_id WHERE fwd GROUP BY ALL ORDER BY n DESC, 1, 2 LIMIT {N}")
-def forwarding_channels(t: Tables) -> DataFrame:
-    return top_n(channel_messages(t).filter("fwd"), ["conversation_id", "title"], n_rows(), N)
+@panel(TOP.format("count(*)", "WHERE fwd"))
+def forwarding_channels(t: Tables, days: int, left_out: DataFrame | None) -> DataFrame:
+    return top_n(channel_messages(t, days, left_out).filter("fwd"), ["conversation_id", "title"], n_rows(), N)
 
 
-@query(f"SELECT c.platform_id AS conversation_id, c.title, count(DISTINCT src) AS n FROM channels c JOIN {ONCE} m ON m.conversation_id = c.platform_id WHERE fwd GROUP BY ALL ORDER BY n DESC, 1, 2 LIMIT {N}")
-def diverse_sources(t: Tables) -> DataFrame:
-    return top_n(channel_messages(t).filter("fwd"), ["conversation_id", "title"], F.count_distinct("src"), N)
+@panel(TOP.format("count(DISTINCT src)", "WHERE fwd"))
+def diverse_sources(t: Tables, days: int, left_out: DataFrame | None) -> DataFrame:
+    return top_n(channel_messages(t, days, left_out).filter("fwd"), ["conversation_id", "title"], F.count_distinct("src"), N)
 
 
-@query(f"SELECT c.platform_id AS conversation_id, c.title, count(*) AS n FROM {ONCE} m JOIN channels c ON m.src = c.platform_id GROUP BY ALL ORDER BY n DESC, 1, 2 LIMIT {N}")
-def amplified_sources(t: Tables) -> DataFrame:
+@panel(f"SELECT c.platform_id AS conversation_id, c.title, count(*) AS n FROM $ONCE m JOIN channels c ON m.src = c.platform_id GROUP BY ALL ORDER BY n DESC, 1, 2 LIMIT {N}")
+def amplified_sources(t: Tables, days: int, left_out: DataFrame | None) -> DataFrame:
     c = t.channels.select(F.col("platform_id").alias("src"), "title")
-    return top_n(once(t).drop("conversation_id").join(c, "src").withColumnRenamed("src", "conversation_id"), ["conversation_id", "title"], n_rows(), N)
+    return top_n(once(t, days, left_out).drop("conversation_id").join(c, "src").withColumnRenamed("src", "conversation_id"), ["conversation_id", "title"], n_rows(), N)
 
 
 DAILY = "WITH d AS (SELECT CAST({1} AS DATE) AS day, count(*) AS n FROM {0} WHERE {1} IS NOT NULL GROUP BY 1 ORDER BY 1 DESC LIMIT {2}) SELECT day, n, CAST(floor(n * 100 / max(n) OVER ()) AS BIGINT) AS pct FROM d"
 
 
-@query(DAILY.format("messages", "platform_timestamp", 30))
-def daily_messages(t: Tables) -> DataFrame:
-    return daily(t.messages, "platform_timestamp")
+@panel(DAILY.format("$ONCE m", "ts", 30))
+def daily_messages(t: Tables, days: int, left_out: DataFrame | None) -> DataFrame:
+    """A message counts once, however often it was delivered."""
+    return daily(once(t, days, left_out), "ts")
 
 
 @query(DAILY.format("parsed_credentials", "created_at", 30))
@@ -110,11 +152,11 @@ def daily_14d(t: Tables) -> DataFrame:
     return since(t.parsed_credentials, "created_at", NOW, 14).groupBy(F.to_date("created_at").alias("day")).agg(n_rows().alias("n"))
 
 
-@query(f"""WITH x AS (SELECT conversation_id, src, count(*) AS n FROM {ONCE} m WHERE fwd AND src IS NOT NULL GROUP BY ALL ORDER BY n DESC, 1, 2 LIMIT {N})
+@panel(f"""WITH x AS (SELECT conversation_id, src, count(*) AS n FROM $ONCE m WHERE fwd AND src IS NOT NULL GROUP BY ALL ORDER BY n DESC, 1, 2 LIMIT {N})
 SELECT x.*, d.title AS to_title, s.title AS from_title FROM x LEFT JOIN channels d ON d.platform_id = x.conversation_id LEFT JOIN channels s ON s.platform_id = x.src""")
-def forwarding_matrix(t: Tables) -> DataFrame:
+def forwarding_matrix(t: Tables, days: int, left_out: DataFrame | None) -> DataFrame:
     """Edges by count; names are looked up for the short list only."""
-    top = top_n(once(t).filter("fwd and src is not null"), ["conversation_id", "src"], n_rows(), N)
+    top = top_n(once(t, days, left_out).filter("fwd and src is not null"), ["conversation_id", "src"], n_rows(), N)
     to, fr = t.channels.select(F.col("platform_id").alias("k1"), F.col("title").alias("to_title")), t.channels.select(F.col("platform_id").alias("k2"), F.col("title").alias("from_title"))
     named = late_lookup(top, to, F.col("k1") == F.col("conversation_id"))
     return late_lookup(named, fr, F.col("k2") == F.col("src")).select("conversation_id", "src", "n", "to_title", "from_title")
@@ -137,22 +179,36 @@ def chain(t: Tables) -> DataFrame:
     return with_artifact.join(job, (F.col("job") == F.col("l_suppkey")) & F.col("artifact").isNotNull(), "left")
 
 
-@query(f"""SELECT c_custkey, c_name, count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_orderkey * 10 + l_linenumber END) AS archives,
- count(DISTINCT CASE WHEN a_status = 'COMPLETED' THEN l_orderkey * 10 + l_linenumber END) AS downloaded, count(DISTINCT CASE WHEN j_status = 'COMPLETED' THEN l_orderkey * 10 + l_linenumber END) AS extracted,
+ONE = "l_orderkey || ':' || l_linenumber"
+
+
+def _attachments(t: Tables) -> DataFrame:
+    """One row for each attachment of the chain, with what became of it: the fan-out ends here, so plain sums follow."""
+    by = chain(t).groupBy("c_custkey", "c_name", "l_orderkey", "l_linenumber")
+    return by.agg(F.bool_or(F.col("l_returnflag") == "R").alias("archive"), F.bool_or(F.col("a_status").eqNullSafe("COMPLETED")).alias("downloaded"), F.bool_or(F.col("j_status").eqNullSafe("COMPLETED")).alias("extracted"))
+
+
+@query(f"""SELECT c_custkey, c_name, count(DISTINCT CASE WHEN l_returnflag = 'R' THEN {ONE} END) AS archives,
+ count(DISTINCT CASE WHEN a_status = 'COMPLETED' THEN {ONE} END) AS downloaded, count(DISTINCT CASE WHEN j_status = 'COMPLETED' THEN {ONE} END) AS extracted,
  CAST(CASE WHEN archives > 0 THEN floor(downloaded * 100 / archives) ELSE 0 END AS BIGINT) AS download_rate FROM {CHAIN} GROUP BY ALL ORDER BY archives DESC, c_custkey LIMIT {N}""")
 def archive_stats(t: Tables) -> DataFrame:
-    one = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    by = chain(t).groupBy("c_custkey", "c_name").agg(
-        F.count_distinct(F.when(F.col("l_returnflag") == "R", one)).alias("archives"), F.count_distinct(F.when(F.col("a_status") == "COMPLETED", one)).alias("downloaded"), F.count_distinct(F.when(F.col("j_status") == "COMPLETED", one)).alias("extracted")
-    )
+    by = _attachments(t).groupBy("c_custkey", "c_name").agg(F.count_if("archive").alias("archives"), F.count_if("downloaded").alias("downloaded"), F.count_if("extracted").alias("extracted"))
     return by.withColumn("download_rate", percent(F.col("downloaded"), F.col("archives"))).orderBy(F.desc("archives"), "c_custkey").limit(N)
 
 
-@query(f"""SELECT count(DISTINCT l_orderkey * 10 + l_linenumber) AS discovered, count(DISTINCT CASE WHEN a_status = 'COMPLETED' THEN l_orderkey * 10 + l_linenumber END) AS downloaded,
- count(DISTINCT CASE WHEN j_status = 'COMPLETED' THEN l_orderkey * 10 + l_linenumber END) AS extracted FROM {CHAIN}""")
+@query(f"""SELECT count(DISTINCT {ONE}) AS discovered, count(DISTINCT CASE WHEN a_status = 'COMPLETED' THEN {ONE} END) AS downloaded,
+ count(DISTINCT CASE WHEN j_status = 'COMPLETED' THEN {ONE} END) AS extracted FROM {CHAIN}""")
 def funnel(t: Tables) -> DataFrame:
-    one = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    return chain(t).agg(F.count_distinct(one).alias("discovered"), F.count_distinct(F.when(F.col("a_status") == "COMPLETED", one)).alias("downloaded"), F.count_distinct(F.when(F.col("j_status") == "COMPLETED", one)).alias("extracted"))
+    return _attachments(t).agg(n_rows().alias("discovered"), F.count_if("downloaded").alias("downloaded"), F.count_if("extracted").alias("extracted"))
+
+
+@query("SELECT coalesce(a_status, 'NONE') AS state, count(*) AS n, sum(size) AS pages FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS size FROM lineitem) JOIN orders ON o_orderkey = l_orderkey LEFT JOIN (SELECT p_partkey, CASE WHEN p_size <= 30 THEN 'COMPLETED' ELSE 'FAILED' END AS a_status FROM part WHERE p_size <= 40) ON p_partkey = l_partkey GROUP BY 1")
+def backlog(t: Tables) -> DataFrame:
+    """Attachments by the state of their artifact, those without one included."""
+    artifact = t.part.filter("p_size <= 40").select("p_partkey", F.when(F.col("p_size") <= 30, "COMPLETED").otherwise("FAILED").alias("a_status"))
+    l = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity").join(t.orders.select("o_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    by = l.join(artifact, F.col("p_partkey") == F.col("l_partkey"), "left").groupBy(F.coalesce("a_status", F.lit("NONE")).alias("state"))
+    return by.agg(n_rows().alias("n"), F.sum("l_quantity").alias("pages"))
 
 
 FIRST = "(SELECT sha256(text) AS h, min(platform_timestamp) AS t0, arg_min(conversation_id, (platform_timestamp, doc_id)) AS c0, count(*) AS k FROM documents WHERE text <> '' AND platform_timestamp IS NOT NULL GROUP BY 1)"
@@ -225,10 +281,10 @@ def top_types(t: Tables) -> DataFrame:
     return top_n(t.parsed_credentials.filter("stealer_type is not null"), ["stealer_type"], n_rows(), N)
 
 
-@query("""WITH d AS (SELECT conversation_id, CAST(platform_timestamp AS DATE) AS day, count(*) AS n FROM messages WHERE conversation_id IS NOT NULL AND platform_timestamp IS NOT NULL GROUP BY ALL)
+@panel("""WITH d AS (SELECT conversation_id, CAST(ts AS DATE) AS day, count(*) AS n FROM $ONCE m WHERE ts IS NOT NULL GROUP BY ALL)
 SELECT conversation_id, max(n) AS peak, round(avg(n), 2) AS mean, round(max(n) / avg(n), 2) AS ratio FROM d GROUP BY 1 HAVING max(n) >= 10 AND max(n) / avg(n) >= 1.2""")
-def bursty(t: Tables) -> DataFrame:
-    return bursts(t.messages, "conversation_id", "platform_timestamp", 1.2)
+def bursty(t: Tables, days: int, left_out: DataFrame | None) -> DataFrame:
+    return bursts(once(t, days, left_out), "conversation_id", "ts", 1.2)
 
 
 @query("SELECT upper(trim(country)) AS country, count(*) AS n FROM system_info WHERE country IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20")
@@ -265,11 +321,11 @@ def last_10m(t: Tables) -> DataFrame:
     return p.filter(F.col("created_at") >= latest - F.expr("interval 10 minutes")).agg(n_rows().alias("n"), F.max("created_at").alias("latest"))
 
 
-@query("SELECT s_suppkey, CAST(CASE WHEN greatest(coalesce(s_acctbal, 0), coalesce(s_nationkey, 0)) > 0 THEN greatest(coalesce(s_acctbal, 0), coalesce(s_nationkey, 0)) ELSE 0 END AS BIGINT) AS estimate FROM (SELECT s_suppkey, floor(s_acctbal) AS s_acctbal, s_nationkey FROM supplier)")
+@query(" UNION ALL ".join(f"SELECT '{x}' AS table_name, count(*) AS estimate FROM {x}" for x in COUNTED))
 def count_estimate(t: Tables) -> DataFrame:
-    """The greater of two statistics; missing and non-positive ones count as none."""
-    two = F.greatest(F.coalesce(F.floor("s_acctbal"), F.lit(0)), F.coalesce(F.col("s_nationkey").cast("long"), F.lit(0)))
-    return t.supplier.select("s_suppkey", F.greatest(two, F.lit(0)).cast("long").alias("estimate"))
+    """Rows of each table by its statistics: parquet footers, and the catalog's where a table was analysed."""
+    parts = [row_statistics(t.spark, t.folder, name) for name in COUNTED]
+    return reduce(DataFrame.unionByName, parts).select("table_name", preferred_estimate(F.col("counted"), F.col("analysed")).alias("estimate"))
 
 
 @query("SELECT extraction_job_id, count(*) AS n FROM parsed_credentials WHERE extraction_job_id IS NOT NULL GROUP BY 1")
@@ -309,7 +365,11 @@ def facets(t: Tables) -> DataFrame:
 
 @query("SELECT count(DISTINCT domain) AS domains, count(DISTINCT email_domain) AS email_domains, count(DISTINCT credential_hash) AS hashes, count(*) AS records FROM parsed_credentials")
 def distinct_totals(t: Tables) -> DataFrame:
-    return t.parsed_credentials.agg(F.count_distinct("domain").alias("domains"), F.count_distinct("email_domain").alias("email_domains"), F.count_distinct("credential_hash").alias("hashes"), n_rows().alias("records"))
+    # one scan of one column for each count: together they would expand every row threefold
+    p = t.parsed_credentials
+    parts = [p.agg(F.count_distinct(c).alias("n")).select(F.lit(name).alias("what"), "n") for name, c in (("domains", "domain"), ("email_domains", "email_domain"), ("hashes", "credential_hash"))]
+    parts.append(p.agg(n_rows().alias("n")).select(F.lit("records").alias("what"), "n"))
+    return reduce(DataFrame.unionByName, parts).agg(*[F.max(F.when(F.col("what") == name, F.col("n"))).alias(name) for name in ("domains", "email_domains", "hashes", "records")])
 
 
 @query("SELECT domain, count(*) AS n FROM parsed_credentials WHERE domain ILIKE '%hub%' GROUP BY 1 ORDER BY n DESC, 1 LIMIT 50")
@@ -336,7 +396,7 @@ def channel_by_type(t: Tables) -> DataFrame:
     return n.join(t.channels.select("platform_id", "title"), F.col("platform_id") == F.col("source_conversation_id")).groupBy("title", "stealer_type").agg(F.sum("n").alias("n"))
 
 
-@query("SELECT strftime(log_date, '%Y-%m') AS month, " + ", ".join(f"count(*) FILTER (stealer_type = '{k}') AS {k}" for k in TYPES) + ", " + " + ".join(TYPES) + " AS total FROM system_info WHERE log_date IS NOT NULL GROUP BY 1 ORDER BY 1 DESC LIMIT 12")
+@query("SELECT strftime(log_date, '%Y-%m') AS month, " + ", ".join(f"count(*) FILTER (stealer_type = '{k}') AS {k}" for k in TYPES) + f", count(*) FILTER (stealer_type NOT IN ({', '.join(repr(k) for k in TYPES)})) AS other, count(stealer_type) AS total FROM system_info WHERE log_date IS NOT NULL GROUP BY 1 ORDER BY 1 DESC LIMIT 12")
 def monthly_types(t: Tables) -> DataFrame:
     return monthly_pivot(t.system_info, "log_date", "stealer_type", TYPES)
 
@@ -346,9 +406,12 @@ def diagnostics_errors(t: Tables) -> DataFrame:
     return top_n(t.lineitem.filter("l_linestatus = 'F'").withColumnRenamed("l_returnflag", "code"), ["code"], n_rows(), 10)
 
 
-@query("SELECT conversation_id, count(*) AS backlog, max(delivered_at) AS latest FROM messages WHERE text IS NULL GROUP BY 1")
+@query("SELECT conversation_id, count(DISTINCT coalesce('m' || platform_id, 'd' || delivery_id)) AS backlog, max(delivered_at) AS latest FROM messages WHERE text IS NULL GROUP BY 1")
 def diagnostics_backlog(t: Tables) -> DataFrame:
-    return t.messages.filter("text is null").groupBy("conversation_id").agg(n_rows().alias("backlog"), F.max("delivered_at").alias("latest"))
+    """Messages without a text; of one delivered several times only one counts, one without a number counts by itself."""
+    message = F.coalesce(F.concat(F.lit("m"), F.col("platform_id").cast("string")), F.concat(F.lit("d"), F.col("delivery_id").cast("string")))
+    one = t.messages.filter("text is null").groupBy("conversation_id", message.alias("m")).agg(F.max("delivered_at").alias("latest"))
+    return one.groupBy("conversation_id").agg(n_rows().alias("backlog"), F.max("latest").alias("latest"))
 
 
 @query("SELECT coalesce(sum(CASE WHEN is_member THEN 1 ELSE 0 END), 0) AS members, coalesce(sum(CASE WHEN is_accessible THEN 1 ELSE 0 END), 0) AS accessible, coalesce(sum(member_count), 0) AS people, count(*) AS channels FROM channels")
@@ -408,12 +471,42 @@ def multi_token_division(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", tags.alias("token")).groupBy("doc_id").agg(F.count_distinct("token").alias("k")).filter(F.col("k") == len(TOKENS)).select("doc_id")
 
 
-@query("SELECT o.o_orderkey, min(CASE WHEN l_returnflag = 'R' THEN 0 WHEN l_returnflag = 'A' THEN 1 ELSE 2 END) AS priority, count(*) FILTER (l_linestatus = 'O') AS pending FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY 1 HAVING pending > 0 AND count(*) FILTER (l_linestatus = 'F') > 0 ORDER BY priority, pending, 1 LIMIT 50")
+GROUPS = "(SELECT l_orderkey AS k, min(CASE WHEN l_returnflag = 'R' THEN 0 WHEN l_returnflag = 'A' THEN 1 ELSE 2 END) AS priority, count(*) FILTER (l_linestatus = 'O') AS pending, count(*) FILTER (l_linestatus = 'F') AS done, max(l_shipdate) AS latest FROM lineitem GROUP BY 1)"
+STALE_BEFORE = "1996-01-01"
+
+
+def _work(t: Tables) -> DataFrame:
+    rank = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
+    by = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min(rank).alias("priority"), F.count_if(F.col("l_linestatus") == "O").alias("pending"), F.count_if(F.col("l_linestatus") == "F").alias("done"), F.max("l_shipdate").alias("latest"))
+    return t.orders.select("o_orderkey").join(by.filter("pending > 0"), "o_orderkey")
+
+
+@query(f"SELECT o_orderkey, priority, pending FROM orders JOIN {GROUPS} ON k = o_orderkey WHERE pending > 0 AND done > 0 ORDER BY priority, pending, 1 LIMIT 50")
 def ready_order(t: Tables) -> DataFrame:
     """Work to pick next: partly done groups by best priority, then fewest pending."""
-    rank = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
-    l = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min(rank).alias("priority"), F.count_if(F.col("l_linestatus") == "O").alias("pending"), F.count_if(F.col("l_linestatus") == "F").alias("done"))
-    return t.orders.select("o_orderkey").join(l.filter("pending > 0 and done > 0"), "o_orderkey").select("o_orderkey", "priority", "pending").orderBy("priority", "pending", "o_orderkey").limit(50)
+    return _work(t).filter("done > 0").select("o_orderkey", "priority", "pending").orderBy("priority", "pending", "o_orderkey").limit(50)
+
+
+@query(f"""SELECT way, o_orderkey FROM (SELECT * FROM (SELECT 0 AS way, o_orderkey, priority, pending, latest FROM orders JOIN {GROUPS} ON k = o_orderkey WHERE pending > 0 AND done > 0
+ UNION ALL SELECT 1, o_orderkey, priority, pending, latest FROM orders JOIN {GROUPS} ON k = o_orderkey WHERE pending > 0 AND done = 0 AND latest >= TIMESTAMP '{STALE_BEFORE}')
+ ORDER BY way, priority, CASE WHEN way = 0 THEN pending ELSE -epoch_us(latest) END, o_orderkey LIMIT 1)""")
+def next_work(t: Tables) -> DataFrame:
+    """The one group to work on next.
+
+    A partly done group by priority, then fewest pending; if there is none, an
+    untouched one by priority, then newest, unless it is stale.
+    """
+    w = _work(t)
+    fallback = w.filter((F.col("done") == 0) & (F.col("latest") >= F.lit(STALE_BEFORE).cast("timestamp"))).select(F.lit(1).alias("way"), "o_orderkey", "priority", (-F.unix_micros("latest")).alias("then"))
+    first = w.filter("done > 0").select(F.lit(0).alias("way"), "o_orderkey", "priority", F.col("pending").alias("then"))
+    return first.unionByName(fallback).orderBy("way", "priority", "then", "o_orderkey").limit(1).select("way", "o_orderkey")
+
+
+@query(f"""SELECT o_orderkey, priority FROM orders JOIN {GROUPS} ON k = o_orderkey WHERE pending > 0 AND done = 0 AND latest >= TIMESTAMP '{STALE_BEFORE}' ORDER BY priority, latest DESC, 1 LIMIT 50""")
+def fallback_order(t: Tables) -> DataFrame:
+    """Untouched groups that are not stale, by priority, then newest."""
+    w = _work(t).filter((F.col("done") == 0) & (F.col("latest") >= F.lit(STALE_BEFORE).cast("timestamp")))
+    return w.orderBy("priority", F.desc("latest"), "o_orderkey").limit(50).select("o_orderkey", "priority")
 
 
 @query("""WITH x AS (SELECT l_orderkey, l_partkey, bool_or(l_linestatus = 'F') OVER (PARTITION BY l_orderkey, l_suppkey) AS twin_done, l_linestatus, l_returnflag FROM lineitem)

@@ -51,12 +51,13 @@ def counts_and_quantiles(rows: DataFrame, keys: tuple[str, ...], value: str, per
             at = off.withColumns({"prefix": F.shiftright("d", shift + DIGIT_BITS) if level else F.lit(0).cast("long"), "digit": F.shiftright("d", shift).bitwiseAND(F.lit((1 << DIGIT_BITS) - 1))})
             on = ["field", "key_value", "prefix"]
             if level:
-                at = at.join(state.select(*on).distinct(), on, "left_semi")
+                # the wanted prefixes grow with the keys, so they are merged, never broadcast
+                at = at.join(state.select(*on).distinct().hint("merge"), on, "left_semi")
             bins = at.groupBy(*on, "digit").agg(F.sum("c").alias("c"))
             upto = F.sum("c").over(Window.partitionBy(*on).orderBy("digit"))
             cum = bins.withColumn("upto", upto)
             state = (
-                state.join(cum, on)
+                state.hint("merge").join(cum, on)
                 .filter((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("c")))
                 .select("field", "key_value", "percent", (F.col("rank") - (F.col("upto") - F.col("c"))).alias("rank"), (F.shiftleft("prefix", DIGIT_BITS) + F.col("digit")).alias("prefix"))
             )
@@ -66,4 +67,4 @@ def counts_and_quantiles(rows: DataFrame, keys: tuple[str, ...], value: str, per
         state = state.withColumn("value", F.lit(None).cast("long"))
     found = state.groupBy("field", "key_value").agg(*[F.max(F.when(F.col("percent") == p, F.col("value"))).alias(f"q{p}") for p in percents])
     # total has one row for each key column, so its size is fixed by the call
-    return sizes.filter("key_value is not null").join(F.broadcast(total), "field").join(found, ["field", "key_value"], "left").select("field", "key_value", "n", "total", *[f"q{p}" for p in percents])
+    return sizes.filter("key_value is not null").join(F.broadcast(total), "field").join(found.hint("merge"), ["field", "key_value"], "left").select("field", "key_value", "n", "total", *[f"q{p}" for p in percents])

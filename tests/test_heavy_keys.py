@@ -30,3 +30,11 @@ def test_edges(spark):
     assert [(x["key_value"], x["n"], x["q50"]) for x in r] == [("a", 1, None)]
     one = spark.createDataFrame([("a", 3, "x", 1)] * 4, "key string, v long, field string, c int")
     assert counts_and_quantiles(one, ("key",), "v").first()["q90"] == 3
+
+
+def test_nothing_that_grows_is_broadcast(spark, small):
+    """The one broadcast is the total of each key column."""
+    from siltstone.plans import feed_problems
+
+    plan = feed_problems.queries()["p6_quantiles"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") == 1 and "SortMergeJoin" in plan

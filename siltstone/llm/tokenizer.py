@@ -18,7 +18,9 @@ of any length are encoded whole.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+import hashlib
+import os
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -29,19 +31,33 @@ from pyspark.sql import DataFrame
 from siltstone.session import ship
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: A larger vocabulary file is refused instead of being sent to every task.
+VOCABULARY_BYTES = 64 << 20
 #: Fixed value: the pretoken pattern of the byte-level vocabulary.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE_LIMIT, CACHED_LENGTH = 400_000, 64
 _NONE = 1 << 60
 
 
+def read_vocabulary(path: str = VOCABULARY) -> bytes:
+    """The vocabulary's file, which the driver alone needs to reach."""
+    if os.path.getsize(path) > VOCABULARY_BYTES:
+        raise ValueError(f"{path} has more than {VOCABULARY_BYTES} bytes")
+    with open(path, "rb") as f:
+        return f.read()
+
+
+def ranks_of(vocabulary: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in vocabulary.splitlines() if line.strip())}
+
+
 @lru_cache(maxsize=2)
 def load_ranks(path: str = VOCABULARY) -> dict[bytes, int]:
-    with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+    return ranks_of(read_vocabulary(path))
 
 
-FAN = 16
+#: Nodes below a node of the tree.
+FAN = 8
 
 
 class PairTree:
@@ -86,9 +102,8 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     get = ranks.get
     leaves = [_NONE if (r := get(piece[i : i + 2])) is None else r << 32 | i for i in range(n - 1)]
     tree = PairTree(leaves)
-    # with one level the leaves are the top, and an update is an assignment
-    put, root = (leaves.__setitem__, None) if len(tree.levels) == 1 else (tree.set, tree.root)
-    while (low := min(leaves) if root is None else root()) != _NONE:
+    put, root = tree.set, tree.root
+    while (low := root()) != _NONE:
         i = low & 0xFFFFFFFF
         j = after[i]
         parts[i] += parts[j]
@@ -112,10 +127,10 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Encoder:
     """Encodes texts by one vocabulary, remembering pretokens."""
 
-    def __init__(self, path: str = VOCABULARY):
+    def __init__(self, vocabulary: bytes):
         import regex
 
-        self.ranks, self.cut, self.known = load_ranks(path), regex.compile(PATTERN).findall, {}
+        self.ranks, self.cut, self.known = ranks_of(vocabulary), regex.compile(PATTERN).findall, {}
 
     def _learn(self, piece: str) -> list[int]:
         ids = merge(piece.encode("utf-8", "replace"), self.ranks)
@@ -135,15 +150,16 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str = VOCABULARY) -> Encoder:
+def encoder(vocabulary: bytes) -> Encoder:
     """The worker's encoder of a vocabulary, kept between batches and tasks."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    name = hashlib.sha256(vocabulary).hexdigest()
+    if name not in _encoders:
+        _encoders[name] = Encoder(vocabulary)
+    return _encoders[name]
 
 
-def _encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    enc = encoder(path)
+def _encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: Callable[[], bytes]) -> Iterator[pa.RecordBatch]:
+    enc = encoder(vocabulary())
     for batch in batches:
         ids = [enc.encode(t) for t in batch.column(1).to_pylist()]
         offsets = np.zeros(len(ids) + 1, dtype=np.int32)
@@ -153,8 +169,12 @@ def _encode_batches(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa
 
 
 def encode_table(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
-    """(doc_id, ids) for each row: one pass, no shuffle."""
+    """(doc_id, ids) for each row: one pass, no shuffle.
+
+    ``vocabulary`` is a file the driver reads; the tasks receive its content.
+    """
     ship(docs.sparkSession)
     kind = docs.schema[id_column].dataType.simpleString()
-    out = docs.select(docs[id_column].alias("key"), docs[text_column]).mapInArrow(lambda b: _encode_batches(b, vocabulary), f"key {kind}, ids array<int>")
+    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    out = docs.select(docs[id_column].alias("key"), docs[text_column]).mapInArrow(lambda b: _encode_batches(b, lambda: shared.value), f"key {kind}, ids array<int>")
     return out.withColumnRenamed("key", id_column)

@@ -27,7 +27,7 @@ The stored tables are bucketed by the column they are joined on, so a batch
 never shuffles the history; it shuffles its own look-ups.  Each is read in the
 scan of one join, and its texts for candidates alone.
 
-Entries carry a parity bit for each of 64 classes of characters; an edit
+Entries carry a parity bit for each of 40 classes of characters; an edit
 changes at most two of them, so pairs that differ in more than six are dropped
 before the texts are fetched and verified by a banded edit distance.  Every
 hash only routes; what counts was compared as text.
@@ -41,6 +41,7 @@ entry; an empty batch or history gives no case; further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -53,8 +54,6 @@ TAU = 3
 HOT_LEAST, LEVELS = 128, 8
 #: Characters spread at a time; bounds the memory of a task.
 LOT_CHARS = 120_000
-#: Texts from this length on are not refined further, as their places would not fit the packed state.
-UNREFINED = 1 << 24
 _N = TAU + 1
 _U = np.uint64
 _BASE = 0xD6E8FEB86659FD93
@@ -107,64 +106,95 @@ class _Lot:
 
     def signatures(self) -> np.ndarray:
         """A bit for each class of characters that occurs an odd number of times; ASCII letters and digits have a class each."""
-        cls = np.where((self.flat >= 97) & (self.flat < 123), self.flat - 97, np.where((self.flat >= 48) & (self.flat < 58), self.flat - 22, 36 + self.flat % 28)).astype(np.uint64)
+        cls = np.where((self.flat >= 97) & (self.flat < 123), self.flat - 97, np.where((self.flat >= 48) & (self.flat < 58), self.flat - 22, 36 + self.flat % 4)).astype(np.uint64)
         running = np.zeros(len(self.flat) + 1, dtype=np.uint64)
         np.bitwise_xor.accumulate(_U(1) << cls, out=running[1:])
         return running[self.offsets + self.lengths] ^ running[self.offsets]
 
 
-#: What a key leaves open: the region of the stored text at ``rs``, ``rl`` long, with ``errs`` edits
-#: at most; in the looking text it begins ``off`` later and is ``change`` longer.  Packed in 62 bits.
-def _pack(rs: np.ndarray, rl: np.ndarray, errs: np.ndarray, change: np.ndarray, off: np.ndarray) -> np.ndarray:
-    return (rs << 38) | (rl << 14) | (errs << 12) | ((change + 16) << 6) | (off + 32)
+class _State(NamedTuple):
+    """What a key leaves open: a region of the stored text at ``rs``, ``rl`` long, with ``errs`` edits at most.
 
+    In the looking text it begins ``off`` later and is ``change`` longer.  ``at``
+    and ``n`` are the place and length of the key's own substring there.
+    """
 
-def _unpack(state: np.ndarray) -> tuple[np.ndarray, ...]:
-    return state >> 38, (state >> 14) & (UNREFINED - 1), (state >> 12) & 3, ((state >> 6) & 63) - 16, (state & 63) - 32
-
+    at: np.ndarray
+    n: np.ndarray
+    rs: np.ndarray
+    rl: np.ndarray
+    errs: np.ndarray
+    change: np.ndarray
+    off: np.ndarray
 
-#: State of entries that leave nothing open, of which SQL needs to know.
-IS_OPEN = "(state >> 14) & 16777215 > 0"
+    def take(self, where) -> _State:
+        return _State(*[np.broadcast_to(x, np.broadcast_shapes(*[y.shape for y in self]))[where] for x in self])
 
 
-def _segments(lot: _Lot, ways: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, key, state) of the segments of each text, or of the substrings it looks up."""
-    j, delta, s = (ways[:, k : k + 1] for k in range(3))
-    size = lot.lengths[None, :] - delta
+def _segment_state(lengths: np.ndarray, j: np.ndarray, delta: np.ndarray, s: np.ndarray) -> _State:
+    """Segment j of stored texts ``delta`` shorter than these lengths, shifted by s."""
+    size = lengths - delta
     head = size * 2 // 5
     base, more = (size - head) // _N, (size - head) % _N
     own = base + (j + more > _N)
     first, last = j == 1, j == _N
     start = np.where(first, 0, head + (j - 1) * base + np.maximum(0, j - 1 - _N + more))
     n = np.where(first, head + own, own)
-    at, end = start + s, start + n
-    way, text = np.nonzero((size >= 0) & (at >= 0) & (at + n <= lot.lengths[None, :]))
-    j, delta, s = (x[way, 0] for x in (j, delta, s))
-    size, start, n, at, end = (x[way, text] for x in (size, start, n, at, end))
-    key = _mixed(_mixed(lot.hashes(lot.offsets[text] + at, n)) + _U(0x9E3779B97F4A7C15) * (size * 8 + j).astype(np.uint64))
-    last = j == _N
-    rl = np.where(size < UNREFINED, np.where(last, start, size - end), 0)
-    rs = np.where(last | (size >= UNREFINED), 0, end)
-    state = _pack(rs, rl, np.where(last, TAU, _N - j), np.where(last, s, delta - s), np.where(last, 0, s))
-    return text, key >> _U(16), state
-
-
-def _refined(lot: _Lot, text: np.ndarray, key: np.ndarray, state: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, state) of each piece of the open regions of rows (text, key, state)."""
-    i, t = pieces[:, :1], pieces[:, 1:]
-    rs, rl, errs, change, off = (x[None, :] for x in _unpack(state))
-    k = errs + 1
-    ps, pe = rl * (i - 1) // k, rl * i // k
-    at, n = rs + off + ps + t, pe - ps
-    fits = (i <= k) & (np.abs(t) <= i - 1) & (np.abs(change - t) <= k - i) & (at >= 0) & (at + n <= lot.lengths[text][None, :])
-    which, row = np.nonzero(fits)
-    i, t = i[which, 0], t[which, 0]
-    at, n, ps, pe = (x[which, row] for x in (at, n, ps, pe))
-    rs, rl, k, change, off = (x[0, row] for x in (rs, rl, k, change, off))
-    new = _mixed(_mixed(lot.hashes(lot.offsets[text[row]] + at, n)) + _U(0x9E3779B97F4A7C15) * _mixed(key[row] * _U(8) + i.astype(np.uint64)))
+    end = start + n
+    return _State(start + s, n, np.where(last, 0, end), np.where(last, start, size - end), np.where(last, TAU, _N - j), np.where(last, s, delta - s), np.where(last, 0, s))
+
+
+def _piece_state(of: _State, i: np.ndarray, t: np.ndarray) -> tuple[_State, np.ndarray]:
+    """Piece i, shifted by t, of the open regions; and whether the rule allows it."""
+    k = of.errs + 1
+    ps, pe = of.rl * (i - 1) // k, of.rl * i // k
     last = i == k
-    state = _pack(np.where(last, rs, rs + pe), np.where(last, ps, rl - pe), np.where(last, i - 1, k - i), np.where(last, t, change - t), np.where(last, off, off + t))
-    return row, new >> _U(16), state
+    state = _State(of.rs + of.off + ps + t, pe - ps, np.where(last, of.rs, of.rs + pe), np.where(last, ps, of.rl - pe), np.where(last, i - 1, k - i), np.where(last, t, of.change - t), np.where(last, of.off, of.off + t))
+    return state, (i <= k) & (np.abs(t) <= i - 1) & (np.abs(of.change - t) <= k - i)
+
+
+#: A path tells how a key came about: the way of its segment in the lowest bits, then a piece, plus one, for each refinement.
+#: That of a key that leaves nothing open is stored as its complement.
+WAY_BITS, PIECE_BITS = 6, 5
+IS_OPEN = "path >= 0"
+
+
+def _inside(lot: _Lot, text: np.ndarray, state: _State) -> np.ndarray:
+    return (state.at >= 0) & (state.at + state.n <= lot.lengths[text])
+
+
+def _segments(lot: _Lot, ways: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, key, path) of the segments of each text, or of the substrings it looks up."""
+    j, delta, s = (ways[:, k : k + 1] for k in range(3))
+    lengths = lot.lengths[None, :]
+    grid = _segment_state(lengths, j, delta, s)
+    way, text = np.nonzero((lengths >= delta) & _inside(lot, np.arange(len(lot.lengths))[None, :], grid))
+    state = grid.take((way, text))
+    size = lot.lengths[text] - delta[way, 0]
+    key = _mixed(_mixed(lot.hashes(lot.offsets[text] + state.at, state.n)) + _U(0x9E3779B97F4A7C15) * (size * 8 + j[way, 0]).astype(np.uint64))
+    return text, key >> _U(16), np.where(state.rl > 0, way, ~way)
+
+
+def _refined(lot: _Lot, key: np.ndarray, path: np.ndarray, ways: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, key, path) of each piece of what the keys leave open, text by text."""
+    way = path & ((1 << WAY_BITS) - 1)
+    state = _segment_state(lot.lengths, *(ways[way, k] for k in range(3)))
+    depth = WAY_BITS
+    while True:
+        piece = (path >> depth) & ((1 << PIECE_BITS) - 1)
+        if not piece.any():
+            break
+        # all rows of a level have the same number of pieces
+        state, _ = _piece_state(state, pieces[piece - 1, 0], pieces[piece - 1, 1])
+        depth += PIECE_BITS
+    i, t = pieces[:, :1], pieces[:, 1:]
+    grid, allowed = _piece_state(_State(*[x[None, :] for x in state]), i, t)
+    rows = np.arange(len(key))[None, :]
+    which, row = np.nonzero(allowed & _inside(lot, rows, grid) & (state.rl > 0)[None, :])
+    own = grid.take((which, row))
+    new = _mixed(_mixed(lot.hashes(lot.offsets[row] + own.at, own.n)) + _U(0x9E3779B97F4A7C15) * _mixed(key[row] * _U(8) + i[which, 0].astype(np.uint64)))
+    longer = path[row] | ((which + 1) << depth)
+    return row, new >> _U(16), np.where(own.rl > 0, longer, ~longer)
 
 
 def _lots(texts: list[str]) -> Iterator[slice]:
@@ -178,20 +208,20 @@ def _lots(texts: list[str]) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
-SPREAD = "key long, ref long, sig long, state long"
+SPREAD = "key long, ref long, sig long, path long"
 
 
-def _rows(key: np.ndarray, ref: np.ndarray, sig: np.ndarray, state: np.ndarray, only: Callable[[np.ndarray], np.ndarray] | None) -> pa.RecordBatch:
+def _rows(key: np.ndarray, ref: np.ndarray, sig: np.ndarray, path: np.ndarray, only: Callable[[np.ndarray], np.ndarray] | None) -> pa.RecordBatch:
     key = key.view(np.int64)
-    columns = [key, ref, sig.view(np.int64), state]
+    columns = [key, ref, sig.view(np.int64), path]
     if only is not None:
         keep = only(key)
         columns = [c[keep] for c in columns]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ref", "sig", "state"])
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "ref", "sig", "path"])
 
 
 def _spread(texts: DataFrame, ref: str, probe: bool, only: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """(key, ref, sig, state) of each text of (ref, text) rows."""
+    """(key, ref, sig, path) of each text of (ref, text) rows."""
     ways = LOOKED_UP if probe else STORED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,25 +229,26 @@ def _spread(texts: DataFrame, ref: str, probe: bool, only: Callable[[np.ndarray]
             refs, held = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             for part in _lots(held):
                 lot = _Lot(held[part])
-                text, key, state = _segments(lot, ways)
-                yield _rows(key, refs[part][text], lot.signatures()[text], state, only)
+                text, key, path = _segments(lot, ways)
+                yield _rows(key, refs[part][text], lot.signatures()[text], path, only)
 
     return texts.select(ref, "text").mapInArrow(run, SPREAD)
 
 
 def _finer(rows: DataFrame, probe: bool, only: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
-    """(key, ref, sig, state) of the pieces of (ref, text, key, state) rows."""
+    """(key, ref, sig, path) of the pieces of (ref, text, key, path) rows of one level."""
+    ways = LOOKED_UP if probe else STORED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             refs, held = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
-            keys, states = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64), batch.column(3).to_numpy(zero_copy_only=False)
+            keys, paths = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64), batch.column(3).to_numpy(zero_copy_only=False)
             for part in _lots(held):
                 lot = _Lot(held[part])
-                row, key, state = _refined(lot, np.arange(part.stop - part.start), keys[part], states[part], PIECES[probe])
-                yield _rows(key, refs[part][row], lot.signatures()[row], state, only)
+                row, key, path = _refined(lot, keys[part], paths[part], ways, PIECES[probe])
+                yield _rows(key, refs[part][row], lot.signatures()[row], path, only)
 
-    return rows.select("ref", "text", "key", "state").mapInArrow(run, SPREAD)
+    return rows.select("ref", "text", "key", "path").mapInArrow(run, SPREAD)
 
 
 def distinct_texts(rows: DataFrame) -> DataFrame:
@@ -235,13 +266,13 @@ class SegmentIndex:
     def __init__(self, spark: SparkSession, buckets: int | None = None, least: int | None = None):
         ship(spark)
         self.spark, self.least, self.buckets = spark, HOT_LEAST if least is None else least, buckets or shuffle_width(spark)
-        self.entries = Buckets(spark, "segments", "key", self.buckets)
-        self.marks = Buckets(spark, "marks", "key", self.buckets)
+        #: By level: segments, then what their hot keys were refined to, and so on.
+        self.entries = [Buckets(spark, f"segments_{k}", "key", self.buckets) for k in range(LEVELS)]
+        self.marks = [Buckets(spark, f"marks_{k}", "key", self.buckets) for k in range(LEVELS)]
         self.texts = Buckets(spark, "texts", "h", self.buckets)
         self.hashes = Buckets(spark, "hashes", "hash", self.buckets)
         #: For each level the keys that hold more than 1 in 2 buckets of an append.
         self.heavy: list[set[int]] = [set() for _ in range(LEVELS)]
-        self.depth = 0
 
     def add(self, rows: DataFrame) -> DataFrame:
         """Look (id, batch, hash, text) rows up, append them, and tell (id, exact, since) of each repeat.
@@ -278,57 +309,59 @@ class SegmentIndex:
     def _append(self, fresh: DataFrame) -> None:
         """Store the segments of (h, text) rows, as fine as the hot ones among them ask."""
         wide = materialise(_spread(fresh, "h", False), "level-0")
-        for level in range(LEVELS):
-            hot = None
-            if level < LEVELS - 1:
-                hot = materialise(wide.groupBy("key").count().filter(F.col("count") > self.least), f"hot-{level}")
-                n = wide.count()
-                heavy = hot.filter(F.col("count") > F.lit(n / (2 * self.buckets))).select("key").collect()  # at most two for each bucket
-                self.heavy[level] |= {r[0] for r in heavy}
-                if not hot.limit(1).count():
-                    hot = None
-            if hot is None:
-                self.entries.append(wide)
-                self.depth = max(self.depth, level + 1)
-                discard(wide)
-                return
+        for entries, marks, heavy in zip(self.entries, self.marks, self.heavy):
+            n = wide.count()
+            if not n:
+                break
+            hot = materialise(wide.groupBy("key").count().filter(F.col("count") > self.least), "hot")
+            found = hot.filter(F.col("count") > F.lit(n / (2 * self.buckets))).select("key").collect()  # at most two for each bucket
+            heavy |= {r[0] for r in found}
+            if entries is self.entries[-1] or not hot.limit(1).count():
+                entries.append(wide)
+                break
             marked = wide.join(hot.select("key", F.lit(True).alias("hot")), "key", "left")
             # a key is marked once, however often it is hot
-            new = materialise(hot.select("key").join(self.marks.read(), "key", "left_anti"), "new-marks") if self.marks.written else hot.select("key")
-            marks = new.select("key", F.lit(None).cast("long").alias("ref"), F.lit(None).cast("long").alias("sig"), F.lit(0).cast("long").alias("state"))
-            self.entries.append(marked.filter(f"hot is null or not ({IS_OPEN})").drop("hot").select(wide.columns).unionByName(marks))
-            self.marks.append(new)
-            open_ = wide.filter(IS_OPEN).join(hot.select("key"), "key", "left_semi").withColumnRenamed("ref", "h").select("h", "key", "state")
-            with_text = open_.join(fresh.select("h", "text"), "h").select(F.col("h").alias("ref"), "text", "key", "state")
-            finer = materialise(_finer(with_text, False), f"level-{level + 1}")
+            new = materialise(hot.select("key").join(marks.read(), "key", "left_anti"), "new-marks") if marks.written else hot.select("key")
+            none = F.lit(None).cast("long")
+            stored = marked.filter(f"hot is null or not ({IS_OPEN})").drop("hot").select(wide.columns)
+            entries.append(stored.unionByName(new.select("key", none.alias("ref"), none.alias("sig"), F.lit(0).cast("long").alias("path"))))
+            marks.append(new)
+            open_ = wide.filter(IS_OPEN).join(hot.select("key"), "key", "left_semi").withColumnRenamed("ref", "h").select("h", "key", "path")
+            with_text = open_.join(fresh.select("h", "text"), "h").select(F.col("h").alias("ref"), "text", "key", "path")
+            finer = materialise(_finer(with_text, False), "finer")
             discard(wide, hot)
             wide = finer
+        discard(wide)
 
     def _near(self, fresh: DataFrame) -> DataFrame:
         """(tid, near): the first batch of any stored text at most TAU edits from each of (tid, text) rows."""
         pairs, tables = None, []
         spread: Callable[..., DataFrame] = lambda only=None: _spread(fresh, "tid", True, only)
-        for level in range(self.depth):
-            met = materialise(self._met(spread, self.heavy[level]), f"met-{level}")
+        for entries, heavy in zip(self.entries, self.heavy):
+            if not entries.written:
+                break
+            met = materialise(self._met(spread, entries, heavy), "met")
             found = met.filter("h is not null").select("h", "tid")
             pairs = found if pairs is None else pairs.unionByName(found)
             tables.append(met)
-            marks = met.filter("h is null").select("tid", "key", "state").join(fresh.select("tid", "text"), "tid").select(F.col("tid").alias("ref"), "text", "key", "state")
+            marks = met.filter("h is null").select("tid", "key", "path").join(fresh.select("tid", "text"), "tid").select(F.col("tid").alias("ref"), "text", "key", "path")
             spread = lambda only=None, marks=marks: _finer(marks, True, only)
+        if pairs is None:
+            return fresh.select("tid", F.col("since").alias("near")).limit(0)
         stored = self.texts.read().select("h", F.col("text").alias("text_a"), F.col("since").alias("near"))
         both = pairs.distinct().join(stored, "h").join(fresh.select("tid", "text", "since"), "tid").filter("near < since")
         near = materialise(both.filter(F.levenshtein("text_a", "text", TAU) >= 0).groupBy("tid").agg(F.min("near").alias("near")), "near")
         discard(*tables)
         return near
 
-    def _met(self, spread: Callable[..., DataFrame], heavy: set[int]) -> DataFrame:
-        """(tid, key, state, h): look-ups that meet a stored entry of like characters, or a mark (h null)."""
-        stored = self.entries.read().select("key", F.col("ref").alias("h"), F.col("sig").alias("sig_a"))
+    def _met(self, spread: Callable[..., DataFrame], entries: Buckets, heavy: set[int]) -> DataFrame:
+        """(tid, key, path, h): look-ups that meet a stored entry of like characters, or a mark (h null)."""
+        stored = entries.read().select("key", F.col("ref").alias("h"), F.col("sig").alias("sig_a"))
 
         def join(probes: DataFrame, entries: DataFrame) -> DataFrame:
             both = probes.join(entries, "key")
             like = F.bit_count(F.col("sig_a").bitwiseXOR(F.col("sig"))) <= 2 * TAU
-            return both.filter((F.col("h").isNull() & F.expr(IS_OPEN)) | like).select(F.col("ref").alias("tid"), "key", "state", "h")
+            return both.filter((F.col("h").isNull() & F.expr(IS_OPEN)) | like).select(F.col("ref").alias("tid"), "key", "path", "h")
 
         if not heavy:
             return join(spread(), stored)
@@ -337,7 +370,7 @@ class SegmentIndex:
         return join(spread(lambda k: ~np.isin(k, keys)), stored).unionByName(join(spread(lambda k: np.isin(k, keys)), few))
 
     def drop(self) -> None:
-        for t in (self.entries, self.marks, self.texts, self.hashes):
+        for t in (*self.entries, *self.marks, self.texts, self.hashes):
             t.drop()
 
 

@@ -12,7 +12,7 @@ from siltstone.plans import feed_problems, function_queries, pipeline
 from siltstone.plans.registry import Registry, Tables
 from siltstone.plans.search_queries import HIT, ITEM_SQL, RECORDS, SOFT, watch_items
 from siltstone.plans.stats_queries import once
-from siltstone.session import workspace
+from siltstone.session import materialise, workspace
 from siltstone.sources import files, sinks
 from siltstone.streaming import feeds
 
@@ -50,11 +50,69 @@ def parse_blocks(t: Tables) -> DataFrame:
     return records.parse_texts(o, "o_orderkey", "x").drop("digest")
 
 
-@query()
+@query("SELECT o_orderkey, 'customer' || o_custkey AS username FROM orders")
+def parse_chunks(t: Tables) -> DataFrame:
+    """The orders of a customer as one text, cut into chunks and parsed chunk by chunk: nothing is lost."""
+    block = F.concat(F.lit("URL: https://shop.test/"), F.col("o_orderkey").cast("string"), F.lit("\nUser: customer"), F.col("o_custkey").cast("string"), F.lit("\nPassword: "), F.col("o_totalprice").cast("string"), F.lit("\n\n"))
+    whole = t.orders.groupBy("o_custkey").agg(F.array_join(F.collect_list(block), "").alias("x"))
+    chunks = files.line_chunks(whole, "o_custkey", "x", 10)
+    return records.parse_texts(chunks, "o_custkey", "chunk").select(F.regexp_extract("url", "[0-9]+$", 0).cast("long").alias("o_orderkey"), "username")
+
+
+PART = r"regexp_extract(lower(filename), '\.part0*([0-9]+)\.(?:zip|rar|7z)$|\.(?:7z|zip)\.0*([0-9]+)$', {0})"
+
+
+@query(f"SELECT id FROM file_attachments WHERE filename IS NOT NULL AND coalesce(nullif({PART.format(1)}, ''), nullif({PART.format(2)}, ''), '1') = '1'")
+def first_part_files(t: Tables) -> DataFrame:
+    """Of split sets only the first part, by the names that attachments have."""
+    listing = t.file_attachments.filter("filename is not null").select("id", F.concat(F.lit("/in/"), F.regexp_replace("filename", "/", "_")).alias("path"))
+    return files.first_parts(listing).select("id")
+
+
+_F = f"(SELECT id, conversation_id AS c, part, total, CASE WHEN part IS NULL THEN 'single:' || id ELSE 'set:' || coalesce(conversation_id, -1) || ':' || {function_queries.KEY.format('base')} END AS grp FROM (SELECT s.*, a.conversation_id FROM ({function_queries.registry.oracle_sql()['split_name']}) s JOIN file_attachments a USING (id)) WHERE base IS NOT NULL)"
+
+
+@query(f"""SELECT grp AS "group", min(c) AS conversation, count(*) AS n, coalesce(max(total), max(part) - min(part) + 1, 1) AS expected, coalesce(max(part) - min(part) + 1 > count(DISTINCT part), false) OR coalesce(min(part) > 1, false) AS gap FROM {_F} GROUP BY grp""")
 def group_parts(t: Tables) -> DataFrame:
     return grouping.group_parts(t.file_attachments)
 
 
+@query("SELECT c_mktsegment, count(*) AS orders, sum(o_totalprice) AS total FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1")
+def sql_views(t: Tables) -> DataFrame:
+    """The tables as views of the session, and a query in SQL over them."""
+    for name in ("orders", "customer"):
+        getattr(t, name).createOrReplaceTempView(f"siltstone_{name}")
+    return t.spark.sql("SELECT c_mktsegment, count(*) AS orders, sum(o_totalprice) AS total FROM siltstone_orders JOIN siltstone_customer ON c_custkey = o_custkey GROUP BY 1")
+
+
+@query("SELECT l_suppkey, count(*) AS n, sum(l_quantity) AS quantity FROM lineitem GROUP BY 1")
+def written_table(t: Tables) -> DataFrame:
+    """An intermediate result written to the shared folder and read back."""
+    return materialise(t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity")), "written-table")
+
+
+@query("SELECT count(*) AS rows, CAST(1 AS BIGINT) AS finished FROM events")
+def progress_log(t: Tables) -> DataFrame:
+    """What the listener of streams has told of one run: the rows of all micro-batches, and its end."""
+    log, out = feeds.ProgressLog(), feeds.Appender(t.spark, "progress")
+    t.spark.streams.addListener(log)
+    try:
+        feeds.run(_stream(t, "events").select("event_id"), out.write, "progress")
+        t.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    finally:
+        t.spark.streams.removeListener(log)
+    return log.table(t.spark).agg(F.sum("rows").alias("rows"), F.count_if(F.col("state") == "finished").alias("finished"))
+
+
+@query("SELECT id, CASE WHEN length(domain) <= 2 THEN repeat('•', length(domain)) ELSE domain[1] || repeat('•', length(domain) - 2) || domain[-1] || ' (' || length(domain) || ' chars)' END AS domain FROM parsed_credentials WHERE domain ILIKE '%shop%'")
+def stream_notices(t: Tables) -> DataFrame:
+    """Rows fit to be sent as they arrive: masked, and without secret columns."""
+    s = feeds.notices(_stream(t, "parsed_credentials").filter(F.col("domain").ilike("%shop%")).select("id", "domain", "password"), ["domain"])
+    out = feeds.Appender(t.spark, "notices")
+    feeds.run(s, out.write, "notices")
+    return out.read(s.schema)
+
+
 @query("SELECT id, row_number() OVER (PARTITION BY conversation_id, message_id ORDER BY filename NULLS FIRST, id) AS part_no FROM file_attachments")
 def number_parts(t: Tables) -> DataFrame:
     a = t.file_attachments.withColumns({"g": F.to_json(F.struct("conversation_id", "message_id")), "o": F.struct("filename", "id")})

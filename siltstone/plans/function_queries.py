@@ -125,11 +125,21 @@ def invitations(t: Tables) -> DataFrame:
     return _with_names(t).select("doc_id", F.explode(text.invitations(F.col("x"))).alias("invitation"))
 
 
-@query()
+KEY = f"trim(regexp_replace(lower(translate({{0}}, '{text.LOOKALIKES_FROM}', '{text.LOOKALIKES_TO}')), '[\\s._-]+', ' ', 'g'))"
+
+
+@query(f"SELECT id, {KEY.format('filename')} AS key FROM file_attachments")
 def confusable_key(t: Tables) -> DataFrame:
+    """The check's SQL lacks compatibility forms, of which the file names have none; a test has them."""
     return t.file_attachments.select("id", text.group_key(F.col("filename")).alias("key"))
 
 
+@query("SELECT id, coalesce(nullif(hostname, ''), nullif(username, ''), nullif(hwid, '')) AS label FROM system_info")
+def first_label(t: Tables) -> DataFrame:
+    m = F.create_map(F.lit("pc"), F.col("hostname"), F.lit("user"), F.col("username"), F.lit("hwid"), F.col("hwid"))
+    return t.system_info.select("id", text.first_label(m, ["machine", "pc", "user", "hwid"]).alias("label"))
+
+
 @query()
 def strip_markdown(t: Tables) -> DataFrame:
     """Every text; the check's SQL lacks look-around, so a test compares all of them with an independent reading."""

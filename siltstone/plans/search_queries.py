@@ -511,11 +511,10 @@ def latest_message(t: Tables) -> DataFrame:
     return t.messages.filter("conversation_id is not null").withColumn("r", F.row_number().over(w)).filter("r = 1").select("conversation_id", "platform_id", "is_forwarded")
 
 
-@query("SELECT url, username, md5(password) AS secret_md5, min(id) AS id FROM parsed_credentials GROUP BY url, username, password")
+@query("SELECT url, username, min(id) AS id, count(*) AS n FROM parsed_credentials GROUP BY url, username, password")
 def dedup_triples(t: Tables) -> DataFrame:
-    """One row for each (url, username, secret); the secret shows as a digest only."""
-    by = t.parsed_credentials.groupBy("url", "username", "password").agg(F.min("id").alias("id"))
-    return by.select("url", "username", F.md5("password").alias("secret_md5"), "id")
+    """One row for each (url, username, secret); the secret does not show."""
+    return t.parsed_credentials.groupBy("url", "username", "password").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n")).select("url", "username", "id", "n")
 
 
 @query(f"SELECT src AS forwarded_from_id, c.title, count(*) AS n, min(ts) AS first FROM {ONCE} m LEFT JOIN channels c ON c.platform_id = src WHERE src IS NOT NULL GROUP BY ALL")

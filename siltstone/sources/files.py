@@ -74,7 +74,7 @@ def load_folder(spark: SparkSession, folder: str, target: str, glob: str = "*.tx
 def line_chunks(texts: DataFrame, key: str, text: str, least: int = 100_000) -> DataFrame:
     """(key, chunk_no, chunk): texts cut into chunks of about ``least`` lines at blank or separator lines.
 
-    A stretch without such a line is cut at four times as many lines.
+    A stretch without such a line is cut at four times as many lines.  Lines end at LF, CR LF or CR.
     """
     from collections.abc import Iterator
 
@@ -87,17 +87,13 @@ def line_chunks(texts: DataFrame, key: str, text: str, least: int = 100_000) ->
         for pdf in frames:
             rows = []
             for k, t in zip(pdf[key], pdf[text]):
-                held: list[str] = []
-                n = 0
-                for line in (t or "").splitlines():
-                    held.append(line)
-                    bare = line.strip()
-                    edge = not bare or set(bare) in ({"-"}, {"="}, {"_"})
-                    if (len(held) >= least and edge) or len(held) >= 4 * least:
-                        rows.append((k, n, "\n".join(held)))
-                        held, n = [], n + 1
-                if held:
-                    rows.append((k, n, "\n".join(held)))
+                lines = (t or "").replace("\r\n", "\n").replace("\r", "\n").split("\n")
+                begin = n = 0
+                for at, line in enumerate(lines, 1):
+                    edge = set(line.strip()) in (set(), {"-"}, {"="}, {"_"})
+                    if at == len(lines) or at - begin >= (least if edge else 4 * least):
+                        rows.append((k, n, "\n".join(lines[begin:at])))
+                        begin, n = at, n + 1
             yield pd.DataFrame(rows, columns=[key, "chunk_no", "chunk"])
 
     return texts.select(key, text).mapInPandas(cut, f"{key} {kind}, chunk_no int, chunk string")

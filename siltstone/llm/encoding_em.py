@@ -1,8 +1,8 @@
 """Text decoded with the wrong encoding: found and restored by expectation-maximisation.
 
 Each run of non-ASCII characters in a value is either as it was written or came
-through one of the CHAINS: written in one encoding, read in another.  Undoing a
-chain gives a candidate text.  The model has two parts, fitted together:
+through one of the CHAINS, one or more steps of being written in one encoding and
+read in another.  Undoing a chain gives a candidate text.  The model has two parts, fitted together:
 
 * for each source and field, how often each chain occurs (a latent choice for
   each run), smoothed by the frequency over all sources, so that the weak
@@ -12,7 +12,7 @@ chain gives a candidate text.  The model has two parts, fitted together:
 
 The expectation step weighs each run's candidates by chain frequency and
 likelihood; the maximisation step re-estimates both from these weights over all
-rows.  After ROUNDS rounds each value is repaired by the best posterior.
+rows, until the chains' shares have settled.  Then each value is repaired by the best posterior.
 
 The statistics that reach the driver are bounded whatever the data: classes
 squared and one number for each code point of Unicode that occurs.  Chain
@@ -39,28 +39,23 @@ from pyspark.sql import functions as F
 
 from siltstone.session import materialise
 
-#: Fixed values: (written in, read as); "utf-8 twice" went through the first chain two times.
-CHAINS = (
-    ("utf-8", "cp1252"),
-    ("utf-8", "latin-1"),
-    ("utf-8", "cp1250"),
-    ("utf-8", "cp1251"),
-    ("utf-8", "cp437"),
-    ("utf-8", "cp850"),
-    ("utf-8", "cp866"),
-    ("utf-8", "koi8-r"),
-    ("utf-8", "mac-roman"),
-    ("cp1251", "cp1252"),
-    ("koi8-r", "cp1252"),
-    ("cp866", "cp1252"),
-    ("cp1253", "cp1252"),
-    ("euc-jp", "cp1252"),
-    ("shift_jis", "cp1252"),
-    ("koi8-r", "cp1251"),
-    ("cp1251", "koi8-r"),
-    ("utf-8 twice", "cp1252"),
+#: Encodings that a text in UTF-8 is read with by mistake.
+READERS = ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "cp850", "cp866", "koi8-r", "mac-roman")
+#: Encodings without relation to Latin letters, whose texts are read as cp1252; and Cyrillic ones read as each other.
+WESTERN = "cp1252"
+FOREIGN = ("cp1251", "koi8-r", "cp866", "cp1253", "euc-jp", "shift_jis")
+CYRILLIC = ("koi8-r", "cp1251")
+Step = tuple[str, str]
+#: A chain is one or more steps (written in, read as), the first applied first.
+CHAINS: tuple[tuple[Step, ...], ...] = (
+    *[(("utf-8", r),) for r in READERS],
+    *[((w, WESTERN),) for w in FOREIGN],
+    *[((a, b),) for a in CYRILLIC for b in CYRILLIC if a != b],
+    *[(("utf-8", r), ("utf-8", r)) for r in (WESTERN,)],
 )
-ROUNDS, SURE, PRIOR_CLEAN, POOLED = 3, 0.5, 0.85, 20.0
+#: Rounds go on until no chain's share moves by more than SETTLED, and at most ROUNDS times.
+ROUNDS, SETTLED = 8, 0.002
+SURE, PRIOR_CLEAN, POOLED = 0.5, 0.85, 20.0
 RUN = re.compile(r"[^\x00-\x7f]+")
 NON_ASCII = r"[^\x00-\x7F]"
 
@@ -141,21 +136,26 @@ def candidates(run: str) -> tuple[tuple[int, str], ...]:
     return _remembered(run) if len(run) <= 100 else _candidates(run)
 
 
+def _undo(text: str, step: Step) -> str | None:
+    """The text before one step; None if the step cannot have made it."""
+    written, read = step
+    if written == "utf-8":
+        return _undo_utf8(text, read)
+    table = _reader(read)
+    try:
+        out = bytes(table[c] for c in text).decode(written)
+    except (KeyError, UnicodeDecodeError):
+        return None
+    return out if all(map(_written, out)) else None
+
+
 def _candidates(run: str) -> tuple[tuple[int, str], ...]:
     out = [(0, run)]
-    for k, (written, read) in enumerate(CHAINS, 1):
-        if written == "utf-8":
-            text = _undo_utf8(run, read)
-        elif written == "utf-8 twice":
-            once = _undo_utf8(run, read)
-            text = _undo_utf8(once, read) if once else None
-        else:
-            table = _reader(read)
-            try:
-                text = bytes(table[c] for c in run).decode(written)
-            except (KeyError, UnicodeDecodeError):
-                text = None
-        if text is not None and text != run and (written.startswith("utf-8") or all(map(_written, text))):
+    for k, chain in enumerate(CHAINS, 1):
+        text = run
+        for step in reversed(chain):
+            text = _undo(text, step) if text else None
+        if text is not None and text != run:
             out.append((k, text))
     return tuple(out)
 
@@ -219,7 +219,7 @@ def _count(clean: CleanText | None):
             for source, field, run, n, weights in zip(pdf["source"], pdf["field"], pdf["run"], pdf["n"], pdf["weights"]):
                 if clean is None:
                     # to begin with, runs that no UTF-8 chain explains count as clean text
-                    odd = any(k and CHAINS[k - 1][0].startswith("utf-8") for k, _ in candidates(run))
+                    odd = any(k and CHAINS[k - 1][0][0] == "utf-8" for k, _ in candidates(run))
                     options = [] if odd else [(0, run, 1.0)]
                 else:
                     options = posterior(run, clean, list(weights))
@@ -254,8 +254,8 @@ def _collect_clean(counts: DataFrame) -> CleanText:
     return CleanText({(r["a"], r["b"]): r["w"] for r in rows if r["kind"] == "move"}, {r["a"]: r["w"] for r in rows if r["kind"] == "char"})
 
 
-def _weights(counts: DataFrame) -> DataFrame:
-    """(source, field, weights): chain frequencies, smoothed by those over all sources."""
+def _weights(counts: DataFrame) -> tuple[DataFrame, list[float]]:
+    """(source, field, weights): chain frequencies, smoothed by those over all sources; and the latter."""
     by = counts.filter("kind = 'chain'").groupBy(F.col("a").alias("source"), F.col("b").alias("field"), F.col("c").cast("int").alias("k")).agg(F.sum("w").alias("w"))
     start = _start()
     # as many numbers as there are chains
@@ -264,22 +264,25 @@ def _weights(counts: DataFrame) -> DataFrame:
     pooled = [(overall.get(k, 0.0) + POOLED * p) / whole for k, p in enumerate(start)]
     arrays = by.groupBy("source", "field").agg(F.map_from_entries(F.collect_list(F.struct("k", "w"))).alias("m"), F.sum("w").alias("t"))
     each = [(F.coalesce(F.try_element_at("m", F.lit(k)), F.lit(0.0)) + F.lit(POOLED * p)) / (F.col("t") + F.lit(POOLED)) for k, p in enumerate(pooled)]
-    return arrays.select("source", "field", F.array(*each).alias("weights"))
+    return arrays.select("source", "field", F.array(*each).alias("weights")), pooled
 
 
 def fit(values: DataFrame, rounds: int = ROUNDS) -> tuple[CleanText, DataFrame]:
-    """The clean-text statistics and the (source, field, weights) table after so many rounds."""
+    """The clean-text statistics and the (source, field, weights) table once the chains' shares have settled."""
     start = F.array(*[F.lit(w) for w in _start()])
     runs = values.select("source", "field", F.explode(F.regexp_extract_all("value", F.lit("([^\\x00-\\x7F]+)"), 1)).alias("run")).groupBy("source", "field", "run").agg(F.count(F.lit(1)).alias("n"))
     runs = materialise(runs, "em-runs")
     ddl = "kind string, a string, b string, c string, w double"
     clean = _collect_clean(runs.withColumn("weights", start).mapInPandas(_count(None), ddl))
-    weights = None
+    weights, shares = None, _start()
     for _ in range(rounds):
         at = runs.withColumn("weights", start) if weights is None else runs.join(weights, ["source", "field"], "left").withColumn("weights", F.coalesce("weights", start))
         counts = at.mapInPandas(_count(clean), ddl)
         counts = materialise(counts.groupBy("kind", "a", "b", "c").agg(F.sum("w").alias("w")), "em-counts")
-        clean, weights = _collect_clean(counts), _weights(counts)
+        clean, (weights, now) = _collect_clean(counts), _weights(counts)
+        moved, shares = max(abs(a - b) for a, b in zip(shares, now)), now
+        if moved <= SETTLED:
+            break
     return clean, weights
 
 

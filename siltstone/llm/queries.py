@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.digests import digest_key, keyed
 from siltstone.llm import canonical_runs, encoding_em, leakage, seen_runs, segment_index, shared_spans, tokenizer
 from siltstone.sources.tables import table
 
@@ -41,8 +42,8 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p5_restored(spark: SparkSession, d: str) -> DataFrame:
-    """Restored texts; of the password only a digest and whether it could be restored whole."""
-    shown = F.when(F.col("field") == "password", F.sha2("restored", 256)).otherwise(F.col("restored"))
+    """Restored texts; of the password only a keyed digest and whether it could be restored whole."""
+    shown = F.when(F.col("field") == "password", keyed(F.col("restored"), digest_key(spark))).otherwise(F.col("restored"))
     return _garbled(spark, d).select("record_table", "record_id", "field", shown.alias("restored"), "complete")
 
 

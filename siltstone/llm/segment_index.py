@@ -168,7 +168,8 @@ def _segments(lot: _Lot, ways: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.n
     j, delta, s = (ways[:, k : k + 1] for k in range(3))
     lengths = lot.lengths[None, :]
     grid = _segment_state(lengths, j, delta, s)
-    way, text = np.nonzero((lengths >= delta) & _inside(lot, np.arange(len(lot.lengths))[None, :], grid))
+    # text by text: rows that repeat a text's values lie close together and compress
+    text, way = np.nonzero(((lengths >= delta) & _inside(lot, np.arange(len(lot.lengths))[None, :], grid)).T)
     state = grid.take((way, text))
     size = lot.lengths[text] - delta[way, 0]
     key = _mixed(_mixed(lot.hashes(lot.offsets[text] + state.at, state.n)) + _U(0x9E3779B97F4A7C15) * (size * 8 + j[way, 0]).astype(np.uint64))
@@ -266,14 +267,30 @@ class SegmentIndex:
     def __init__(self, spark: SparkSession, buckets: int | None = None, least: int | None = None):
         ship(spark)
         self.spark, self.least, self.buckets = spark, HOT_LEAST if least is None else least, buckets or shuffle_width(spark)
-        #: By level: segments, then what their hot keys were refined to, and so on.
-        self.entries = [Buckets(spark, f"segments_{k}", "key", self.buckets) for k in range(LEVELS)]
-        self.marks = [Buckets(spark, f"marks_{k}", "key", self.buckets) for k in range(LEVELS)]
-        self.texts = Buckets(spark, "texts", "h", self.buckets)
         self.hashes = Buckets(spark, "hashes", "hash", self.buckets)
+        self._open()
+
+    def _open(self) -> None:
+        #: By level: segments, then what their hot keys were refined to, and so on.
+        self.entries = [Buckets(self.spark, f"segments_{k}", "key", self.buckets) for k in range(LEVELS)]
+        self.marks = [Buckets(self.spark, f"marks_{k}", "key", self.buckets) for k in range(LEVELS)]
+        self.texts = Buckets(self.spark, "texts", "h", self.buckets)
         #: For each level the keys that hold more than 1 in 2 buckets of an append.
         self.heavy: list[set[int]] = [set() for _ in range(LEVELS)]
 
+    def compact(self) -> None:
+        """Store all texts anew as if one append had brought them: one file a bucket, and hot keys counted over all."""
+        if not self.texts.written:
+            return
+        old = [*self.entries, *self.marks, self.texts]
+        texts = materialise(self.texts.read().groupBy("h", "text").agg(F.min("since").alias("since")), "compacting")
+        self._open()
+        self.texts.append(texts)
+        self._append(texts)
+        discard(texts)
+        for t in old:
+            t.drop()
+
     def add(self, rows: DataFrame) -> DataFrame:
         """Look (id, batch, hash, text) rows up, append them, and tell (id, exact, since) of each repeat.
 

@@ -11,13 +11,16 @@ from __future__ import annotations
 
 import re
 import shlex
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from siltstone.session import hadoop_path, workspace
+from siltstone.session import hadoop_path, ship, workspace
 
 KEYS = ("domain", "stealer", "application", "email_domain", "username", "url", "since")
 COLUMNS = {"stealer": "stealer_type"}
@@ -112,35 +115,71 @@ def bm25(docs: DataFrame, key: str, text: str, terms: Sequence[str], k1: float =
     return both.select(key, F.round(score, 6).alias("score"))
 
 
-#: Slots of the table that tells which grams any needle looks up.
-GRAM_SLOTS = 1 << 16
+#: Characters of needles that one automaton takes; more needles are looked for in further scans.
+NEEDLE_CHARS = 1_000_000
 
 
-def _grams(low: Column, n: int) -> Column:
-    return F.when(F.length(low) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - (n - 1)), lambda i: F.substring(low, i, F.lit(n))))).otherwise(F.array().cast("array<string>"))
+def _needle_blocks(needles: DataFrame) -> Iterator[list[tuple]]:
+    """Rows (needle, ...) in blocks of at most NEEDLE_CHARS characters; a longer needle stands alone.
+
+    The blocks are made finer until the sums of their lengths fit; only then is one at a time collected.
+    """
+    n = max(1, -(-(needles.agg(F.sum(F.length("_needle"))).first()[0] or 0) // NEEDLE_CHARS))
+    while True:
+        block = F.pmod(F.xxhash64(*needles.columns), F.lit(n))
+        sizes = needles.groupBy(block.alias("b")).agg(F.sum(F.length("_needle")).alias("chars"), F.count(F.lit(1)).alias("n"))
+        if not sizes.filter((F.col("chars") > NEEDLE_CHARS) & (F.col("n") > 1)).limit(1).count():
+            break
+        n *= 2
+    for b in range(n):
+        if held := [tuple(r) for r in needles.filter(block == b).collect()]:
+            yield held
 
 
 def contains_many(rows: DataFrame, keys: Sequence[str], text: str, needles: DataFrame, needle_key: str, needle: str, on: Sequence[str] = ()) -> DataFrame:
     """(keys, needle_key) wherever a text contains a needle, case ignored, for any number of needles.
 
-    Each needle is looked up by one of its grams of three characters (or the
-    whole of a shorter needle), an equality join, instead of comparing every text
-    with every needle.  A broadcast of at most GRAM_SLOTS slots of grams drops
-    most grams of a text before they are shuffled, and adaptive execution
-    splits a gram that very many texts have.  Columns in ``on`` must agree, too.
-    An empty needle is in no text.
+    The needles of a block form an automaton that reads each text once, however
+    many they are; nothing is shuffled.  Columns in ``on`` must agree, too.  An
+    empty needle is in no text.
     """
-    low = F.lower(F.col(needle))
-    asked = needles.filter(F.length(needle) > 0).select(needle_key, *on, low.alias("_needle"), F.array_min(F.transform(F.when(F.length(low) >= 3, _grams(low, 3)).otherwise(F.array(low)), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g")))).alias("m")).select(needle_key, *on, "_needle", F.col("m.g").alias("_g"))
-    slot = lambda g: F.pmod(F.xxhash64(g), F.lit(GRAM_SLOTS)).cast("int")
-    slots = asked.select(slot(F.col("_g")).alias("_slot")).distinct()
-    sizes = [r[0] for r in asked.select(F.length("_g")).distinct().collect()]  # 1, 2 and 3 at most
-    if not sizes:
-        return rows.select(*keys, F.lit(None).cast(dict(needles.dtypes)[needle_key]).alias(needle_key)).limit(0)
-    grams = F.explode(F.flatten(F.array(*[_grams(F.lower(F.col(text)), k) for k in sorted(sizes)])))
-    wide = rows.select(*keys, *on, F.lower(F.col(text)).alias("_low"), grams.alias("_g")).withColumn("_slot", slot(F.col("_g")))
-    held = wide.join(F.broadcast(slots), "_slot", "left_semi")
-    return held.join(asked, ["_g", *on]).filter(F.contains("_low", "_needle")).select(*keys, needle_key)
+    spark = rows.sparkSession
+    ship(spark)
+    kinds = {**dict(rows.dtypes), needle_key: dict(needles.dtypes)[needle_key]}
+    ddl = ", ".join(f"`{c}` {kinds[c]}" for c in (*keys, needle_key))
+    asked = needles.filter(F.length(needle) > 0).select(F.lower(F.col(needle)).alias("_needle"), F.col(needle_key), *on).distinct()
+    texts = rows.filter(F.length(text) > 0).select(*keys, *on, F.lower(F.col(text)).alias("_low"))
+    names, at, out = [*keys, needle_key], len(keys), None
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+    for block in _needle_blocks(asked):
+        words: dict[str, list[tuple]] = {}
+        for word, key, *where in block:
+            words.setdefault(word, []).append((key, tuple(where)))
+        shared = spark.sparkContext.broadcast(words)
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            import ahocorasick
+
+            automaton = ahocorasick.Automaton()
+            for word, owners in shared.value.items():
+                automaton.add_word(word, owners)
+            automaton.make_automaton()
+            for batch in batches:
+                columns = [c.to_pylist() for c in batch.columns]
+                lows, wheres = columns[-1], columns[at:-1]
+                which, found = [], []
+                for r, low in enumerate(lows):
+                    where = tuple(w[r] for w in wheres)
+                    hit = {key for _, owners in automaton.iter(low) for key, place in owners if place == where}
+                    which += [r] * len(hit)
+                    found += hit
+                if which:
+                    held = batch.take(pa.array(which))
+                    yield pa.RecordBatch.from_arrays([*held.columns[:at], pa.array(found, schema.field(at).type)], names=names)
+
+        part = texts.mapInArrow(scan, ddl)
+        out = part if out is None else out.unionByName(part)
+    return spark.createDataFrame([], ddl) if out is None else out
 
 
 class SavedSearches:

@@ -18,7 +18,7 @@ BY_TYPE = {"domain": ("domain",), "user": ("username",), "url": ("url",), "any":
 
 
 def hits(items: DataFrame, records: DataFrame) -> DataFrame:
-    """Records by item: each searched column of a record is looked up by grams, however many items there are."""
+    """Records by item: each searched column of a record is read once, however many items there are."""
     known = items.withColumn("match_type", F.when(F.col("match_type").isin(*BY_TYPE), F.col("match_type")).otherwise("any"))
     columns = reduce(lambda out, kind: out.when(F.col("match_type") == kind, F.array(*[F.lit(c) for c in BY_TYPE[kind]])), list(BY_TYPE)[1:], F.when(F.col("match_type") == next(iter(BY_TYPE)), F.array(*[F.lit(c) for c in BY_TYPE[next(iter(BY_TYPE))]])))
     needles = known.select("item_id", "query", F.explode(columns).alias("_column"))

@@ -47,7 +47,7 @@ def test_invalid_regex_filters_nothing(spark):
     assert df.filter(search.matches_any("(", ["x"])).count() == 1
 
 
-def test_contains_many_equals_theta(spark):
+def test_contains_many_equals_theta(spark, monkeypatch):
     texts = ["alpha beta", "ALPHABET", "gamma", None, "beta", "", "Ba", "é-Élan"]
     words = {1: "alpha", 2: "bet", 3: "zzz", 4: "b", 5: "BA", 6: "", 7: None, 8: "É"}
     rows = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
@@ -55,6 +55,8 @@ def test_contains_many_equals_theta(spark):
     want = sorted((i, n) for i, t in enumerate(texts) for n, q in words.items() if t and q and q.lower() in t.lower())
     assert sorted(map(tuple, search.contains_many(rows, ["id"], "t", needles, "n", "q").collect())) == want
     assert search.contains_many(rows, ["id"], "t", needles.filter("q = ''"), "n", "q").count() == 0
+    monkeypatch.setattr(search, "NEEDLE_CHARS", 3)
+    assert sorted(map(tuple, search.contains_many(rows, ["id"], "t", needles, "n", "q").collect())) == want
 
 
 def test_watch_plan_has_no_nested_loop(spark):

@@ -327,15 +327,14 @@ class SegmentIndex:
         """Store the segments of (h, text) rows, as fine as the hot ones among them ask."""
         wide = materialise(_spread(fresh, "h", False), "level-0")
         for entries, marks, heavy in zip(self.entries, self.marks, self.heavy):
-            n = wide.count()
-            if not n:
-                break
             hot = materialise(wide.groupBy("key").count().filter(F.col("count") > self.least), "hot")
-            found = hot.filter(F.col("count") > F.lit(n / (2 * self.buckets))).select("key").collect()  # at most two for each bucket
-            heavy |= {r[0] for r in found}
-            if entries is self.entries[-1] or not hot.limit(1).count():
+            most = hot.agg(F.max("count")).first()[0]
+            if entries is self.entries[-1] or most is None:
                 entries.append(wide)
                 break
+            share = wide.count() / (2 * self.buckets)
+            if most > share:
+                heavy |= {r[0] for r in hot.filter(F.col("count") > F.lit(share)).select("key").collect()}  # at most two for each bucket
             marked = wide.join(hot.select("key", F.lit(True).alias("hot")), "key", "left")
             # a key is marked once, however often it is hot
             new = materialise(hot.select("key").join(marks.read(), "key", "left_anti"), "new-marks") if marks.written else hot.select("key")
@@ -358,9 +357,11 @@ class SegmentIndex:
             if not entries.written:
                 break
             met = materialise(self._met(spread, entries, heavy), "met")
+            tables.append(met)
             found = met.filter("h is not null").select("h", "tid")
             pairs = found if pairs is None else pairs.unionByName(found)
-            tables.append(met)
+            if not met.filter("h is null").limit(1).count():
+                break
             marks = met.filter("h is null").select("tid", "key", "path").join(fresh.select("tid", "text"), "tid").select(F.col("tid").alias("ref"), "text", "key", "path")
             spread = lambda only=None, marks=marks: _finer(marks, True, only)
         if pairs is None:

@@ -39,6 +39,8 @@ def url_validate(t: Tables) -> DataFrame:
 
 
 TRIM = r"regexp_replace({0}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+
+
 def _cut(value: str, pattern: str, test: str) -> str:
     stripped = TRIM.format(f"regexp_replace({value}, '{pattern}', '', 'g')")
     return f"CASE WHEN {test} THEN {stripped} ELSE {value} END"

@@ -18,7 +18,8 @@ once a level.  No key is kept in memory.
 Defined cases: a null key is never a case and never stored; a row without an id has
 no place in the order and is left out; within a batch the
 least id is the first; rows equal in id and key are the same occurrence, so
-neither is later than the other; an empty batch leaves an empty run out.
+neither is later than the other; a batch that is empty or brings no new key
+leaves no run.
 """
 
 from __future__ import annotations
@@ -64,7 +65,7 @@ class SeenKeys:
         return {"name": name, "path": path, "rows": got["rows"], "low": got["low"], "high": got["high"], "blocks": set(got["blocks"])}
 
     def runs(self) -> list[dict]:
-        return [r for level in self.levels for r in level if r["rows"]]
+        return [r for level in self.levels for r in level]
 
     def _meeting(self, firsts: DataFrame) -> list[DataFrame]:
         """Of each run the blocks that ``firsts`` has hashes in, under other names."""
@@ -115,8 +116,10 @@ class SeenKeys:
 
     def _admit(self, firsts: DataFrame) -> DataFrame:
         new = self.unseen(firsts)
-        self.levels[0].append(self._write(new))
-        self._compact()
+        # without rows the adaptive plan drops the observation that tells the fences
+        if not new.isEmpty():
+            self.levels[0].append(self._write(new))
+            self._compact()
         return new
 
     def _compact(self) -> None:

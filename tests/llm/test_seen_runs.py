@@ -89,6 +89,26 @@ def test_empty(spark):
     assert sr.seen_before(df).count() == 0 and sr.error_rate(df).count() == 0
 
 
+def test_ranges_without_a_new_key(spark):
+    # ranges of 25 ids: all keys are met in the first, the second has no row, the third only a null
+    rows = [(1, "a"), (2, "b"), (3, "a"), (60, None), (76, "b"), (99, "a"), (100, "b")]
+    df = spark.createDataFrame(rows, "id long, credential_hash string")
+    assert sorted(r["id"] for r in sr.seen_before(df, steps=4).collect()) == brute(rows)
+    assert tuple(sr.error_rate(df, steps=4).first()) == (4, 2, 2, 0.0, 0.0)
+    nulls = df.withColumn("credential_hash", sr.F.lit(None).cast("string"))
+    assert sr.seen_before(nulls, steps=4).count() == 0 and tuple(sr.error_rate(nulls, steps=4).first()) == (0, 0, 0, 0.0, 0.0)
+
+
+def test_batches_without_a_new_key_leave_no_run(spark):
+    seen = sr.SeenKeys(spark, fan=2, buckets=3)
+    seen.admit(spark.createDataFrame([(1, b"a"), (2, b"b")], "id long, key binary"))
+    for b in range(3):
+        assert seen.admit(spark.createDataFrame([(10 + b, b"a")], "id long, key binary")).count() == 0
+    assert len(seen.runs()) == 1 and len(seen.levels) == 1
+    seen.admit(spark.createDataFrame([(20, b"b"), (21, b"c")], "id long, key binary"))
+    assert sorted((r["key"], r["first_id"]) for r in seen.keys().collect()) == [(b"a", 1), (b"b", 2), (b"c", 21)]
+
+
 def test_rate_counts_every_range(spark):
     # ranges of two ids: b is met again in the second, a in the third, c in the fourth
     rows = [(1, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "a"), (6, "d"), (7, "c"), (8, "e")]
